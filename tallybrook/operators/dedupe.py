@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,11 +15,12 @@ def keep_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     number lets Spark cut each key to one row before the shuffle as well, so a
     key with a large share of all rows sends one row from each task.
     """
-    others = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+    others = [f"`{c}` ASC NULLS FIRST" for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(list(keys))
-    order = Window.partitionBy(*keys).orderBy(*others)
-    return df.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    key = ", ".join(f"`{c}`" for c in keys)
+    nth = f"row_number() OVER (PARTITION BY {key} ORDER BY {', '.join(others)})"
+    return df.withColumn("_nth", F.expr(nth)).where("_nth = 1").drop("_nth")
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

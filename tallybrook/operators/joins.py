@@ -21,12 +21,9 @@ def hot_keys(df: DataFrame, columns: Sequence[str], share: float = 0.001) -> dic
     for each column reach the driver. None stands for NULL. The result steers
     the layout of a join, never its rows, so a sketch is good enough.
     """
-    sketches = [
-        F.call_function("approx_top_k", F.col(c), F.lit(MOST_HOT_KEYS), F.lit(SKETCH_ITEMS)).alias(f"top_{c}")
-        for c in columns
-    ]
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
-    seen = df.agg(F.count(F.lit(1)).alias("n"), *sketches, *nulls).first()
+    sketches = [f"approx_top_k(`{c}`, {MOST_HOT_KEYS}, {SKETCH_ITEMS}) AS `top_{c}`" for c in columns]
+    nulls = [f"count_if(`{c}` IS NULL) AS `null_{c}`" for c in columns]
+    seen = df.selectExpr("count(*) AS n", *sketches, *nulls).first()
     least = max(share * seen["n"], 1)
     found = {}
     for c in columns:

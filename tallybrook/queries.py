@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tallybrook.plans.quality import MODEL_CHECKS, SOURCE_CHECKS, quality_report
 from tallybrook.plans.settings import Settings
 from tallybrook.plans.warehouse import Warehouse, keep_in
 from tallybrook.sources.schemas import KEYS, LOAD_TIME
-from tallybrook.sources.star_schema import landing_tables, star_raw_schema
+from tallybrook.sources.star_schema import landing_table, star_raw_schema
 from tallybrook.sources.tables import conform, read_landing, shared_folder, write_csv, write_table
 from tallybrook.streaming.incremental import ingest_new_files
 
@@ -32,20 +32,30 @@ SETTINGS = Settings(
 )
 
 
+class _Lazy(Mapping[str, DataFrame]):
+    """The six tables by name, each made when first asked for."""
+
+    def __init__(self, make: Callable[[str], DataFrame]):
+        self._make = cache(make)
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return self._make(table)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(KEYS)
+
+    def __len__(self) -> int:
+        return len(KEYS)
+
+
 class Tables:
     """The layers over one set of test tables; each is a plan until it is read."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.landing = landing_tables(spark, root)
-        self.clean = {t: CLEANERS[t](rows) for t, rows in self.landing.items()}
-
-    def loaded(self, table: str) -> DataFrame:
-        return conform(self.clean[table], star_raw_schema(table))
-
-    @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return {t: self.loaded(t) for t in KEYS}
+        self.landing = _Lazy(lambda t: landing_table(spark, root, t))
+        self.clean = _Lazy(lambda t: CLEANERS[t](self.landing[t]))
+        self.raw = _Lazy(lambda t: conform(self.clean[t], star_raw_schema(t)))
 
     @cached_property
     def models(self) -> Warehouse:
@@ -60,12 +70,8 @@ class Tables:
 
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, the form in which results are compared."""
-    return df.select(
-        [
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+    decimals = {f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)}
+    return df.selectExpr(*[f"double(`{c}`) AS `{c}`" if c in decimals else f"`{c}`" for c in df.columns])
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,14 +109,14 @@ def _upsert_customers(t: Tables) -> DataFrame:
 
 
 def _upsert_orders(t: Tables) -> DataFrame:
-    orders = t.loaded("orders")
+    orders = t.raw["orders"]
     bought = F.col("purchase_timestamp")
     first = orders.where(bought < "1999-01-01").withColumn("order_status", F.lit("processing"))
     return upsert(first, orders.where(bought >= "1998-01-01"), KEYS["orders"])
 
 
 def _referential(t: Tables) -> DataFrame:
-    return check_reference(t.loaded("orders"), "customer_id", t.loaded("customers"), "customer_id", "orders")
+    return check_reference(t.raw["orders"], "customer_id", t.raw["customers"], "customer_id", "orders")
 
 
 def _checked(*tests: str) -> Callable[[Tables], DataFrame]:
@@ -152,7 +158,7 @@ def queries() -> dict[str, Query]:
 
     for table in KEYS:
         add(f"clean_{table}", lambda t, n=table: t.clean[n])
-        add(f"load_{table}", lambda t, n=table: t.loaded(n))
+        add(f"load_{table}", lambda t, n=table: t.raw[n])
     add("clean_audit", _clean_audit)
     for model in (
         "bronze_customers",

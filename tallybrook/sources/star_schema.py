@@ -8,7 +8,7 @@ and line items repeat keys by themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,123 +41,134 @@ def star_raw_schema(table: str) -> T.StructType:
     return raw_schema(table, MONEY)
 
 
-def landing_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+# Columns of the star schema that the mapping reads.
+STAR_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
+def landing_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One of the six landing tables, over the whole star-schema tables below ``root``."""
+
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}.parquet")
+        return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
 
-    return {
-        "customers": _customers(read("customer"), read("nation")),
-        "products": _products(read("part")),
-        "orders": _orders(read("orders")),
-        "order_items": _order_items(read("lineitem")),
-        "order_payments": _order_payments(read("lineitem")),
-        "product_categories": _product_categories(read("part")),
-    }
+    if table == "customers":
+        return _customers(read("customer"), read("nation"))
+    if table == "products":
+        return _products(read("part"))
+    if table == "product_categories":
+        return _product_categories(read("part"))
+    if table == "orders":
+        return _orders(read("orders"))
+    if table == "order_items":
+        return _order_items(read("lineitem"))
+    return _order_payments(read("lineitem"))
 
 
-def _chosen(value: Column, choices: dict[str, object], dtype: str) -> Column:
-    picked = F.lit(None)
-    for key, choice in choices.items():
-        picked = F.when(value == key, F.lit(choice)).otherwise(picked)
-    return picked.cast(dtype)
+def _case(value: str, choices: dict[str, object]) -> str:
+    """SQL for the choice that belongs to ``value``, NULL where there is none."""
+    return f"CASE {value} " + " ".join(f"WHEN {k!r} THEN {v!r}" for k, v in choices.items()) + " END"
 
 
 def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    states = F.array(*[F.lit(s) for s in NATION_STATES])
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.col("c_custkey").cast("string").alias("zip_code_prefix"),
-        F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("city"),
-        F.get(states, F.col("c_nationkey")).alias("state"),
+    state = _case("c_nationkey", dict(enumerate(NATION_STATES)))
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+        "string(c_custkey) AS customer_id",
+        "c_name AS customer_unique_id",
+        "string(c_custkey) AS zip_code_prefix",
+        "' ' || lower(n_name) || ' ' AS city",
+        f"{state} AS state",
     )
 
 
 def _products(part: DataFrame) -> DataFrame:
-    size = F.col("p_size")
-    return part.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.lower("p_brand").alias("category_name"),
-        F.length("p_name").alias("name_length"),
-        (F.length("p_name") * 10).alias("description_length"),
-        (F.lit(1) + size % 10).alias("photos_qty"),
-        (size - 1).alias("weight_g"),
-        size.alias("length_cm"),
-        (size + 5).alias("height_cm"),
-        (size + 8).alias("width_cm"),
+    return part.selectExpr(
+        "string(p_partkey) AS product_id",
+        "lower(p_brand) AS category_name",
+        "length(p_name) AS name_length",
+        "length(p_name) * 10 AS description_length",
+        "1 + p_size % 10 AS photos_qty",
+        "p_size - 1 AS weight_g",
+        "p_size AS length_cm",
+        "p_size + 5 AS height_cm",
+        "p_size + 8 AS width_cm",
     )
 
 
 def _product_categories(part: DataFrame) -> DataFrame:
-    names = part.select(F.lower("p_brand").alias("product_category_name")).distinct()
-    return names.where(F.col("product_category_name") != UNTRANSLATED_BRAND).select(
-        "product_category_name", F.upper("product_category_name").alias("product_category_name_english")
+    names = part.selectExpr("lower(p_brand) AS product_category_name").distinct()
+    return names.where(f"product_category_name <> '{UNTRANSLATED_BRAND}'").selectExpr(
+        "product_category_name", "upper(product_category_name) AS product_category_name_english"
     )
 
 
 def _orders(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    by_priority = _chosen(F.left("o_orderpriority", F.lit(1)), PRIORITY_STATUS, "string")
-    status = F.coalesce(_chosen(F.col("o_orderstatus"), FLAG_STATUS, "string"), by_priority)
-
-    def later(column: str, unit: str, amount: Column) -> Column:
-        return F.timestamp_add(unit, amount.cast("int"), F.col(column))
-
-    sent = F.col("order_status").isin("delivered", "shipped")
+    by_flag = _case("o_orderstatus", FLAG_STATUS)
+    by_priority = _case("left(o_orderpriority, 1)", PRIORITY_STATUS)
     return (
-        orders.withColumns(
-            {
-                "order_status": status,
-                "purchase_timestamp": later("o_orderdate", "SECOND", 7919 * key % 86400),
-            }
+        orders.selectExpr(
+            "o_orderkey AS k",
+            "string(o_custkey) AS customer_id",
+            f"coalesce({by_flag}, {by_priority}) AS order_status",
+            "timestampadd(SECOND, int(7919 * o_orderkey % 86400), o_orderdate) AS purchase_timestamp",
         )
-        .withColumn(
-            "approved_at",
-            F.when(F.col("order_status") != "canceled", later("purchase_timestamp", "HOUR", 1 + 31 * key % 48)),
+        .selectExpr(
+            "*",
+            "CASE WHEN order_status <> 'canceled'"
+            " THEN timestampadd(HOUR, int(1 + 31 * k % 48), purchase_timestamp) END AS approved_at",
         )
-        .withColumn("delivered_carrier_date", F.when(sent, later("approved_at", "DAY", 1 + 17 * key % 5)))
-        .withColumn(
-            "delivered_customer_date",
-            F.when(
-                F.col("order_status") == "delivered", later("delivered_carrier_date", "DAY", 1 + 11 * key % 15)
-            ),
+        .selectExpr(
+            "*",
+            "CASE WHEN order_status IN ('delivered', 'shipped')"
+            " THEN timestampadd(DAY, int(1 + 17 * k % 5), approved_at) END AS delivered_carrier_date",
         )
-        .select(
-            key.cast("string").alias("order_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
+        .selectExpr(
+            "string(k) AS order_id",
+            "customer_id",
             "order_status",
             "purchase_timestamp",
             "approved_at",
             "delivered_carrier_date",
-            "delivered_customer_date",
-            later("purchase_timestamp", "DAY", 5 + 13 * key % 26).alias("estimated_delivery_date"),
+            "CASE WHEN order_status = 'delivered'"
+            " THEN timestampadd(DAY, int(1 + 11 * k % 15), delivered_carrier_date) END AS delivered_customer_date",
+            "timestampadd(DAY, int(5 + 13 * k % 26), purchase_timestamp) AS estimated_delivery_date",
         )
     )
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    return lineitem.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        price.alias("price"),
-        (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight_value"),
+    return lineitem.selectExpr(
+        "string(l_orderkey) AS order_id",
+        "l_linenumber AS order_item_id",
+        "string(l_partkey) AS product_id",
+        "string(l_suppkey) AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "cast(l_extendedprice AS decimal(12, 2)) AS price",
+        "cast(l_extendedprice AS decimal(12, 2)) * cast(l_tax AS decimal(4, 2)) AS freight_value",
     )
 
 
 def _order_payments(lineitem: DataFrame) -> DataFrame:
-    kind = F.concat("l_returnflag", "l_linestatus")
+    sequential = _case("kind", {k: n for k, (n, _) in PAYMENTS.items()})
+    payment_type = _case("kind", {k: t for k, (_, t) in PAYMENTS.items()})
     return (
-        lineitem.groupBy("l_orderkey", "l_returnflag", "l_linestatus")
-        .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).alias("value"), F.count(F.lit(1)).alias("lines"))
-        .select(
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            _chosen(kind, {k: n for k, (n, _) in PAYMENTS.items()}, "int").alias("payment_sequential"),
-            _chosen(kind, {k: t for k, (_, t) in PAYMENTS.items()}, "string").alias("payment_type"),
-            F.col("lines").cast("int").alias("payment_installments"),
-            F.col("value").alias("payment_value"),
+        lineitem.groupBy("l_orderkey", F.expr("l_returnflag || l_linestatus AS kind"))
+        .agg(
+            F.expr("sum(cast(l_extendedprice AS decimal(12, 2))) AS payment_value"),
+            F.expr("int(count(*)) AS payment_installments"),
+        )
+        .selectExpr(
+            "string(l_orderkey) AS order_id",
+            f"{sequential} AS payment_sequential",
+            f"{payment_type} AS payment_type",
+            "payment_installments",
+            "payment_value",
         )
     )

@@ -8,7 +8,6 @@ from datetime import datetime
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.sources.schemas import KEYS, LOAD_TIME, landing_schema
@@ -48,7 +47,7 @@ def find_landing_tables(spark: SparkSession, root: str) -> list[str]:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write with a header, every value as text."""
-    text = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+    text = df.selectExpr(*[f"string(`{c}`) AS `{c}`" for c in df.columns])
     text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
@@ -59,19 +58,20 @@ def conform(df: DataFrame, schema: T.StructType, load_time: datetime | None = No
     round half up, and text longer than its declared limit is refused. The load
     time is ``load_time``, NULL by default; other absent columns become NULL.
     """
-    return df.select([_conformed(df, f, load_time).alias(f.name) for f in schema])
+    return df.selectExpr(*[f"{_conformed(df, f, load_time)} AS `{f.name}`" for f in schema])
 
 
-def _conformed(df: DataFrame, field: T.StructField, load_time: datetime | None) -> F.Column:
+def _conformed(df: DataFrame, field: T.StructField, load_time: datetime | None) -> str:
+    dtype = field.dataType.simpleString()
     if field.name not in df.columns:
-        value = load_time if field.name == LOAD_TIME else None
-        return F.lit(value).cast(field.dataType)
-    value = F.col(field.name).cast(field.dataType)
+        known = field.name == LOAD_TIME and load_time is not None
+        return f"cast({repr(str(load_time)) if known else 'NULL'} AS {dtype})"
+    value = f"cast(`{field.name}` AS {dtype})"
     limit = (field.metadata or {}).get("max_length")
     if limit is None:
         return value
-    too_long = F.raise_error(F.lit(f"{field.name}: value longer than {limit}"))
-    return F.when(F.length(value) > limit, too_long).otherwise(value)
+    too_long = f"raise_error('{field.name}: value longer than {limit}')"
+    return f"CASE WHEN length({value}) > {limit} THEN {too_long} ELSE {value} END"
 
 
 def schema_name(layer: str | None, default: str = "public") -> str:
