@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallybrook.functions.text import strip
-
 
 def to_number(value: Column, dtype: str = "double") -> Column:
     return value.try_cast(dtype)
 
 
 def to_timestamp(value: Column) -> Column:
-    """Any ISO date or date-time, without a zone; a bare year or month is not a date."""
-    text = strip(value)
-    dated = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text)
+    """Text as a timestamp: any ISO date or date-time, without a zone.
+
+    A bare year or month is not a date, though a plain cast would take it for one.
+    """
+    dated = F.when(value.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), value)
     return dated.try_cast("timestamp_ntz")

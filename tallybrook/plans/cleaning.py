@@ -39,8 +39,9 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
-    """An order whose purchase date cannot be read has none, and is dropped."""
-    dated = df.withColumns({c: to_timestamp(F.col(c)) for c in ORDER_DATES if c in df.columns})
+    """Dates that come as text are parsed; an order without a readable purchase date is dropped."""
+    text = [c for c, dtype in df.dtypes if c in ORDER_DATES and dtype == "string"]
+    dated = df.withColumns({c: to_timestamp(F.col(c)) for c in text})
     keyed = dated.dropna(subset=["order_id", "customer_id", "purchase_timestamp"])
     one = keep_one(keyed, KEYS["orders"])
     status = F.col("order_status").cast("string")

@@ -50,19 +50,17 @@ MODEL_CHECKS: dict[str, list[Check]] = {
 }
 
 
+def checks_of(*tests: str) -> dict[str, list[Check]]:
+    """The checks of these kinds, by table; all of them without an argument."""
+    every = {**SOURCE_CHECKS, **MODEL_CHECKS}
+    chosen = {name: [r for r in rules if not tests or r.test in tests] for name, rules in every.items()}
+    return {name: rules for name, rules in chosen.items() if rules}
+
+
 def quality_report(
-    table: Callable[[str], DataFrame],
-    checks: Mapping[str, list[Check]] | None = None,
-    tests: tuple[str, ...] | None = None,
+    table: Callable[[str], DataFrame], checks: Mapping[str, list[Check]] | None = None
 ) -> DataFrame:
-    """One line for each check; ``table`` gives the DataFrame of a name.
-
-    By default all checks of sources and models; ``tests`` picks kinds of checks.
-    """
-    chosen = {**SOURCE_CHECKS, **MODEL_CHECKS} if checks is None else checks
-    parts = []
-    for name, rules in chosen.items():
-        wanted = [r for r in rules if tests is None or r.test in tests]
-        if wanted:
-            parts.append(run_checks(table(name), name, wanted))
+    """One line for each check, all by default; ``table`` gives the DataFrame of a name."""
+    chosen = checks_of() if checks is None else checks
+    parts = [run_checks(table(name), name, rules) for name, rules in chosen.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from functools import cached_property
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,16 +23,48 @@ from tallybrook.sources.tables import conform, find_landing_tables, read_landing
 Keep = Callable[[str, str, DataFrame], DataFrame]
 
 
+#: Every model and how it is made from others, lower layers first.
+MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "bronze_customers": lambda w: bronze.bronze_customers(w["customers"]),
+    "bronze_orders": lambda w: bronze.bronze_orders(w["orders"], w.settings),
+    "bronze_order_items": lambda w: bronze.bronze_order_items(w["order_items"]),
+    "bronze_order_payments": lambda w: bronze.bronze_order_payments(w["order_payments"]),
+    "bronze_products": lambda w: bronze.bronze_products(w["products"], w["product_categories"]),
+    "silver_customers": lambda w: silver.silver_customers(
+        w["bronze_customers"], w["bronze_orders"], w["bronze_order_items"], w.settings
+    ),
+    "silver_orders": lambda w: silver.silver_orders(
+        w["bronze_orders"], w["bronze_order_items"], w["bronze_order_payments"]
+    ),
+    "silver_order_items": lambda w: silver.silver_order_items(
+        w["bronze_order_items"], w["bronze_orders"], w["bronze_products"], w.hot_items()
+    ),
+    "gold_revenue_by_month": lambda w: gold.gold_revenue_by_month(w["silver_orders"]),
+    "gold_revenue_by_category": lambda w: gold.gold_revenue_by_category(w["silver_order_items"]),
+    "gold_revenue_by_state": lambda w: gold.gold_revenue_by_state(w["silver_orders"], w["silver_customers"]),
+    "gold_top_products": lambda w: gold.gold_top_products(
+        w["silver_order_items"], w["bronze_products"], w.settings
+    ),
+    "gold_top_customers": lambda w: gold.gold_top_customers(w["silver_customers"], w.settings),
+    "gold_kpis": lambda w: gold.gold_kpis(
+        w["silver_orders"], w["silver_customers"], w["silver_order_items"], w.settings
+    ),
+}
+
+#: Models large enough to be stored by month, which then prunes their readers.
+BY_MONTH = {"silver_orders", "silver_order_items"}
+
+
 class Warehouse:
-    """Bronze, silver and gold models over the loaded tables.
+    """Bronze, silver and gold models over the loaded tables, by name.
 
     A model is made when first asked for. By default it stays a plan, so a
     question about one model is answered in one job that reads only the columns
     it needs; with ``keep`` each model can be written, and its readers start
     from the written table.
 
-    ``probe`` is where hot keys of the items are looked for: any DataFrame with
-    the items' order and product ids, by default the bronze items.
+    ``probe`` gives the rows in which hot keys of the items are looked for: any
+    DataFrame with the items' order and product ids, by default the bronze items.
     """
 
     def __init__(
@@ -39,120 +72,41 @@ class Warehouse:
         raw: Mapping[str, DataFrame],
         settings: Settings = Settings(),
         keep: Keep = lambda layer, name, rows: rows,
-        probe: DataFrame | None = None,
+        probe: Callable[[], DataFrame] | None = None,
     ):
         self.raw = raw
         self.settings = settings
         self._keep = keep
         self._probe = probe
+        self._made: dict[str, DataFrame] = {}
+        self._being_made = {name: Lock() for name in MODELS}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.raw[name] if name in self.raw else getattr(self, name)
+        if name not in MODELS:
+            return self.raw[name]
+        with self._being_made[name]:
+            if name not in self._made:
+                layer = name.split("_")[0]
+                self._made[name] = self._keep(layer, name, MODELS[name](self))
+            return self._made[name]
 
-    @cached_property
     def hot_items(self) -> dict[str, list]:
-        rows = self.bronze_order_items if self._probe is None else self._probe
+        rows = self["bronze_order_items"] if self._probe is None else self._probe()
         return hot_keys(rows, ["order_id", "product_id"])
 
-    @cached_property
-    def bronze_customers(self) -> DataFrame:
-        return self._keep("bronze", "bronze_customers", bronze.bronze_customers(self.raw["customers"]))
-
-    @cached_property
-    def bronze_orders(self) -> DataFrame:
-        return self._keep("bronze", "bronze_orders", bronze.bronze_orders(self.raw["orders"], self.settings))
-
-    @cached_property
-    def bronze_order_items(self) -> DataFrame:
-        return self._keep("bronze", "bronze_order_items", bronze.bronze_order_items(self.raw["order_items"]))
-
-    @cached_property
-    def bronze_order_payments(self) -> DataFrame:
-        rows = bronze.bronze_order_payments(self.raw["order_payments"])
-        return self._keep("bronze", "bronze_order_payments", rows)
-
-    @cached_property
-    def bronze_products(self) -> DataFrame:
-        rows = bronze.bronze_products(self.raw["products"], self.raw["product_categories"])
-        return self._keep("bronze", "bronze_products", rows)
-
-    @cached_property
-    def silver_customers(self) -> DataFrame:
-        rows = silver.silver_customers(
-            self.bronze_customers, self.bronze_orders, self.bronze_order_items, self.settings
-        )
-        return self._keep("silver", "silver_customers", rows)
-
-    @cached_property
-    def silver_orders(self) -> DataFrame:
-        rows = silver.silver_orders(self.bronze_orders, self.bronze_order_items, self.bronze_order_payments)
-        return self._keep("silver", "silver_orders", rows)
-
-    @cached_property
-    def silver_order_items(self) -> DataFrame:
-        rows = silver.silver_order_items(
-            self.bronze_order_items, self.bronze_orders, self.bronze_products, self.hot_items
-        )
-        return self._keep("silver", "silver_order_items", rows)
-
-    @cached_property
-    def gold_revenue_by_month(self) -> DataFrame:
-        return self._keep("gold", "gold_revenue_by_month", gold.gold_revenue_by_month(self.silver_orders))
-
-    @cached_property
-    def gold_revenue_by_category(self) -> DataFrame:
-        rows = gold.gold_revenue_by_category(self.silver_order_items)
-        return self._keep("gold", "gold_revenue_by_category", rows)
-
-    @cached_property
-    def gold_revenue_by_state(self) -> DataFrame:
-        rows = gold.gold_revenue_by_state(self.silver_orders, self.silver_customers)
-        return self._keep("gold", "gold_revenue_by_state", rows)
-
-    @cached_property
-    def gold_top_products(self) -> DataFrame:
-        rows = gold.gold_top_products(self.silver_order_items, self.bronze_products, self.settings)
-        return self._keep("gold", "gold_top_products", rows)
-
-    @cached_property
-    def gold_top_customers(self) -> DataFrame:
-        rows = gold.gold_top_customers(self.silver_customers, self.settings)
-        return self._keep("gold", "gold_top_customers", rows)
-
-    @cached_property
-    def gold_kpis(self) -> DataFrame:
-        rows = gold.gold_kpis(
-            self.silver_orders, self.silver_customers, self.silver_order_items, self.settings
-        )
-        return self._keep("gold", "gold_kpis", rows)
-
-
-MODELS = [
-    "bronze_customers",
-    "bronze_orders",
-    "bronze_order_items",
-    "bronze_order_payments",
-    "bronze_products",
-    "silver_customers",
-    "silver_orders",
-    "silver_order_items",
-    "gold_revenue_by_month",
-    "gold_revenue_by_category",
-    "gold_revenue_by_state",
-    "gold_top_products",
-    "gold_top_customers",
-    "gold_kpis",
-]
-
-#: Models large enough to be stored by month, which then prunes their readers.
-BY_MONTH = {"silver_orders", "silver_order_items"}
+    def build(self, names: Iterable[str] = tuple(MODELS), threads: int = 4) -> Warehouse:
+        """Make the named models, all by default, up to ``threads`` of them at a time."""
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(self.__getitem__, [n for n in MODELS if n in set(names)]))
+        return self
 
 
-def keep_in(root: str) -> Keep:
+def keep_in(root: str, by_month: bool = True) -> Keep:
     """Write each model below ``root`` and let its readers start from there."""
 
     def keep(layer: str, name: str, rows: DataFrame) -> DataFrame:
-        return write_table(rows, root, layer, name, "purchase_month" if name in BY_MONTH else None)
+        month = "purchase_month" if by_month and name in BY_MONTH else None
+        return write_table(rows, root, layer, name, month)
 
     return keep
 
@@ -203,8 +157,6 @@ def build_models(
 ) -> Warehouse:
     """Check the loaded tables, write all models, check the models."""
     enforce(quality_report(raw.__getitem__, SOURCE_CHECKS))
-    warehouse = Warehouse(raw, settings, keep_in(warehouse_root))
-    for name in MODELS:
-        warehouse[name]
+    warehouse = Warehouse(raw, settings, keep_in(warehouse_root)).build()
     enforce(quality_report(warehouse.__getitem__))
     return warehouse

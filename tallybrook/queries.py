@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import cache, cached_property
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from tallybrook.operators.joins import hot_keys
 from tallybrook.operators.upsert import read_version, upsert
 from tallybrook.plans import dashboard, gold, lake
 from tallybrook.plans.cleaning import CLEANERS, clean_audit
-from tallybrook.plans.quality import MODEL_CHECKS, SOURCE_CHECKS, quality_report
+from tallybrook.plans.quality import SOURCE_CHECKS, checks_of, quality_report
 from tallybrook.plans.settings import Settings
-from tallybrook.plans.warehouse import Warehouse, keep_in
+from tallybrook.plans.warehouse import MODELS, Warehouse, keep_in
 from tallybrook.sources.schemas import KEYS, LOAD_TIME
 from tallybrook.sources.star_schema import landing_table, star_raw_schema
 from tallybrook.sources.tables import conform, read_landing, shared_folder, write_csv, write_table
@@ -57,15 +58,14 @@ class Tables:
         self.clean = _Lazy(lambda t: CLEANERS[t](self.landing[t]))
         self.raw = _Lazy(lambda t: conform(self.clean[t], star_raw_schema(t)))
 
-    @cached_property
-    def models(self) -> Warehouse:
-        return Warehouse(self.raw, SETTINGS, probe=self.landing["order_items"])
+        self.models = Warehouse(self.raw, SETTINGS, probe=lambda: self.landing["order_items"])
 
-    def written_models(self) -> Warehouse:
-        """The same models, each written once; for questions about many of them."""
+    def written(self, models: Iterable[str]) -> Warehouse:
+        """Written loaded tables and models, each made once; for questions about many of them."""
         root = shared_folder(self.spark)
-        raw = {t: write_table(rows, root, "raw", t) for t, rows in self.raw.items()}
-        return Warehouse(raw, SETTINGS, keep_in(root))
+        with ThreadPoolExecutor(len(KEYS)) as pool:
+            raw = dict(zip(KEYS, pool.map(lambda t: write_table(self.raw[t], root, "raw", t), KEYS)))
+        return Warehouse(raw, SETTINGS, keep_in(root, by_month=False)).build(models, threads=8)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -121,8 +121,8 @@ def _referential(t: Tables) -> DataFrame:
 
 def _checked(*tests: str) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
-        models = t.written_models()
-        return quality_report(models.__getitem__, {**SOURCE_CHECKS, **MODEL_CHECKS}, tests or None)
+        checks = checks_of(*tests)
+        return quality_report(t.written(checks).__getitem__, checks)
 
     return build
 
@@ -160,28 +160,13 @@ def queries() -> dict[str, Query]:
         add(f"clean_{table}", lambda t, n=table: t.clean[n])
         add(f"load_{table}", lambda t, n=table: t.raw[n])
     add("clean_audit", _clean_audit)
-    for model in (
-        "bronze_customers",
-        "bronze_orders",
-        "bronze_order_items",
-        "bronze_order_payments",
-        "bronze_products",
-        "silver_customers",
-        "silver_orders",
-        "silver_order_items",
-        "gold_revenue_by_month",
-        "gold_revenue_by_category",
-        "gold_revenue_by_state",
-        "gold_top_products",
-        "gold_top_customers",
-        "gold_kpis",
-    ):
+    for model in MODELS:
         add(model, lambda t, n=model: t.models[n])
     add("lake_orders_enriched", _lake_orders)
     add("lake_customers_enriched", _lake_customers)
     add("lake_products_enriched", _lake_products)
     add("lake_order_items", lambda t: t.clean["order_items"])
-    add("monthly_growth", lambda t: gold.monthly_growth(t.models.silver_orders))
+    add("monthly_growth", lambda t: gold.monthly_growth(t.models["silver_orders"]))
     add("dq_not_null", _checked("not_null"))
     add("dq_unique", _checked("unique"))
     add("dq_accepted_values", _checked("accepted_values"))
@@ -192,13 +177,13 @@ def queries() -> dict[str, Query]:
     add("upsert_customers", _upsert_customers)
     add("upsert_orders", _upsert_orders)
     for kpi in ("total_revenue", "avg_ticket", "orders_customers", "on_time_pct", "avg_delivery_days"):
-        add(f"kpi_{kpi}", lambda t, n=kpi: getattr(dashboard, f"kpi_{n}")(t.models.silver_orders))
-    add("kpi_recurring_pct", lambda t: dashboard.kpi_recurring_pct(t.models.silver_customers))
-    add("top10_categories", lambda t: dashboard.top10_categories(t.models.gold_revenue_by_category))
-    add("top10_states", lambda t: dashboard.top10_states(t.models.gold_revenue_by_state))
-    add("top10_products", lambda t: dashboard.top10_products(t.models.gold_top_products))
-    add("top10_customers", lambda t: dashboard.top10_customers(t.models.gold_top_customers))
-    add("category_market_share", lambda t: dashboard.category_market_share(t.models.gold_revenue_by_category))
+        add(f"kpi_{kpi}", lambda t, n=kpi: getattr(dashboard, f"kpi_{n}")(t.models["silver_orders"]))
+    add("kpi_recurring_pct", lambda t: dashboard.kpi_recurring_pct(t.models["silver_customers"]))
+    add("top10_categories", lambda t: dashboard.top10_categories(t.models["gold_revenue_by_category"]))
+    add("top10_states", lambda t: dashboard.top10_states(t.models["gold_revenue_by_state"]))
+    add("top10_products", lambda t: dashboard.top10_products(t.models["gold_top_products"]))
+    add("top10_customers", lambda t: dashboard.top10_customers(t.models["gold_top_customers"]))
+    add("category_market_share", lambda t: dashboard.category_market_share(t.models["gold_revenue_by_category"]))
     add("csv_ingest", _csv_ingest)
     add("incremental_ingest", _incremental_ingest)
     return found

@@ -98,7 +98,7 @@ def write_table(
     else:
         rows = df.hint("rebalance", partition_by)
         rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def shared_folder(spark: SparkSession) -> str:
