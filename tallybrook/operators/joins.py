@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 MOST_HOT_KEYS = 100
 #: Size of the frequency sketch; it surely finds a key with 1/2,500 of all rows or more.
 SKETCH_ITEMS = 10_000
+#: Salts of a hot key for each shuffle partition; several, as salts fall into partitions by hash.
+SALTS_PER_PARTITION = 4
 
 
 def hot_keys(df: DataFrame, columns: Sequence[str], share: float = 0.001) -> dict[str, list]:
@@ -46,7 +48,7 @@ def spread_join(
         raise ValueError(f"cannot spread a {how} join")
     if not hot:
         return left.join(right, on, how)
-    salts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    salts = SALTS_PER_PARTITION * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = [v for v in hot if v is not None]
     repeated = F.col(on).isin(values) if values else F.lit(False)
     scattered = repeated | F.col(on).isNull() if None in hot else repeated

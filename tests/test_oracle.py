@@ -1,0 +1,30 @@
+"""Every query against its SQL, on the smallest test tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import connect, difference
+
+SF = "/root/testdata/sf0.001"
+SQL = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF)
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query(spark, duck, name):
+    df = contract.queries()[name](spark, SF)
+    result = duck.execute(SQL[name])
+    names = [d[0] for d in result.description]
+    assert difference(df.columns, [tuple(r) for r in df.collect()], names, result.fetchall()) is None
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0

@@ -1,0 +1,63 @@
+import pytest
+
+from tallybrook.operators.checks import (
+    ChecksFailed,
+    accepted_range,
+    accepted_values,
+    check_reference,
+    enforce,
+    not_null,
+    run_checks,
+    unique,
+)
+from tallybrook.plans.quality import checks_of
+
+
+def test_there_are_46_checks():
+    kinds = {k: sum(len(r) for r in checks_of(k).values()) for k in
+             ("not_null", "unique", "accepted_values", "accepted_range")}
+    assert kinds == {"not_null": 25, "unique": 14, "accepted_values": 4, "accepted_range": 3}
+
+
+@pytest.fixture
+def report(frame):
+    df = frame("id, kind, price int", ("a", "x", 1), ("a", "z", 0), ("b", "y", -1), ("b", None, None), (None, "q", 2),
+               (None, "x", 3))
+    rules = (
+        not_null("id", "kind")
+        + unique("id")
+        + accepted_values("kind", ["x", "y"])
+        + accepted_range("price", 0)
+        + accepted_range("price", 0, inclusive=False)
+    )
+    return run_checks(df, "things", rules)
+
+
+def test_only_not_null_objects_to_nulls(report, rows):
+    assert rows(report, "column_name", "test", "failing_rows", "passed") == [
+        ("id", "not_null", 2, False),
+        ("id", "unique", 2, False),
+        ("kind", "accepted_values", 2, False),
+        ("kind", "not_null", 1, False),
+        ("price", "accepted_range", 1, False),
+        ("price", "accepted_range", 2, False),
+    ]
+
+
+def test_enforce(report, frame):
+    with pytest.raises(ChecksFailed, match="things.id unique: 2"):
+        enforce(report)
+    good = run_checks(frame("id", ("a",)), "things", unique("id"))
+    assert enforce(good) is good
+
+
+def test_checks_of_an_empty_table_pass(frame):
+    empty = frame("id, price int", ("a", 1)).where("false")
+    assert run_checks(empty, "t", not_null("id") + unique("id") + accepted_range("price", 0)).where("passed").count() == 3
+
+
+def test_references(frame, rows):
+    child = frame("order_id, customer", ("1", "a"), ("2", "a"), ("3", "x"), ("4", "x"), ("5", None))
+    parent = frame("id", ("a",), ("b",))
+    assert rows(check_reference(child, "customer", parent, "id", "orders"), "failing_rows", "passed") == [(2, False)]
+    assert check_reference(child.where("customer = 'a'"), "customer", parent, "id", "orders").first().passed

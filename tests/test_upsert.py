@@ -1,0 +1,73 @@
+from datetime import datetime
+
+import pytest
+
+from tallybrook.operators.upsert import committed_versions, read_version, upsert, upsert_table
+
+COLUMNS = "id, city, created_at timestamp_ntz"
+OLD, NEW = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+@pytest.fixture
+def sides(frame):
+    target = frame(COLUMNS, ("a", "x", OLD), ("b", "y", OLD))
+    batch = frame(COLUMNS, ("b", "z", NEW), ("c", None, NEW))
+    return target, batch
+
+
+def test_upsert_inserts_updates_and_keeps(sides, rows):
+    first, second = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    assert rows(upsert(*sides, ["id"])) == [("a", "x", first), ("b", "z", first), ("c", None, second)]
+
+
+def test_update_to_null_counts(frame, rows):
+    target = frame(COLUMNS, ("a", "x", None))
+    assert rows(upsert(target, frame(COLUMNS, ("a", None, None)), ["id"])) == [("a", None, None)]
+
+
+def test_batch_without_load_time(frame, rows):
+    target = frame(COLUMNS, ("a", "x", OLD))
+    result = upsert(target, frame("id, city", ("a", "y"), ("b", "z")), ["id"])
+    assert rows(result) == [("a", "y", datetime(2024, 1, 1)), ("b", "z", None)]
+
+
+def test_upsert_twice_is_once(sides, rows):
+    target, batch = sides
+    once = upsert(target, batch, ["id"])
+    assert rows(upsert(once, batch, ["id"])) == rows(once)
+
+
+def test_repeated_key_fails(sides, frame):
+    batch = frame(COLUMNS, ("b", "z", NEW), ("b", "w", NEW))
+    with pytest.raises(Exception, match="occurs twice"):
+        upsert(sides[0], batch, ["id"]).collect()
+
+
+def test_versions(spark, sides, frame, rows, tmp_path):
+    root = str(tmp_path / "t")
+    target, batch = sides
+    assert read_version(spark, root) is None
+    assert upsert_table(target, root, ["id"]) == 1
+    assert upsert_table(batch, root, ["id"]) == 2
+    two = rows(read_version(spark, root))
+    # The same version again starts from the same base.
+    assert upsert_table(batch, root, ["id"], version=2) == 2
+    assert rows(read_version(spark, root)) == two
+    upsert_table(frame(COLUMNS, ("d", "v", NEW)), root, ["id"])
+    assert committed_versions(spark, root) == [2, 3]
+    assert read_version(spark, root).count() == 4
+
+
+def test_unfinished_version_does_not_count(spark, sides, tmp_path):
+    root = tmp_path / "t"
+    upsert_table(sides[0], str(root), ["id"])
+    (root / "version=0000000002").mkdir()
+    assert committed_versions(spark, str(root)) == [1]
+
+
+def test_failed_batch_leaves_the_table(spark, sides, frame, tmp_path):
+    root = str(tmp_path / "t")
+    upsert_table(sides[0], root, ["id"])
+    with pytest.raises(Exception):
+        upsert_table(frame(COLUMNS, ("b", "z", NEW), ("b", "w", NEW)), root, ["id"])
+    assert committed_versions(spark, root) == [1] and read_version(spark, root).count() == 2
