@@ -77,6 +77,15 @@ def _case(value: str, choices: dict[str, object]) -> str:
     return f"CASE {value} " + " ".join(f"WHEN {k!r} THEN {v!r}" for k, v in choices.items()) + " END"
 
 
+def _cents(amount: str) -> str:
+    """SQL for an amount with two decimals as a whole number of hundredths, exact in a double.
+
+    One division at the end then gives the double next to the true value, the
+    same as exact decimal arithmetic would.
+    """
+    return f"rint({amount} * 100)"
+
+
 def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     state = _case("c_nationkey", dict(enumerate(NATION_STATES)))
     return customer.join(nation, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
@@ -150,8 +159,8 @@ def _order_items(lineitem: DataFrame) -> DataFrame:
         "string(l_partkey) AS product_id",
         "string(l_suppkey) AS seller_id",
         "l_shipdate AS shipping_limit_date",
-        "cast(l_extendedprice AS decimal(12, 2)) AS price",
-        "cast(l_extendedprice AS decimal(12, 2)) * cast(l_tax AS decimal(4, 2)) AS freight_value",
+        "l_extendedprice AS price",
+        f"{_cents('l_extendedprice')} * {_cents('l_tax')} / 10000.0D AS freight_value",
     )
 
 
@@ -161,7 +170,7 @@ def _order_payments(lineitem: DataFrame) -> DataFrame:
     return (
         lineitem.groupBy("l_orderkey", F.expr("l_returnflag || l_linestatus AS kind"))
         .agg(
-            F.expr("sum(cast(l_extendedprice AS decimal(12, 2))) AS payment_value"),
+            F.expr(f"sum(bigint({_cents('l_extendedprice')})) / 100.0D AS payment_value"),
             F.expr("int(count(*)) AS payment_installments"),
         )
         .selectExpr(
