@@ -2,58 +2,81 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
+from math import ceil, log2
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most keys that are treated as hot, and with them the list's size on the driver.
-MOST_HOT_KEYS = 100
-#: Size of the frequency sketch; it surely finds a key with 1/2,500 of all rows or more.
-SKETCH_ITEMS = 10_000
-#: Salts of a hot key for each shuffle partition; several, as salts fall into partitions by hash.
-SALTS_PER_PARTITION = 4
+#: A key is hot from this share of all rows on, so there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1 / 2000
+#: Size of the frequency sketch; its error is about a ten-thousandth of all rows.
+SKETCH_ITEMS = 20_000
+#: Salts of a key with all rows, for each shuffle partition; several, as salts meet by hash.
+SALTS_PER_PARTITION = 16
 
+#: Share of all rows for each hot value of a column; None stands for NULL.
+Hot = Mapping[object, float]
 
-def hot_keys(df: DataFrame, columns: Sequence[str], share: float = 0.001) -> dict[str, list]:
-    """The values of each column that at least ``share`` of all rows have.
+
+def hot_keys(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> dict[str, dict]:
+    """For each column the values that at least ``share`` of all rows have, with their share.
 
     Runs one job that reads these columns only and does not shuffle rows: a
-    mergeable frequency sketch for each column. At most ``MOST_HOT_KEYS`` values
-    for each column reach the driver. None stands for NULL. The result steers
-    the layout of a join, never its rows, so a sketch is good enough.
+    mergeable frequency sketch for each column. No more than 1 / ``share`` values
+    of a column can reach the driver. The result steers the layout of a join,
+    never its rows, so a sketch is good enough.
     """
-    sketches = [f"approx_top_k(`{c}`, {MOST_HOT_KEYS}, {SKETCH_ITEMS}) AS `top_{c}`" for c in columns]
+    most = int(1 / share)
+    sketches = [f"approx_top_k(`{c}`, {most}, {SKETCH_ITEMS}) AS `top_{c}`" for c in columns]
     nulls = [f"count_if(`{c}` IS NULL) AS `null_{c}`" for c in columns]
     seen = df.selectExpr("count(*) AS n", *sketches, *nulls).first()
-    least = max(share * seen["n"], 1)
     found = {}
     for c in columns:
-        values = [t["item"] for t in seen[f"top_{c}"] or [] if t["item"] is not None and t["count"] >= least]
-        found[c] = values + ([None] if seen[f"null_{c}"] >= least else [])
+        counts = {t["item"]: t["count"] for t in seen[f"top_{c}"] or []}
+        counts[None] = seen[f"null_{c}"]
+        found[c] = {value: n / seen["n"] for value, n in counts.items() if n and n >= share * seen["n"]}
     return found
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: str, how: str = "left", hot: Sequence = ()
+    left: DataFrame, right: DataFrame, on: str, how: str = "left", hot: Hot | None = None
 ) -> DataFrame:
-    """Join on one column; rows of the ``hot`` keys are spread over all shuffle partitions.
+    """Join on one column; left rows of the ``hot`` keys are spread over the shuffle partitions.
 
     Left rows of a hot key get a salt from their own content (the same again when
     a lost task is repeated) and the right rows of that key are copied once for
-    each salt. All other rows join as usual; without hot keys this is the plain
-    join. ``how`` is inner, left, left_semi or left_anti.
+    each salt. A key has salts in proportion to its share, so for unique right
+    keys all copies together are no more than some rows for each partition. All
+    other rows join as usual; without hot keys this is the plain join. ``how`` is
+    inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     if not hot:
         return left.join(right, on, how)
-    salts = SALTS_PER_PARTITION * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = [v for v in hot if v is not None]
-    repeated = F.col(on).isin(values) if values else F.lit(False)
-    scattered = repeated | F.col(on).isNull() if None in hot else repeated
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = _salts(F.col(on), hot, partitions)
     content = [c for c in left.columns if c != on] or [on]
-    salt = F.pmod(F.xxhash64(*content), F.lit(salts)).cast("int")
-    copies = F.when(repeated, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted = left.withColumn("_salt", F.when(scattered, salt).otherwise(0))
+    salt = F.pmod(F.xxhash64(*content), salts).cast("int")
+    salted = left.withColumn("_salt", salt)
+    # A NULL joins with nothing, so a right row with one needs no copies.
+    copies = F.when(F.col(on).isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
     return salted.join(right.withColumn("_salt", F.explode(copies)), [on, "_salt"], how).drop("_salt")
+
+
+def _salts(key: Column, hot: Hot, partitions: int) -> Column:
+    """Number of salts of a key, a power of two for a hot one and 1 for the others."""
+    classes = defaultdict(list)
+    for value, share in hot.items():
+        wanted = max(share * partitions * SALTS_PER_PARTITION, 2)
+        classes[2 ** ceil(log2(wanted))].append(value)
+    number = F.lit(1)
+    for count, values in classes.items():
+        known = [v for v in values if v is not None]
+        if known:
+            number = F.when(key.isin(known), count).otherwise(number)
+        if None in values:
+            number = F.when(key.isNull(), count).otherwise(number)
+    return number

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,43 +39,101 @@ def upsert(
     return joined.select(columns)
 
 
-def _version_path(root: str, version: int) -> str:
-    return f"{root}/version={version:010d}"
+def _files(spark: SparkSession, pattern: str) -> list[str]:
+    fs, where = file_system(spark, pattern)
+    return [str(f.getPath()) for f in fs.globStatus(where) or []]
+
+
+def _versions(spark: SparkSession, root: str) -> dict[int, tuple[str, int]]:
+    """Folder and number of buckets of each version that was written to its end."""
+    found = {}
+    for marker in _files(spark, f"{root}/version=*/buckets=*/_SUCCESS"):
+        folder = marker.rsplit("/", 1)[0]
+        version, buckets = (int(part.split("=")[1]) for part in folder.split("/")[-2:])
+        found[version] = (folder, buckets)
+    return found
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Versions of a table that were written to their end, ascending."""
-    fs, where = file_system(spark, f"{root}/version=*/_SUCCESS")
-    found = fs.globStatus(where) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+    return sorted(_versions(spark, root))
 
 
-def read_version(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
-    """The newest committed version (older than ``below``), or None."""
-    versions = [v for v in committed_versions(spark, root) if below is None or v < below]
-    return spark.read.parquet(_version_path(root, versions[-1])) if versions else None
+def read_version(
+    spark: SparkSession, root: str, below: int | None = None, keys: Sequence[str] = ()
+) -> DataFrame | None:
+    """The newest committed version (older than ``below``), or None.
+
+    With the table's ``keys`` it is read by buckets, so that a join on the keys
+    needs no shuffle of it.
+    """
+    versions = {v: at for v, at in _versions(spark, root).items() if below is None or v < below}
+    if not versions:
+        return None
+    folder, buckets = versions[max(versions)]
+    rows = spark.read.parquet(folder)
+    if not keys:
+        return rows
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    by = ", ".join(f"`{k}`" for k in keys)
+    name = _passing_name()
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS "
+        f"LOCATION '{folder}'"
+    )
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+def _passing_name() -> str:
+    # Only a table of the catalog can have buckets. The entry names an external
+    # folder and is dropped at once; the files stay.
+    return f"tallybrook_{uuid.uuid4().hex}"
 
 
 def upsert_table(
-    batch: DataFrame, root: str, keys: Sequence[str], version: int | None = None, retain: int | None = 2
+    batch: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    version: int | None = None,
+    retain: int | None = 2,
+    buckets: int | None = None,
 ) -> int:
     """Upsert ``batch`` into the versioned table at ``root``; returns the version written.
 
-    A version is a directory of its own that counts once its success marker is
+    A version is a folder of its own that counts once its success marker is
     there, so readers never see half a write and a failed or repeated job leaves
     the former version whole. Naming the ``version`` makes a repeat write the
     same version from the same base. The newest ``retain`` versions are kept.
+
+    The files are bucketed by the keys, which are unique and so fill the buckets
+    evenly: an upsert shuffles the batch to the table's buckets and never the
+    table. ``buckets`` counts for the first version, later ones take it over.
     """
     spark = batch.sparkSession
+    there = _versions(spark, root)
     if version is None:
-        version = max(committed_versions(spark, root), default=0) + 1
-    base = read_version(spark, root, below=version)
-    merged = batch if base is None else upsert(base, batch, keys)
+        version = max(there, default=0) + 1
+    base = read_version(spark, root, version, keys)
     if base is None:
+        count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         merged = require_unique(batch, keys)
-    merged.write.mode("overwrite").parquet(_version_path(root, version))
+    else:
+        count = there[max(v for v in there if v < version)][1]
+        merged = upsert(base, batch, keys)
+    place = f"{root}/version={version:010d}"
+    fs, where = file_system(spark, place)
+    fs.delete(where, True)
+    name = _passing_name()
+    (
+        merged.write.bucketBy(count, *keys)
+        .sortBy(*keys)
+        .option("path", f"{place}/buckets={count}")
+        .saveAsTable(name)
+    )
+    spark.sql(f"DROP TABLE {name}")
     if retain is not None:
         for old in [v for v in committed_versions(spark, root) if v <= version][:-retain]:
-            fs, where = file_system(spark, _version_path(root, old))
-            fs.delete(where, True)
+            fs.delete(file_system(spark, f"{root}/version={old:010d}")[1], True)
     return version

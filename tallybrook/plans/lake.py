@@ -9,14 +9,12 @@ orders without purchases keep NULLs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.dates import whole_days
 from tallybrook.functions.numbers import ratio
-from tallybrook.operators.joins import spread_join
+from tallybrook.operators.joins import Hot, spread_join
 from tallybrook.plans.settings import Settings
 
 _EXACT = "decimal(18,4)"
@@ -88,7 +86,7 @@ def products_enriched(
     categories: DataFrame,
     items: DataFrame,
     orders: DataFrame,
-    hot_orders: Sequence = (),
+    hot_orders: Hot | None = None,
 ) -> DataFrame:
     """Products with units and revenue from delivered orders; missing numbers become 0."""
     delivered = orders.where(F.col("order_status") == "delivered").select("order_id")

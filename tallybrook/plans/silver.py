@@ -6,14 +6,14 @@ to one row for each order before any join, and distinct orders be counted as row
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.dates import day_of_week, month_start, nearest_days
 from tallybrook.functions.numbers import ratio
-from tallybrook.operators.joins import spread_join
+from tallybrook.operators.joins import Hot, spread_join
 from tallybrook.plans.settings import Settings
 from tallybrook.sources.schemas import LOAD_TIME, ORDER_DATES
 
@@ -108,7 +108,7 @@ def silver_order_items(
     items: DataFrame,
     orders: DataFrame,
     products: DataFrame,
-    hot: Mapping[str, Sequence] | None = None,
+    hot: Mapping[str, Hot] | None = None,
 ) -> DataFrame:
     """Items with the fields of their order and product, NULL where there is none.
 
@@ -124,8 +124,8 @@ def silver_order_items(
         month_start(F.col("purchase_timestamp")).alias("purchase_month"),
     )
     product = products.select("product_id", "category_name", "category_name_english", "weight_g")
-    placed = spread_join(items, order, "order_id", "left", hot.get("order_id", ()))
-    described = spread_join(placed, product, "product_id", "left", hot.get("product_id", ()))
+    placed = spread_join(items, order, "order_id", "left", hot.get("order_id"))
+    described = spread_join(placed, product, "product_id", "left", hot.get("product_id"))
     return described.select(
         "order_id",
         "order_item_id",

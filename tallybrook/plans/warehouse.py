@@ -90,7 +90,7 @@ class Warehouse:
                 self._made[name] = self._keep(layer, name, MODELS[name](self))
             return self._made[name]
 
-    def hot_items(self) -> dict[str, list]:
+    def hot_items(self) -> dict[str, dict]:
         rows = self["bronze_order_items"] if self._probe is None else self._probe()
         return hot_keys(rows, ["order_id", "product_id"])
 

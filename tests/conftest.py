@@ -22,6 +22,7 @@ def spark(tmp_path_factory) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("catalog")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

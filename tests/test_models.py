@@ -177,7 +177,7 @@ def test_silver_items_keep_items_of_old_orders_and_unknown_products(s_items):
 
 
 def test_silver_items_with_hot_keys(shop, s_items):
-    hot = {"order_id": ["o1"], "product_id": ["p1", None]}
+    hot = {"order_id": {"o1": 0.3}, "product_id": {"p1": 0.5, None: 0.1}}
     spread = silver.silver_order_items(shop["b_items"], shop["b_orders"], shop["b_products"], hot)
     assert spread.columns == s_items.columns and spread.exceptAll(s_items).isEmpty()
     assert s_items.exceptAll(spread).isEmpty()
@@ -288,4 +288,4 @@ def test_lake_products(shop, rows):
         ("p3", 1, 10.0, 10.0, None, 0),
     ]
     assert rows(lake.products_enriched(*args), *columns) == expected
-    assert rows(lake.products_enriched(*args, hot_orders=["o1"]), *columns) == expected
+    assert rows(lake.products_enriched(*args, hot_orders={"o1": 0.4}), *columns) == expected

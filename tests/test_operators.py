@@ -35,18 +35,20 @@ def test_require_unique(frame, rows):
 
 
 def _skewed(spark, n=30_000):
-    """A third of the rows has one key, another fifth has none."""
+    """A third of the rows has one key, a seventh has none."""
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 900)
     return spark.range(n).select(key.cast("bigint").alias("k"), F.col("id").alias("v"))
 
 
 def test_hot_keys_finds_heavy_values_and_nulls(spark):
     found = hot_keys(_skewed(spark), ["k", "v"], share=0.05)
-    assert found == {"k": [7, None], "v": []}
+    assert found["k"].keys() == {7, None} and found["v"] == {}
+    assert found["k"][7] == pytest.approx(1 / 3, abs=0.01)
+    assert found["k"][None] == pytest.approx(2 / 15, abs=0.001)
 
 
 def test_hot_keys_of_nothing(spark):
-    assert hot_keys(_skewed(spark).where("false"), ["k"]) == {"k": []}
+    assert hot_keys(_skewed(spark).where("false"), ["k"]) == {"k": {}}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -54,7 +56,7 @@ def test_spread_join_is_the_plain_join(spark, how):
     left = _skewed(spark)
     right = spark.range(0, 800, 7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
     plain = left.join(right, "k", how)
-    spread = spread_join(left, right, "k", how, [7, None, 14])
+    spread = spread_join(left, right, "k", how, {7: 0.33, None: 0.13, 14: 0.0005})
     assert spread.columns == plain.columns
     assert spread.count() == plain.count() and spread.exceptAll(plain).isEmpty()
 
@@ -65,7 +67,7 @@ def test_spread_join_spreads_the_hot_key(spark):
     try:
         left = _skewed(spark)
         right = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
-        joined = spread_join(left, right, "k", "left", [7, None]).withColumn("part", F.spark_partition_id())
+        joined = spread_join(left, right, "k", "left", hot_keys(left, ["k"])["k"]).withColumn("part", F.spark_partition_id())
         for key in ("k = 7", "k IS NULL"):
             sizes = [r["count"] for r in joined.where(key).groupBy("part").count().collect()]
             assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
@@ -76,7 +78,7 @@ def test_spread_join_spreads_the_hot_key(spark):
 
 def test_spread_join_refuses_other_joins(spark):
     with pytest.raises(ValueError):
-        spread_join(spark.range(1), spark.range(1), "id", "full_outer", [0])
+        spread_join(spark.range(1), spark.range(1), "id", "full_outer", {0: 0.5})
 
 
 @FEW

@@ -71,3 +71,20 @@ def test_failed_batch_leaves_the_table(spark, sides, frame, tmp_path):
     with pytest.raises(Exception):
         upsert_table(frame(COLUMNS, ("b", "z", NEW), ("b", "w", NEW)), root, ["id"])
     assert committed_versions(spark, root) == [1] and read_version(spark, root).count() == 2
+
+
+def test_table_is_not_shuffled(spark, sides, rows, tmp_path):
+    root = str(tmp_path / "t")
+    upsert_table(sides[0], root, ["id"], buckets=5)
+    base = read_version(spark, root, keys=["id"])
+    assert rows(base) == rows(sides[0])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = upsert(base, sides[1], ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    target = plan[plan.index("SortMergeJoin") : plan.index("Bucketed: true")]
+    assert "Exchange" not in target
+    upsert_table(sides[1], root, ["id"])
+    assert read_version(spark, root, keys=["id"]).count() == 3
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tallybrook_")]
