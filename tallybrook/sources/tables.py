@@ -58,20 +58,23 @@ def conform(df: DataFrame, schema: T.StructType, load_time: datetime | None = No
     round half up, and text longer than its declared limit is refused. The load
     time is ``load_time``, NULL by default; other absent columns become NULL.
     """
-    return df.selectExpr(*[f"{_conformed(df, f, load_time)} AS `{f.name}`" for f in schema])
-
-
-def _conformed(df: DataFrame, field: T.StructField, load_time: datetime | None) -> str:
-    dtype = field.dataType.simpleString()
-    if field.name not in df.columns:
-        known = field.name == LOAD_TIME and load_time is not None
-        return f"cast({repr(str(load_time)) if known else 'NULL'} AS {dtype})"
-    value = f"cast(`{field.name}` AS {dtype})"
-    limit = (field.metadata or {}).get("max_length")
-    if limit is None:
-        return value
-    too_long = f"raise_error('{field.name}: value longer than {limit}')"
-    return f"CASE WHEN length({value}) > {limit} THEN {too_long} ELSE {value} END"
+    present = [f for f in schema if f.name in df.columns]
+    limits = {f.name: f.metadata["max_length"] for f in present if "max_length" in f.metadata}
+    # A condition beside the columns, not around them: keys stay plain columns, so
+    # a join on them can use the partitioning that the rows already have.
+    refused = " ".join(
+        f"WHEN length(string(`{c}`)) > {n} THEN raise_error('{c}: value longer than {n}')"
+        for c, n in limits.items()
+    )
+    fitting = df.where(f"CASE {refused} ELSE true END") if refused else df
+    return fitting.selectExpr(*[_column(f, f in present, load_time) for f in schema])
+
+
+def _column(field: T.StructField, present: bool, load_time: datetime | None) -> str:
+    value = f"`{field.name}`" if present else "NULL"
+    if not present and field.name == LOAD_TIME and load_time is not None:
+        value = f"'{load_time}'"
+    return f"cast({value} AS {field.dataType.simpleString()}) AS `{field.name}`"
 
 
 def schema_name(layer: str | None, default: str = "public") -> str:
