@@ -9,6 +9,24 @@ from tallybrook.functions.numbers import ones, percent, ratio
 from tallybrook.plans.gold import delivered_orders
 
 
+#: How each report is read: its columns, first to last, "-" for descending.
+REPORT_ORDER = {
+    "gold_revenue_by_month": ["purchase_month"],
+    "gold_revenue_by_category": ["-total_revenue", "category"],
+    "gold_revenue_by_state": ["-total_revenue", "state"],
+    "gold_top_products": ["revenue_rank", "product_id"],
+    "gold_top_customers": ["spending_rank", "customer_id"],
+}
+
+
+def in_order(report: str, rows: DataFrame) -> DataFrame:
+    """The rows of a gold model sorted for reading; a stored table has no order."""
+    columns = REPORT_ORDER[report]
+    return rows.orderBy(
+        *[F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc() for c in columns]
+    )
+
+
 def _top(df: DataFrame, value: str, tie: str, k: int = 10) -> DataFrame:
     return df.orderBy(F.col(value).desc_nulls_last(), F.col(tie).asc()).limit(k)
 

@@ -19,14 +19,18 @@ def ingest_new_files(
     target: str,
     checkpoint: str,
     schema: T.StructType | None = None,
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Take in all files of ``landing`` that no earlier run took, then stop.
 
     Each file is taken exactly once through the checkpoint. Batch n writes version
     n + 1 of the target from the version before it, so a batch that is repeated
     after a failure writes the same version again. A later row of a key updates
-    an earlier one; no watermark is needed, as the key decides.
+    an earlier one; no watermark is needed, as the key decides. The target belongs
+    to this stream alone.
+
+    A batch writes the whole table anew, so a run is one batch by default;
+    ``files_per_batch`` splits a run that would be too large at once.
     """
     declared = raw_schema(table) if schema is None else schema
 
@@ -34,16 +38,17 @@ def ingest_new_files(
         cleaned = conform(CLEANERS[table](batch), declared)
         upsert_table(cleaned, target, KEYS[table], version=batch_id + 1)
 
-    files = (
+    reader = (
         spark.readStream.schema(landing_schema(table))
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landing)
     )
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        files.writeStream.foreachBatch(load)
+        reader.csv(landing)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

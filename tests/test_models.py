@@ -289,3 +289,12 @@ def test_lake_products(shop, rows):
     ]
     assert rows(lake.products_enriched(*args), *columns) == expected
     assert rows(lake.products_enriched(*args, hot_orders={"o1": 0.4}), *columns) == expected
+
+
+def test_reports_are_read_in_order(s_items, s_orders):
+    from tallybrook.plans.dashboard import in_order
+
+    by_category = in_order("gold_revenue_by_category", gold.gold_revenue_by_category(s_items)).collect()
+    assert [r.category for r in by_category] == ["toys", "livros"]
+    by_month = in_order("gold_revenue_by_month", gold.gold_revenue_by_month(s_orders)).collect()
+    assert [r.purchase_month.month for r in by_month] == [1, 1, 3]
