@@ -31,5 +31,7 @@ def nearest_days(start: Column, end: Column) -> Column:
 
 def moment(as_of: datetime | None) -> Column:
     """``as_of``, or the start of the query when it is None."""
-    now = F.localtimestamp() if as_of is None else F.lit(as_of)
-    return now.cast("timestamp_ntz")
+    if as_of is None:
+        return F.localtimestamp()
+    # As text: a datetime literal would be read in the time zone of this process.
+    return F.lit(str(as_of)).cast("timestamp_ntz")

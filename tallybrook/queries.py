@@ -61,11 +61,20 @@ class Tables:
         self.models = Warehouse(self.raw, SETTINGS, probe=lambda: self.landing["order_items"])
 
     def written(self, models: Iterable[str]) -> Warehouse:
-        """Written loaded tables and models, each made once; for questions about many of them."""
+        """The models over loaded tables that are written once; for questions about many of them.
+
+        Silver and gold models are written too. Bronze ones are read off the loaded
+        tables, as they are only a filter away.
+        """
         root = shared_folder(self.spark)
+        write = keep_in(root, by_month=False)
+
+        def keep(layer: str, name: str, rows: DataFrame) -> DataFrame:
+            return rows if layer == "bronze" else write(layer, name, rows)
+
         with ThreadPoolExecutor(len(KEYS)) as pool:
             raw = dict(zip(KEYS, pool.map(lambda t: write_table(self.raw[t], root, "raw", t), KEYS)))
-        return Warehouse(raw, SETTINGS, keep_in(root, by_month=False)).build(models, threads=8)
+        return Warehouse(raw, SETTINGS, keep).build(models, threads=8)
 
 
 def comparable(df: DataFrame) -> DataFrame:

@@ -108,14 +108,17 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables, inside the folder the cluster names.
 
     Only a session without ``spark.checkpoint.dir`` that runs on one machine gets
-    a local folder.
+    a local folder. The folder is removed when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tallybrook-{uuid.uuid4().hex}"
+    fs, where = file_system(spark, f"{base.rstrip('/')}/tallybrook-{uuid.uuid4().hex}")
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return str(where)
 
 
 def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:

@@ -28,3 +28,14 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["clean_orders", "silver_orders", "gold_top_customers", "gold_kpis", "upsert_customers", "csv_ingest"]
+)
+def test_session_time_zone_plays_no_part(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        test_query(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
