@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from tallybrook import oracle, queries
 
 SF = "/root/testdata/sf0.001"
-SQL = contract.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(SQL)
+    assert set(queries.queries()) == set(SQL)
+
+
+def test_contract_lists_every_query():
+    assert set(queries.queries()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
