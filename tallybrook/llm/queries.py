@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.mixing import mix
 from tallybrook.llm.private import BASE, find_private, span_list
+from tallybrook.llm.toxicity import fit, held_out, score
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,17 @@ def op4_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, table(spark, root, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_private(spark: SparkSession, root: str) -> DataFrame:
     found = find_private(table(spark, root, "documents").select("doc_id", "text"))
     counts = [F.expr(f"bigint(size(filter(spans, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in BASE]
@@ -30,4 +42,4 @@ def op9_private(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_mixing, op9_private)}
+    return {f.__name__: f for f in (op4_mixing, op5_toxicity, op9_private)}
