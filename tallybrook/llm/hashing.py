@@ -1,4 +1,4 @@
-"""Hashes of many substrings of a byte text at once, in numpy."""
+"""Hashes of many substrings of a text at once, in numpy."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Odd, so that it has an inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15 | 5
-_INVERSE = pow(BASE, -1, 1 << 64)
+#: Odd, so that they have inverses modulo 2**64; one for each of two independent hashes.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,40 +20,46 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=4)
+def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
-    for base in (BASE, _INVERSE):
-        steps = np.full(1 << bits, base, dtype=np.uint64)
+    for b in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(1 << bits, b, dtype=np.uint64)
         steps[0] = 1
         out.append(np.multiply.accumulate(steps))
     return out[0], out[1]
 
 
+@lru_cache(maxsize=4)
+def _values(size: int, base: int) -> np.ndarray:
+    """Odd numbers in place of the units themselves, whose sums are too regular."""
+    return mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(base)) | np.uint64(1)
+
+
 class Substrings:
-    """Hashes of substrings of one text: equal strings have equal hashes wherever they are."""
+    """Hashes of substrings of one text: equal strings have equal hashes wherever they are.
+
+    ``data`` has bytes or 16-bit units. ``which`` picks one of two independent hashes.
+    """
 
-    def __init__(self, data: np.ndarray):
-        bits = max(16, int(len(data) + 1).bit_length())
-        self._power, self._inverse = _powers(bits)
+    def __init__(self, data: np.ndarray, which: int = 0):
+        bits = max(12, int(len(data) + 1).bit_length())
+        power, self._inverse = _powers(BASES[which], bits)
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        # A table of odd numbers in place of the bytes themselves, whose sums are too regular.
-        np.cumsum(_BYTE_VALUES[data] * self._power[: len(data)], out=self.sums[1:])
+        np.cumsum(_values(1 << (8 * data.itemsize), BASES[which])[data] * power[: len(data)], out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self.sums[end] - self.sums[start]) * self._inverse[start]
         return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def hash_all(self, width: int) -> np.ndarray:
-        """Hashes of all substrings of ``width`` bytes, by their start."""
+        """Hashes of all substrings of ``width`` units, by their start."""
         n = len(self.sums) - width
         if n <= 0:
             return np.zeros(0, dtype=np.uint64)
         return mix((self.sums[width:] - self.sums[:n]) * self._inverse[:n])
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
-
 #: Blank, and the controls from tab to return.
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -76,3 +81,8 @@ def runs(data: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def as_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+
+
+def as_units(text: str) -> np.ndarray:
+    """UTF-16 units of a text."""
+    return np.frombuffer(text.encode("utf-16-le", "surrogatepass"), dtype=np.uint16)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.llm.mixing import mix
+from tallybrook.llm.pieces import digest_texts
 from tallybrook.llm.private import BASE, find_private, span_list
 from tallybrook.llm.toxicity import fit, held_out, score
 
@@ -34,6 +36,10 @@ def op5_toxicity(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op8_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return digest_texts(table(spark, root, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_private(spark: SparkSession, root: str) -> DataFrame:
     found = find_private(table(spark, root, "documents").select("doc_id", "text"))
     counts = [F.expr(f"bigint(size(filter(spans, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in BASE]
@@ -42,4 +48,4 @@ def op9_private(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_mixing, op5_toxicity, op9_private)}
+    return {f.__name__: f for f in (op4_mixing, op5_toxicity, op8_pieces, op9_private)}
