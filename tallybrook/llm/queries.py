@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tallybrook.llm.mixing import mix
 from tallybrook.llm.pieces import digest_texts
 from tallybrook.llm.private import BASE, find_private, span_list
+from tallybrook.llm.tokenfile import read_corpus, write_corpus
 from tallybrook.llm.toxicity import fit, held_out, score
+from tallybrook.sources.tables import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +38,12 @@ def op5_toxicity(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op6_tokens(spark: SparkSession, root: str) -> DataFrame:
+    folder = shared_folder(spark)
+    write_corpus(table(spark, root, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_corpus(spark, folder).select("doc_id", "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
+
+
 def op8_pieces(spark: SparkSession, root: str) -> DataFrame:
     return digest_texts(table(spark, root, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -48,4 +56,4 @@ def op9_private(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_mixing, op5_toxicity, op8_pieces, op9_private)}
+    return {f.__name__: f for f in (op4_mixing, op5_toxicity, op6_tokens, op8_pieces, op9_private)}
