@@ -13,6 +13,8 @@ from tallybrook.llm.pieces import digest_texts
 from tallybrook.llm.private import BASE, find_private, span_list
 from tallybrook.llm.tokenfile import read_corpus, write_corpus
 from tallybrook.llm.toxicity import fit, held_out, score
+from tallybrook.llm.topk import search
+from tallybrook.llm.warc import read_archive, write_archive
 from tallybrook.sources.tables import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +24,12 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op3_warc(spark: SparkSession, root: str) -> DataFrame:
+    folder = shared_folder(spark)
+    write_archive(table(spark, root, "pages"), folder)
+    return read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_mixing(spark: SparkSession, root: str) -> DataFrame:
     mixed = mix(table(spark, root, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -44,6 +52,10 @@ def op6_tokens(spark: SparkSession, root: str) -> DataFrame:
     return read_corpus(spark, folder).select("doc_id", "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
 
 
+def op7_topk(spark: SparkSession, root: str) -> DataFrame:
+    return search(table(spark, root, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_pieces(spark: SparkSession, root: str) -> DataFrame:
     return digest_texts(table(spark, root, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -56,4 +68,4 @@ def op9_private(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_mixing, op5_toxicity, op6_tokens, op8_pieces, op9_private)}
+    return {f.__name__: f for f in (op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk, op8_pieces, op9_private)}
