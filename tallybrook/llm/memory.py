@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tallybrook.llm.hashing import Substrings, as_units
 
 #: Runs remembered at most; then all are forgotten. About 40 bytes each.
-MOST = 2_000_000
+MOST = 1_500_000
 #: Characters of the texts that are encoded together; a longer text goes alone.
 TOGETHER = 500_000
 
@@ -26,6 +28,19 @@ def grouped(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield first, texts[first:]
 
 
+def small_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of consecutive rows whose texts together are short, as ``grouped`` has them."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    first, length = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and length + n > TOGETHER:
+            yield batch.slice(first, i - first)
+            first, length = i, 0
+        length += n
+    if first < len(sizes):
+        yield batch.slice(first)
+
+
 class RunMemory:
     """Ids of runs: new ones are segmented by ``segment``, the others looked up.
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallybrook.llm.memory import RunMemory, grouped, joined_units, per_text
+from tallybrook.llm.memory import RunMemory, grouped, joined_units, per_text, small_slices
 
 #: The library's mark for a blank.
 BLANK = "▁"
@@ -252,14 +252,7 @@ def encode_texts(
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"`{column}` binary", "decoded string"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary, check)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            coded, decoded = [], []
-            for first, group in grouped(texts):
-                ids = encoder.encode_batch(group)
-                coded += [encoder.head + x.astype("<u4").tobytes() + encoder.tail for x in ids]
-                decoded += encoder.library.decode([[encoder.begin, *x.tolist(), encoder.end] for x in ids], num_threads=1)
+        for batch, coded, decoded in _encoded(batches, at, vocabulary, check):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(coded, pa.binary()), pa.array(decoded, pa.string())],
                 [*kept, column, "decoded"],
@@ -268,6 +261,19 @@ def encode_texts(
     return rows.mapInArrow(run, schema)
 
 
+def _encoded(
+    batches: Iterator[pa.RecordBatch], at: int, vocabulary: str, check: bool
+) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[str]]]:
+    """Slices of the batches with the ids of the texts in column ``at`` and what these decode to."""
+    encoder = _encoder(vocabulary, check)
+    for batch in batches:
+        for few in small_slices(batch, at):
+            ids = encoder.encode_batch([t or "" for t in few.column(at).to_pylist()])
+            coded = [encoder.head + x.astype("<u4").tobytes() + encoder.tail for x in ids]
+            decoded = encoder.library.decode([[encoder.begin, *x.tolist(), encoder.end] for x in ids], num_threads=1)
+            yield few, coded, decoded
+
+
 @lru_cache(maxsize=1)
 def _encoder(path: str, check: bool) -> PieceEncoder:
     """One encoder for a worker process, whose memory of runs serves all its tasks."""
@@ -281,19 +287,17 @@ def digest_texts(docs: DataFrame, vocabulary: str, check: bool = True) -> DataFr
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            coded = batch.column("token_ids").to_pylist()
-            texts = batch.column("decoded").to_pylist()
+        for few, coded, decoded in _encoded(batches, 1, vocabulary, check):
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    few.column(0),
                     pa.array([len(b) // 4 for b in coded], pa.int64()),
                     pa.array([hashlib.sha256(b).hexdigest() for b in coded]),
-                    pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts]),
+                    pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in decoded]),
                 ],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    rows = encode_texts(docs.select("doc_id", "text"), vocabulary, check=check).select("doc_id", "token_ids", "decoded")
+    rows = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

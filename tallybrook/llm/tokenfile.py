@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.memory import TOGETHER
+from tallybrook.llm.memory import small_slices
 from tallybrook.llm.rans import Table, decode, encode
 from tallybrook.llm.words import word_encoder
 
@@ -70,22 +70,14 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
         wide = encoder.library.get_vocab_size() > 1 << 16
         for batch in batches:
-            ids_of = batch.column(0).to_pylist()
-            texts = batch.column(1)
-            first = 0
-            while first < len(ids_of):
-                last, length = first, 0
-                while last < len(ids_of) and (last == first or length < TOGETHER):
-                    length += len(texts[last].as_py() or "")
-                    last += 1
-                group = [t or "" for t in texts.slice(first, last - first).to_pylist()]
-                for doc_id, ids in zip(ids_of[first:last], encoder.encode_batch(group)):
+            for few in small_slices(batch, 1):
+                texts = [t or "" for t in few.column(1).to_pylist()]
+                for doc_id, ids in zip(few.column(0).to_pylist(), encoder.encode_batch(texts)):
                     doc_ids.append(_NO_ID if doc_id is None else doc_id)
                     found.append(np.append(ids, end_id))
                     held += len(ids) + 1
                     if held >= BLOCK_IDS:
                         yield close()
-                first = last
         if found:
             yield close()
 
