@@ -14,6 +14,7 @@ from tallybrook.llm.private import BASE, find_private, span_list
 from tallybrook.llm.tokenfile import read_corpus, write_corpus
 from tallybrook.llm.toxicity import fit, held_out, score
 from tallybrook.llm.topk import search
+from tallybrook.llm.vectors import link_vectors
 from tallybrook.llm.warc import read_archive, write_archive
 from tallybrook.sources.tables import shared_folder
 
@@ -67,5 +68,9 @@ def op9_private(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", *counts, base, span_list("spans").alias("spans"))
 
 
+def op10_vectors(spark: SparkSession, root: str) -> DataFrame:
+    return link_vectors(table(spark, root, "embeddings"), shared_folder(spark))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk, op8_pieces, op9_private)}
+    return {f.__name__: f for f in (op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk, op8_pieces, op9_private, op10_vectors)}
