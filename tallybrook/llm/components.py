@@ -63,8 +63,8 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         return pairs.join(least, "u").where(which).select(F.col("v").alias("a"), F.col("m").alias("b"))
 
     now = written(_within_tasks(links.where("a <> b").select("a", "b")).distinct(), 0)
-    mark, turn = None, 0
-    while True:
+    turn = 0
+    while not _flat(now):
         # Larger neighbours of each node, then smaller ones and the node itself.
         both = now.selectExpr("a AS u", "b AS v").unionAll(now.selectExpr("b AS u", "a AS v"))
         large = told(both, "v > u").where("a <> b").distinct()
@@ -73,7 +73,11 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         small = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
         turn += 1
         now = written(small.unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), turn)
-        new = now.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
-        if new == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        mark = new
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _flat(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none itself."""
+    ends = links.selectExpr("a AS node", "1 AS up", "0 AS down").unionAll(links.selectExpr("b AS node", "0 AS up", "1 AS down"))
+    counts = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counts.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()

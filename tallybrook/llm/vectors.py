@@ -287,4 +287,4 @@ def link_vectors(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
     )
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

