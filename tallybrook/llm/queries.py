@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallybrook.llm.mixing import mix
 from tallybrook.llm.pieces import digest_texts
 from tallybrook.llm.private import BASE, find_private, span_list
+from tallybrook.llm.repeats import cut_repeats
 from tallybrook.llm.shingles import group
 from tallybrook.llm.tokenfile import read_corpus, write_corpus
 from tallybrook.llm.toxicity import fit, held_out, score
@@ -26,6 +27,11 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_repeats(spark: SparkSession, root: str) -> DataFrame:
+    cut = cut_repeats(table(spark, root, "documents").select("doc_id", "text"), shared_folder(spark))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_shingles(spark: SparkSession, root: str) -> DataFrame:
     return group(table(spark, root, "documents").select("doc_id", "text"), shared_folder(spark))
 
@@ -78,4 +84,4 @@ def op10_vectors(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_shingles, op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk, op8_pieces, op9_private, op10_vectors)}
+    return {f.__name__: f for f in (op1_repeats, op2_shingles, op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk, op8_pieces, op9_private, op10_vectors)}

@@ -1,0 +1,100 @@
+"""Repeated strings against a dictionary of all of them."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallybrook.llm import repeats as module
+from tallybrook.llm.queries import op1_repeats
+from tallybrook.llm.repeats import LENGTH, cut_repeats, phrases, repeated_strings
+
+
+def brute(rows):
+    data = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(d[p : p + LENGTH] for _, d in data for p in range(len(d) - LENGTH + 1))
+    out = []
+    for i, d in data:
+        gone = bytearray(len(d))
+        for p in range(len(d) - LENGTH + 1):
+            if seen[d[p : p + LENGTH]] > 1:
+                gone[p : p + LENGTH] = b"\1" * LENGTH
+        spans = sum(1 for p in range(len(d)) if gone[p] and not (p and gone[p - 1]))
+        out.append((i, len(d), sum(gone), spans, bytes(c for c, g in zip(d, gone) if not g)))
+    return sorted(out, key=str)
+
+
+def got(spark, rows, folder):
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, mark int").repartition(4)
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in cut_repeats(docs, folder).collect()), key=str)
+
+
+def made(seed):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(150)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passages = [text(n) for n in (20, 39, 45, 60, 120, 400)] + ["ab" * 300, "z" * 700]
+    rows = []
+    for i in range(120):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            p = rng.choice(passages)
+            if rng.random() < 0.4:
+                a = rng.randrange(len(p))
+                p = p[: a] + rng.choice("xyü") + p[a + 1 :]
+            parts += [text(rng.randint(0, 30)), p[rng.randrange(1 + len(p) // 3) :]]
+        rows.append((i, " ".join(parts)))
+    rows += [(500 + i, rows[i][1]) for i in range(10)] + [(900, "q" * 199), (901, "q" * 199), (902, "r" * 200), (903, "s" * 201)]
+    return rows
+
+
+@pytest.mark.parametrize("most", [2048, 1])
+def test_against_all_strings(spark, tmp_path, monkeypatch, most):
+    # With most = 1 every core goes the way of those with very many entries.
+    monkeypatch.setattr(module, "MOST_ENTRIES", most)
+    monkeypatch.setattr(module, "TOGETHER", 3000)
+    rows = made(most)
+    assert got(spark, rows, f"file://{tmp_path}") == brute(rows)
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "short"), (None, "n" * 250), (None, "m" + "n" * 230), (4, "twice " * 50), (4, "twice " * 50), (5, "x" * 100_000)]
+    rows += [(6, "".join(chr(33 + i % 90) + str(i) for i in range(80)))]
+    assert got(spark, rows, f"file://{tmp_path}/a") == brute(rows)
+    assert got(spark, [(1, "a")], f"file://{tmp_path}/b") == brute([(1, "a")])
+    assert got(spark, [], f"file://{tmp_path}/c") == []
+
+
+def test_phrases_cover_every_start_once():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(97, 97 + k, n).astype(np.uint8) for k, n in ((3, 1000), (1, 500), (20, 199), (20, 200), (26, 5000), (2, 0), (9, 201))]
+    bounds = np.append(0, np.cumsum([len(t) for t in texts]))
+    first, n, core, phrase = phrases(np.concatenate(texts), bounds)
+    covered = sorted(s for f, k in zip(first, n) for s in range(f, f + k))
+    assert covered == [b + s for b, t in zip(bounds, texts) for s in range(len(t) - LENGTH + 1)]
+    # A string has the same trigger, and so the same core, wherever it stands.
+    again = np.concatenate([rng.integers(97, 123, 333).astype(np.uint8), texts[4]])
+    f2, n2, c2, _ = phrases(again, np.array([0, len(again)]))
+    at = {s: c for f, k, c in zip(f2, n2, c2) for s in range(f, f + k)}
+    base = bounds[4]
+    for f, k, c in zip(first, n, core):
+        if base <= f < bounds[5]:
+            assert all(at[s - base + 333] == c for s in range(f, f + k))
+
+
+def test_sorted_suffixes():
+    a, b = b"x" * 10 + bytes(range(200)) + b"y", b"zz" + bytes(range(200)) + b"\0"
+    owner, which = repeated_strings([a, b, b"w" * 201])
+    assert list(zip(owner, which)) == [(0, 10), (1, 2), (2, 0), (2, 1)]
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    want = sorted((i, a, b, c, hashlib.sha256(k).hexdigest()) for i, a, b, c, k in brute(rows))
+    assert sorted(map(tuple, op1_repeats(spark, folder).collect())) == want
+    assert sum(r[2] for r in want)
