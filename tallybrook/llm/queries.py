@@ -33,7 +33,7 @@ def op1_repeats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op2_shingles(spark: SparkSession, root: str) -> DataFrame:
-    return group(table(spark, root, "documents").select("doc_id", "text"), shared_folder(spark))
+    return group(table(spark, root, "documents").select("doc_id", "text"), shared_folder(spark), words=2)
 
 
 def op3_warc(spark: SparkSession, root: str) -> DataFrame:

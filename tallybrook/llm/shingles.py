@@ -14,8 +14,8 @@ from tallybrook.llm.components import components
 from tallybrook.llm.hashing import LOWER, SPACES, Substrings, as_bytes, mix, runs
 from tallybrook.llm.memory import small_slices
 
-#: Words of a shingle, and the least similarity of linked documents in percent.
-WORDS, LEAST_PERCENT = 2, 80
+#: Words of a shingle unless said otherwise, and the least similarity of linked documents in percent.
+WORDS, LEAST_PERCENT = 5, 80
 #: Bands of a signature and ranks in each. Two sets of similarity 0.8 share no band with
 #: a probability of (1 - 0.8 ** 6) ** 48, less than one in two millions.
 BANDS, ROWS = 48, 6
@@ -80,13 +80,13 @@ def bands(elements: np.ndarray) -> np.ndarray:
     return code.view(np.int64)
 
 
-def _signed(docs: DataFrame) -> DataFrame:
+def _signed(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, set_key (a digest of the whole set; NULL for an empty one) and the bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for few in small_slices(batch, 1):
-                found = [shingles(t) for t in few.column(1).to_pylist()]
+                found = [shingles(t, words) for t in few.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         few.column(0),
@@ -101,7 +101,7 @@ def _signed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough.
 
     Both texts go to the pair; rows of one ``a`` come one after another, so its set
@@ -115,8 +115,8 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             a, b = (np.asarray(batch.column(i)) for i in (0, 1))
             for i in range(len(batch)):
                 if a[i] != last:
-                    last, mine = a[i], shingles(batch.column(2)[i].as_py())
-                other = shingles(batch.column(3)[i].as_py())
+                    last, mine = a[i], shingles(batch.column(2)[i].as_py(), words)
+                other = shingles(batch.column(3)[i].as_py(), words)
                 both = len(np.intersect1d(mine, other, assume_unique=True))
                 good[i] = 100 * both >= LEAST_PERCENT * (len(mine) + len(other) - both)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
@@ -126,10 +126,10 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return first.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def group(docs: DataFrame, folder: str) -> DataFrame:
+def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (that is its own).
 
-    Documents are linked if 100 * common >= 80 * all of their sets of 2-word shingles,
+    Documents are linked if 100 * common >= 80 * all of their sets of shingles,
     confirmed on the full sets. Documents with equal sets are one class. Classes that
     share a band of the signature are in a bucket. Buckets are settled in turns: some
     members of each (one in the first turn, then up to HUBS) are compared with all
@@ -149,7 +149,7 @@ def group(docs: DataFrame, folder: str) -> DataFrame:
         rows.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    signed = written(_signed(docs), "signed")
+    signed = written(_signed(docs, words), "signed")
     named = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "bands")).alias("first"))
     classes = classes.select("set_key", "first.doc_id", "first.bands").withColumnRenamed("doc_id", "node")
@@ -185,7 +185,7 @@ def group(docs: DataFrame, folder: str) -> DataFrame:
         met = open_.join(hubs, "bucket").where("component <> hub_component")
         pairs = met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
         pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        links = written(_linked(pairs, texts), f"linked-{turn}")
+        links = written(_linked(pairs, texts, words), f"linked-{turn}")
         known = united.select(F.col("node").alias("a"), F.col("component").alias("b"))
         united = components(links.unionAll(known), f"{folder}/components-{turn}")
         compared = compared.unionAll(pairs)
@@ -202,12 +202,12 @@ def group(docs: DataFrame, folder: str) -> DataFrame:
     )
 
 
-def without_near_copies(docs: DataFrame, folder: str) -> DataFrame:
+def without_near_copies(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id.
 
     Of rows that repeat a doc_id one stays; rows without doc_id all stay.
     """
-    gone = group(docs, folder).where("NOT kept").select("doc_id").distinct()
+    gone = group(docs, folder, words).where("NOT kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").withColumn("_tie", F.xxhash64("text"))
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("_tie"))
     return left.withColumn("_place", first).where("_place = 1 OR doc_id IS NULL").select(*docs.columns)

@@ -15,14 +15,14 @@ from tallybrook.llm.shingles import bands, group, shingles, signature, without_n
 from test_vectors import smallest_reachable
 
 
-def plain(text):
+def plain(text, k=2):
     lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lower)
-    return {tuple(words[i : i + 2]) for i in range(max(1, len(words) - 1))} if words else set()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
 
 
-def brute(rows):
-    sets = [(i, plain(t)) for i, t in rows]
+def brute(rows, k=2):
+    sets = [(i, plain(t, k)) for i, t in rows]
     holders = defaultdict(list)
     for place, (_, s) in enumerate(sets):
         for x in s:
@@ -59,19 +59,19 @@ def made(seed, groups=12, copies=30):
     return [(i * 7 % 10_007, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("hubs", [1, 32])
-def test_against_all_pairs(spark, tmp_path, monkeypatch, hubs):
+@pytest.mark.parametrize("hubs, words", [(1, 2), (32, 5)])
+def test_against_all_pairs(spark, tmp_path, monkeypatch, hubs, words):
     monkeypatch.setattr(module, "HUBS", hubs)
     rows = made(hubs)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert sorted(map(tuple, group(docs, f"file://{tmp_path}").collect())) == brute(rows)
+    assert sorted(map(tuple, group(docs, f"file://{tmp_path}", words).collect())) == brute(rows, words)
 
 
 def test_odd_rows(spark, tmp_path):
     rows = [(1, "Aa  bB"), (2, "aa\tbb"), (3, "aa"), (4, "AA"), (5, ""), (6, None), (7, " \n"), (8, "é b"), (9, "É b"), (10, "x y " * 60_000), (11, "x y " * 50_000), (12, " a b")]
     docs = spark.createDataFrame([(*r, True) for r in rows], "doc_id long, text string, kept boolean")
-    assert sorted(map(tuple, group(docs, f"file://{tmp_path}/a").collect())) == brute(rows)
-    kept = without_near_copies(docs, f"file://{tmp_path}/b")
+    assert sorted(map(tuple, group(docs, f"file://{tmp_path}/a", 2).collect())) == brute(rows)
+    kept = without_near_copies(docs, f"file://{tmp_path}/b", 2)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, _, k in brute(rows) if k]
     twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b"), (2, "a b"), (3, "c")], "doc_id long, text string")
