@@ -144,6 +144,11 @@ def _dice(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id.cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def _one_text(rows: DataFrame) -> DataFrame:
+    """One text for each id, so that an id that many rows repeat is in the sample once."""
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
+
+
 def _collect_features(rows: DataFrame) -> list[np.ndarray]:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,10 +177,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     ids = known.where("toxic = 1").orderBy(_dice(F.col("doc_id")), "doc_id").limit(MOST_CONFIRMED).select("doc_id")
     texts = docs.select("doc_id", "text")
     # MOST_CONFIRMED ids at most: small whatever the corpus.
-    confirmed = _collect_features(texts.join(F.broadcast(ids), "doc_id", "left_semi").select("text"))
+    confirmed = _collect_features(_one_text(texts.join(F.broadcast(ids), "doc_id", "left_semi")))
     share = MOST_UNLABELLED / max(1, docs.count())
     others = texts.where(~held_out(F.col("doc_id")) & (_dice(F.col("doc_id")) < share))
-    unlabelled = _collect_features(others.select("text").limit(2 * MOST_UNLABELLED))
+    unlabelled = _collect_features(_one_text(others))
     return train(confirmed, unlabelled, seen["toxic"] / seen["n"], settings)
 
 
