@@ -11,9 +11,20 @@ def to_number(value: Column, dtype: str = "double") -> Column:
 
 
 def to_timestamp(value: Column) -> Column:
-    """Text as a timestamp: any ISO date or date-time, without a zone.
+    """Text as a timestamp without a zone.
 
-    A bare year or month is not a date, though a plain cast would take it for one.
+    Takes ISO dates and date-times, and day-first ones (``31/12/2024``). A date-time
+    with an offset or Z becomes the same moment in UTC. A bare year or month is not
+    a date, though a plain cast would take it for one.
     """
-    dated = F.when(value.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), value)
-    return dated.try_cast("timestamp_ntz")
+    text = F.trim(F.regexp_replace(value, r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)", "$3-$2-$1"))
+    dated = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?!\d)"), text)
+    zone = r"(?i)(\d{1,2}:\d{2}.*?)\s*(Z|UTC|[+-]\d{2}(?::?\d{2})?)$"
+    with_colon = F.regexp_replace(dated, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.when(dated.rlike(zone), at_utc(with_colon.try_cast("timestamp"))).otherwise(dated.try_cast("timestamp_ntz"))
+
+
+def at_utc(moment: Column) -> Column:
+    """A moment as the timestamp without a zone that clocks show in UTC, whatever the session's zone is."""
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), start)

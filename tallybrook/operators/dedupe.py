@@ -24,17 +24,20 @@ def keep_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df`` unchanged, but the job fails if two rows share a key.
+    """``df`` unchanged, but the job fails if two rows share a key, or a key has a NULL.
 
-    Rows are folded by key with a partial aggregate, so even a batch that is one
-    single repeated key never gathers in one task.
+    That is what a declared primary key refuses. The rows are shuffled and sorted by
+    the keys, which a join or a bucketed write on the keys then uses. Rows of one key
+    stream by one after another, and the second one fails the job, so even a batch
+    that is one single repeated key never gathers.
     """
-    others = [c for c in df.columns if c not in keys]
-    folded = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), F.first(F.struct(*keys, *others)).alias("_row")
-    )
-    repeated = F.raise_error(F.concat(F.lit("key occurs twice in the batch: "), F.to_json(F.struct(*keys))))
-    row = F.when(F.col("_copies") > 1, repeated).otherwise(F.col("_row"))
-    return folded.select(*keys, row.alias("_row")).select(
-        *[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
-    )
+    key = ", ".join(f"`{c}`" for c in keys)
+    absent = " OR ".join(f"`{c}` IS NULL" for c in keys)
+    shown = f"to_json(struct({key}))"
+    checked = f"""
+        CASE WHEN {absent} THEN raise_error(concat('a key of the batch has a NULL: ', {shown}))
+             WHEN _nth > 1 THEN raise_error(concat('key occurs twice in the batch: ', {shown}))
+             ELSE true END"""
+    # The order within a key plays no part; one that is constant adds no sort.
+    nth = f"row_number() OVER (PARTITION BY {key} ORDER BY {key})"
+    return df.withColumn("_nth", F.expr(nth)).where(checked).select(*df.columns)

@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import re
 
-from tallybrook.sources.schemas import ORDER_STATUSES, PAYMENT_TYPES, SEGMENTS, STATES
-from tallybrook.sources.star_schema import NATION_STATES
+# Fixed values, stated anew: a value that goes missing in the jobs shows here.
+STATES = "AC AL AM AP BA CE DF ES GO MA MG MS MT PA PB PE PI PR RJ RN RO RR RS SC SE SP TO".split()
+NATION_STATES = "ap ba ce df es go ma mg ms mt pa pb pe pi pr rj rn ro rr rs sc se sp to xx".split()
+ORDER_STATUSES = "approved canceled delivered invoiced processing shipped".split()
+PAYMENT_TYPES = "boleto credit_card debit_card voucher".split()
+SEGMENTS = "high_value low_value medium_value no_purchase".split()
 
 
 def _in(values: list[str]) -> str:
@@ -479,6 +483,8 @@ SELECTS = {
     + ")",
     "upsert_customers": _UPSERT_CUSTOMERS,
     "upsert_orders": _UPSERT_ORDERS,
+    "upsert_order_items": _all("raw_items", _MONEY["items"]),
+    "upsert_order_payments": _all("raw_payments", _MONEY["payments"]),
     "kpi_total_revenue": "SELECT total_revenue FROM gold_panel",
     "kpi_avg_ticket": "SELECT overall_avg_ticket FROM gold_panel",
     "kpi_orders_customers": "SELECT total_orders, total_customers FROM gold_panel",
@@ -498,6 +504,9 @@ SELECTS = {
         ORDER BY spending_rank, customer_id LIMIT 10""",
     "category_market_share": "SELECT category, category_pt, total_revenue, revenue_share_pct FROM gold_categories",
     "csv_ingest": _CSV_ITEMS,
+    "csv_rejected": """
+        SELECT 'order_items' AS table_name, count(*) AS broken_lines FROM landing_items WHERE order_item_id = 7
+        HAVING count(*) > 0""",
     "incremental_ingest": _all("raw_orders"),
 }
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions.casts import to_number, to_timestamp
+from tallybrook.functions.casts import at_utc, to_number, to_timestamp
 from tallybrook.functions.text import strip, titlecase, zero_fill
 from tallybrook.operators.dedupe import keep_one
 from tallybrook.sources.schemas import (
@@ -39,9 +39,13 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
-    """Dates that come as text are parsed; an order without a readable purchase date is dropped."""
-    text = [c for c, dtype in df.dtypes if c in ORDER_DATES and dtype == "string"]
-    dated = df.withColumns({c: to_timestamp(F.col(c)) for c in text})
+    """Dates are parsed from text or taken as they are; an order without a purchase date is dropped.
+
+    Moments, in text or in a column with a zone, are kept as in UTC.
+    """
+    read = {"string": to_timestamp, "timestamp": at_utc}
+    dates = {c: read[dtype](F.col(c)) for c, dtype in df.dtypes if c in ORDER_DATES and dtype in read}
+    dated = df.withColumns(dates)
     keyed = dated.dropna(subset=["order_id", "customer_id", "purchase_timestamp"])
     one = keep_one(keyed, KEYS["orders"])
     status = F.col("order_status").cast("string")

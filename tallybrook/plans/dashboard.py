@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions.numbers import ones, percent, ratio
-from tallybrook.plans.gold import delivered_orders
-
-
 #: How each report is read: its columns, first to last, "-" for descending.
 REPORT_ORDER = {
     "gold_revenue_by_month": ["purchase_month"],
@@ -31,34 +27,20 @@ def _top(df: DataFrame, value: str, tie: str, k: int = 10) -> DataFrame:
     return df.orderBy(F.col(value).desc_nulls_last(), F.col(tie).asc()).limit(k)
 
 
-def kpi_total_revenue(orders: DataFrame) -> DataFrame:
-    return delivered_orders(orders).agg(F.sum("items_total").alias("total_revenue"))
-
-
-def kpi_avg_ticket(orders: DataFrame) -> DataFrame:
-    mean = ratio(F.sum("items_total"), F.count("items_total"))
-    return delivered_orders(orders).agg(mean.alias("overall_avg_ticket"))
-
-
-def kpi_orders_customers(orders: DataFrame) -> DataFrame:
-    return delivered_orders(orders).agg(
-        F.count("order_id").alias("total_orders"), F.count_distinct("customer_id").alias("total_customers")
-    )
-
-
-def kpi_on_time_pct(orders: DataFrame) -> DataFrame:
-    punctual = percent(F.sum(ones(F.col("delivered_on_time"))), F.count("delivered_on_time"))
-    return delivered_orders(orders).agg(punctual.alias("on_time_delivery_pct"))
-
-
-def kpi_avg_delivery_days(orders: DataFrame) -> DataFrame:
-    mean = ratio(F.sum("delivery_days"), F.count("delivery_days"))
-    return delivered_orders(orders).agg(F.round(mean, 1).alias("avg_delivery_days"))
+#: Single figures, by name: their columns of the panel.
+KPIS = {
+    "total_revenue": ["total_revenue"],
+    "avg_ticket": ["overall_avg_ticket"],
+    "orders_customers": ["total_orders", "total_customers"],
+    "on_time_pct": ["on_time_delivery_pct"],
+    "avg_delivery_days": ["avg_delivery_days"],
+    "recurring_pct": ["recurring_customers_pct"],
+}
 
 
-def kpi_recurring_pct(customers: DataFrame) -> DataFrame:
-    recurring = percent(F.sum(ones(F.col("is_recurring"))), F.count(F.lit(1)))
-    return customers.where(F.col("total_orders") > 0).agg(recurring.alias("recurring_customers_pct"))
+def kpi(panel: DataFrame, name: str) -> DataFrame:
+    """A single figure, read from the one-row panel."""
+    return panel.select(*KPIS[name])
 
 
 def top10_categories(by_category: DataFrame) -> DataFrame:

@@ -109,13 +109,13 @@ def gold_revenue_by_state(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return with_share(totals, "total_revenue", "revenue_share_pct")
 
 
-def gold_top_products(items: DataFrame, products: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def gold_top_products(sold: DataFrame, products: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The products with the most revenue, ranked by revenue and by units among all products.
 
-    Sales are folded by product before the product table is joined, and the units
+    ``sold`` are the items of delivered orders. They are folded by product before the
+    product table is joined, which sees the rows of the report only, and the units
     rank comes from the histogram of units, so no step sorts all products in one task.
     """
-    sold = _delivered_items(items)
     sales = (
         sold.groupBy("product_id", "order_id")
         .agg(
@@ -135,11 +135,10 @@ def gold_top_products(items: DataFrame, products: DataFrame, settings: Settings
             F.max("high").alias("max_price"),
         )
     )
-    units = sold.groupBy("product_id").agg(F.count(F.lit(1)).alias("units_sold"))
     category = products.select("product_id", F.col("category_name_english").alias("category"))
     return (
         top_ranked(sales, "total_revenue", "product_id", settings.top_k, "revenue_rank")
-        .join(ranks_of_counts(units, "units_sold", "units_rank"), "units_sold", "left")
+        .join(ranks_of_counts(sales, "units_sold", "units_rank"), "units_sold", "left")
         .join(category, "product_id", "left")
         .select(
             "product_id",
@@ -193,45 +192,82 @@ def monthly_growth(orders: DataFrame) -> DataFrame:
 def gold_kpis(
     orders: DataFrame,
     customers: DataFrame,
-    items: DataFrame,
+    sold: DataFrame,
+    products: DataFrame,
     settings: Settings = Settings(),
 ) -> DataFrame:
     """The panel of key figures: one row.
 
-    One pass gives all figures about delivered orders; the four that need another
-    grouping are scalar subqueries. Top category and state come from revenue sums
-    alone, ties by name.
+    Delivered orders are folded by customer and month once. These rows are grouped by
+    month and, beside that, by customer; the latter by state. What is left, a row for
+    each month and state, gives all figures but the top category, which needs items
+    (``sold``: those of delivered orders), folded by product before products are
+    joined. Ties of category and state go to the first name.
     """
-    growth = monthly_growth(orders).agg(F.max_by("mom_growth_pct", "purchase_month"))
-    buyers = customers.where(F.col("total_orders") > 0)
-    recurring = buyers.agg(percent(F.sum(ones(F.col("is_recurring"))), F.count(F.lit(1))))
-    sold = _delivered_items(items).where(F.col("category_name").isNotNull())
-    category = sold.groupBy("category_name_english", "category_name").agg(F.sum("price").alias("revenue"))
-    spend = delivered_orders(orders).groupBy("customer_id").agg(F.sum("items_total").alias("spend"))
-    state = (
-        spend.join(customers.select("customer_id", "state"), "customer_id")
-        .groupBy("state")
-        .agg(F.sum("spend").alias("revenue"))
+    folded = (
+        delivered_orders(orders)
+        .groupBy("customer_id", "purchase_month")
+        .agg(
+            F.count("order_id").alias("orders"),
+            F.sum("items_total").alias("revenue"),
+            F.count("items_total").alias("priced"),
+            F.sum(ones(F.col("delivered_on_time"))).alias("on_time"),
+            F.count("delivered_on_time").alias("judged"),
+            F.sum("delivery_days").alias("days"),
+            F.count("delivery_days").alias("timed"),
+        )
+    )
+    sums = ["orders", "revenue", "priced", "on_time", "judged", "days", "timed"]
+    known = customers.select("customer_id", "state", F.lit(True).alias("known"))
+    placed = folded.join(known, "customer_id", "left")
+    customer = F.col("customer_id"), F.col("state"), F.col("known")
+    by_both = placed.groupingSets([[F.col("purchase_month")], [*customer]], F.col("purchase_month"), *customer).agg(
+        F.grouping("purchase_month").alias("is_customer"), *[F.sum(c).alias(c) for c in sums]
+    )
+    of_known = F.when(F.col("known"), F.col("orders"))
+    by_state = by_both.groupBy("is_customer", "purchase_month", "state", "known").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.count("orders").alias("customers"),
+        F.count(of_known).alias("buyers"),
+        F.sum(ones(of_known > 1)).alias("recurring"),
+    )
+
+    def total(column: str) -> Column:
+        return F.sum(F.when(F.col("is_customer") == 1, F.col(column)))
+
+    month = F.when(F.col("is_customer") == 0, F.struct("purchase_month", "revenue"))
+    state = F.when((F.col("is_customer") == 1) & F.col("known"), F.struct(-F.col("revenue"), "state"))
+    last = F.slice(F.sort_array(F.collect_list(month)), -2, 2)
+    figures = by_state.agg(
+        total("revenue").alias("total_revenue"),
+        ratio(total("revenue"), total("priced")).alias("overall_avg_ticket"),
+        F.coalesce(total("orders"), F.lit(0)).alias("total_orders"),
+        F.coalesce(total("customers"), F.lit(0)).alias("total_customers"),
+        percent(total("recurring"), total("buyers")).alias("recurring_customers_pct"),
+        F.when(F.count(month) > 1, last).alias("last"),
+        percent(total("on_time"), total("judged")).alias("on_time_delivery_pct"),
+        F.round(ratio(total("days"), total("timed")), 1).alias("avg_delivery_days"),
+        F.min(state)["state"].alias("top_state"),
     )
-    figures = delivered_orders(orders).agg(
-        F.sum("items_total").alias("total_revenue"),
-        ratio(F.sum("items_total"), F.count("items_total")).alias("overall_avg_ticket"),
-        F.count("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("total_customers"),
-        percent(F.sum(ones(F.col("delivered_on_time"))), F.count("delivered_on_time")).alias("on_time_delivery_pct"),
-        F.round(ratio(F.sum("delivery_days"), F.count("delivery_days")), 1).alias("avg_delivery_days"),
+    now, before = F.col("last")[1]["revenue"], F.col("last")[0]["revenue"]
+    by_product = sold.groupBy("product_id").agg(F.sum("price").alias("revenue"))
+    named = products.where(F.col("category_name").isNotNull())
+    category = (
+        by_product.join(named.select("product_id", "category_name", "category_name_english"), "product_id")
+        .groupBy("category_name_english", "category_name")
+        .agg(F.sum("revenue").alias("revenue"))
     )
     return figures.select(
         "total_revenue",
         "overall_avg_ticket",
         "total_orders",
         "total_customers",
-        recurring.scalar().alias("recurring_customers_pct"),
-        growth.scalar().alias("last_month_growth_pct"),
+        "recurring_customers_pct",
+        percent(now - before, before).alias("last_month_growth_pct"),
         "on_time_delivery_pct",
         "avg_delivery_days",
         _leader(category, "category_name_english").scalar().alias("top_category"),
-        _leader(state, "state").scalar().alias("top_state"),
+        "top_state",
         moment(settings.as_of).alias("calculated_at"),
     )
 

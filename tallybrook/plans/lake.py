@@ -1,7 +1,7 @@
 """Lake enrichment, bronze to silver.
 
-Amounts are doubles here. They are summed as exact decimals, so that a sum does
-not depend on the order in which tasks finish, and handed on as doubles. The
+Amounts are doubles here; see :func:`tallybrook.functions.numbers.total` for their
+sums. An amount that is not finite makes the sums it is in not finite. The
 semantics differ from the warehouse models on purpose: days are cut and not
 rounded, the main payment is the first and not the largest, and customers or
 orders without purchases keep NULLs.
@@ -9,30 +9,22 @@ orders without purchases keep NULLs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.dates import whole_days
-from tallybrook.functions.numbers import ratio
-from tallybrook.operators.joins import Hot, spread_join
+from tallybrook.functions.numbers import ratio, total
 from tallybrook.plans.settings import Settings
 
-_EXACT = "decimal(18,4)"
-
-
-def _total(column: str) -> Column:
-    return F.sum(F.col(column).cast(_EXACT))
-
-
 def orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders with item and payment totals, delivery time and punctuality."""
     bought = items.groupBy("order_id").agg(
-        _total("price").cast("double").alias("items_total"),
-        _total("freight_value").cast("double").alias("freight_total"),
+        total(F.col("price")).alias("items_total"),
+        total(F.col("freight_value")).alias("freight_total"),
         F.count("order_item_id").alias("items_count"),
     )
     paid = payments.groupBy("order_id").agg(
-        _total("payment_value").cast("double").alias("payment_total"),
+        total(F.col("payment_value")).alias("payment_total"),
         F.min_by("payment_type", "payment_sequential").alias("main_payment_type"),
         F.max("payment_installments").alias("max_installments"),
     )
@@ -56,16 +48,16 @@ def customers_enriched(
     customers: DataFrame, orders: DataFrame, items: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Customers with the metrics of their delivered orders, NULL if they have none."""
-    value = items.groupBy("order_id").agg(_total("price").alias("order_value"))
+    value = items.groupBy("order_id").agg(total(F.col("price")).alias("order_value"))
     delivered = orders.where(F.col("order_status") == "delivered")
-    spent = F.coalesce(F.sum("order_value"), F.lit(0)).cast("double")
+    spent = total(F.col("order_value"))
     metrics = (
         delivered.join(value, "order_id", "left")
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("total_orders"),
-            spent.alias("total_spent"),
-            ratio(F.sum("order_value"), F.count("order_value")).alias("avg_ticket"),
+            F.coalesce(spent, F.lit(0.0)).alias("total_spent"),
+            ratio(spent, F.count("order_value")).alias("avg_ticket"),
             F.max("purchase_timestamp").alias("last_order_date"),
             F.min("purchase_timestamp").alias("first_order_date"),
         )
@@ -86,15 +78,14 @@ def products_enriched(
     categories: DataFrame,
     items: DataFrame,
     orders: DataFrame,
-    hot_orders: Hot | None = None,
 ) -> DataFrame:
     """Products with units and revenue from delivered orders; missing numbers become 0."""
     delivered = orders.where(F.col("order_status") == "delivered").select("order_id")
-    sold = spread_join(items, delivered, "order_id", "left_semi", hot_orders)
+    sold = items.select("order_id", "product_id", "price").join(delivered, "order_id", "left_semi")
     metrics = sold.groupBy("product_id").agg(
         F.count("product_id").alias("units_sold"),
-        _total("price").cast("double").alias("total_revenue"),
-        ratio(_total("price"), F.count("price")).alias("avg_price"),
+        total(F.col("price")).alias("total_revenue"),
+        ratio(total(F.col("price")), F.count("price")).alias("avg_price"),
     )
     names = categories.withColumnRenamed("product_category_name", "category_name")
     return products.join(metrics, "product_id", "left").join(names, "category_name", "left").fillna(0)

@@ -6,14 +6,11 @@ to one row for each order before any join, and distinct orders be counted as row
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions.dates import day_of_week, month_start, nearest_days
 from tallybrook.functions.numbers import ratio
-from tallybrook.operators.joins import Hot, spread_join
 from tallybrook.plans.settings import Settings
 from tallybrook.sources.schemas import LOAD_TIME, ORDER_DATES
 
@@ -104,18 +101,12 @@ def silver_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> D
     )
 
 
-def silver_order_items(
-    items: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-    hot: Mapping[str, Hot] | None = None,
-) -> DataFrame:
+def silver_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Items with the fields of their order and product, NULL where there is none.
 
-    ``hot`` names the order and product keys with a large share of the items
-    (see :func:`tallybrook.operators.joins.hot_keys`).
+    Both joins are plain left joins with a unique right key: adaptive execution
+    splits the items of an order or product that fills more than its partition.
     """
-    hot = hot or {}
     order = orders.select(
         "order_id",
         "order_status",
@@ -124,9 +115,7 @@ def silver_order_items(
         month_start(F.col("purchase_timestamp")).alias("purchase_month"),
     )
     product = products.select("product_id", "category_name", "category_name_english", "weight_g")
-    placed = spread_join(items, order, "order_id", "left", hot.get("order_id"))
-    described = spread_join(placed, product, "product_id", "left", hot.get("product_id"))
-    return described.select(
+    return items.join(order, "order_id", "left").join(product, "product_id", "left").select(
         "order_id",
         "order_item_id",
         "product_id",
@@ -144,3 +133,9 @@ def silver_order_items(
         "purchase_month",
         LOAD_TIME,
     )
+
+
+def delivered_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items of delivered orders, without anything about their product."""
+    delivered = orders.where(F.col("order_status") == "delivered").select("order_id")
+    return items.join(delivered, "order_id", "left_semi")

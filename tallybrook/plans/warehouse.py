@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
@@ -10,14 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallybrook.operators.checks import enforce
-from tallybrook.operators.joins import hot_keys
 from tallybrook.operators.upsert import read_version, upsert_table
 from tallybrook.plans import bronze, gold, lake, silver
 from tallybrook.plans.cleaning import CLEANERS
-from tallybrook.plans.quality import SOURCE_CHECKS, quality_report
+from tallybrook.plans.quality import MODEL_CHECKS, SOURCE_CHECKS, quality_report
 from tallybrook.plans.settings import Settings
 from tallybrook.sources.schemas import KEYS, raw_schema
-from tallybrook.sources.tables import conform, find_landing_tables, read_landing, table_path, write_table
+from tallybrook.sources.tables import (
+    conform,
+    find_landing_tables,
+    read_landing,
+    read_rejected,
+    read_table,
+    table_path,
+    write_table,
+)
 
 #: Takes layer, name and rows of a model and returns the rows that its readers see.
 Keep = Callable[[str, str, DataFrame], DataFrame]
@@ -37,17 +44,21 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w["bronze_orders"], w["bronze_order_items"], w["bronze_order_payments"]
     ),
     "silver_order_items": lambda w: silver.silver_order_items(
-        w["bronze_order_items"], w["bronze_orders"], w["bronze_products"], w.hot_items()
+        w["bronze_order_items"], w["bronze_orders"], w["bronze_products"]
     ),
     "gold_revenue_by_month": lambda w: gold.gold_revenue_by_month(w["silver_orders"]),
     "gold_revenue_by_category": lambda w: gold.gold_revenue_by_category(w["silver_order_items"]),
     "gold_revenue_by_state": lambda w: gold.gold_revenue_by_state(w["silver_orders"], w["silver_customers"]),
     "gold_top_products": lambda w: gold.gold_top_products(
-        w["silver_order_items"], w["bronze_products"], w.settings
+        silver.delivered_items(w["bronze_order_items"], w["bronze_orders"]), w["bronze_products"], w.settings
     ),
     "gold_top_customers": lambda w: gold.gold_top_customers(w["silver_customers"], w.settings),
     "gold_kpis": lambda w: gold.gold_kpis(
-        w["silver_orders"], w["silver_customers"], w["silver_order_items"], w.settings
+        w["silver_orders"],
+        w["bronze_customers"],
+        silver.delivered_items(w["bronze_order_items"], w["bronze_orders"]),
+        w["bronze_products"],
+        w.settings,
     ),
 }
 
@@ -62,9 +73,6 @@ class Warehouse:
     question about one model is answered in one job that reads only the columns
     it needs; with ``keep`` each model can be written, and its readers start
     from the written table.
-
-    ``probe`` gives the rows in which hot keys of the items are looked for: any
-    DataFrame with the items' order and product ids, by default the bronze items.
     """
 
     def __init__(
@@ -72,12 +80,10 @@ class Warehouse:
         raw: Mapping[str, DataFrame],
         settings: Settings = Settings(),
         keep: Keep = lambda layer, name, rows: rows,
-        probe: Callable[[], DataFrame] | None = None,
     ):
         self.raw = raw
         self.settings = settings
         self._keep = keep
-        self._probe = probe
         self._made: dict[str, DataFrame] = {}
         self._being_made = {name: Lock() for name in MODELS}
 
@@ -90,10 +96,6 @@ class Warehouse:
                 self._made[name] = self._keep(layer, name, MODELS[name](self))
             return self._made[name]
 
-    def hot_items(self) -> dict[str, dict]:
-        rows = self["bronze_order_items"] if self._probe is None else self._probe()
-        return hot_keys(rows, ["order_id", "product_id"])
-
     def build(self, names: Iterable[str] = tuple(MODELS), threads: int = 4) -> Warehouse:
         """Make the named models, all by default, up to ``threads`` of them at a time."""
         with ThreadPoolExecutor(threads) as pool:
@@ -111,27 +113,34 @@ def keep_in(root: str, by_month: bool = True) -> Keep:
     return keep
 
 
-def clean_layer(spark: SparkSession, landing_root: str, lake_root: str) -> dict[str, DataFrame]:
-    """Landing CSV to cleaned lake tables; a table that fails ends the run."""
-    tables = find_landing_tables(spark, landing_root)
-    return {
-        t: write_table(CLEANERS[t](read_landing(spark, landing_root, t)), lake_root, "bronze", t) for t in tables
-    }
+def clean_layer(
+    spark: SparkSession, landing_root: str, lake_root: str, tables: Sequence[str] = tuple(KEYS)
+) -> dict[str, DataFrame]:
+    """Landing CSV to cleaned lake tables; a table that is absent or fails ends the run.
+
+    All six tables are expected unless ``tables`` names others. Lines that don't fit
+    their header are left out of the lake table and kept in a table of the same
+    name in the layer ``rejected``.
+    """
+    cleaned = {}
+    for t in find_landing_tables(spark, landing_root, tables):
+        write_table(read_rejected(spark, landing_root, t), lake_root, "rejected", t)
+        cleaned[t] = write_table(CLEANERS[t](read_landing(spark, landing_root, t)), lake_root, "bronze", t)
+    return cleaned
 
 
 def enrich_layer(spark: SparkSession, lake_root: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """Cleaned lake tables to enriched ones; items are passed on as they are."""
 
     def bronze_table(name: str) -> DataFrame:
-        return spark.read.parquet(table_path(lake_root, "bronze", name))
+        return read_table(spark, lake_root, "bronze", name)
 
     orders, items, customers = bronze_table("orders"), bronze_table("order_items"), bronze_table("customers")
-    hot = hot_keys(items, ["order_id"])["order_id"]
     outputs = {
         "orders_enriched": lake.orders_enriched(orders, items, bronze_table("order_payments")),
         "customers_enriched": lake.customers_enriched(customers, orders, items, settings),
         "products_enriched": lake.products_enriched(
-            bronze_table("products"), bronze_table("product_categories"), items, orders, hot
+            bronze_table("products"), bronze_table("product_categories"), items, orders
         ),
         "order_items": items,
     }
@@ -145,10 +154,10 @@ def load_layer(
     raw = {}
     for table, keys in KEYS.items():
         schema = raw_schema(table) if money is None else raw_schema(table, money)
-        batch = conform(spark.read.parquet(table_path(lake_root, "bronze", table)), schema)
+        batch = conform(read_table(spark, lake_root, "bronze", table), schema)
         root = table_path(warehouse_root, "raw", table)
         upsert_table(batch, root, keys)
-        raw[table] = read_version(spark, root)
+        raw[table] = read_version(spark, root, keys=keys)
     return raw
 
 
@@ -158,5 +167,5 @@ def build_models(
     """Check the loaded tables, write all models, check the models."""
     enforce(quality_report(raw.__getitem__, SOURCE_CHECKS))
     warehouse = Warehouse(raw, settings, keep_in(warehouse_root)).build()
-    enforce(quality_report(warehouse.__getitem__))
+    enforce(quality_report(warehouse.__getitem__, MODEL_CHECKS))
     return warehouse

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.operators.checks import check_reference
-from tallybrook.operators.joins import hot_keys
-from tallybrook.operators.upsert import read_version, upsert
+from tallybrook.operators.upsert import read_version, upsert, upsert_table
 from tallybrook.plans import dashboard, gold, lake
 from tallybrook.plans.cleaning import CLEANERS, clean_audit
 from tallybrook.plans.quality import SOURCE_CHECKS, checks_of, quality_report
@@ -21,7 +20,7 @@ from tallybrook.plans.settings import Settings
 from tallybrook.plans.warehouse import MODELS, Warehouse, keep_in
 from tallybrook.sources.schemas import KEYS
 from tallybrook.sources.star_schema import landing_table, star_raw_schema
-from tallybrook.sources.tables import conform, read_landing, shared_folder, write_csv, write_table
+from tallybrook.sources.tables import conform, read_landing, read_rejected, shared_folder, write_csv, write_table
 from tallybrook.streaming.incremental import ingest_new_files
 
 #: The test tables have amounts about a thousand times the declared ones.
@@ -57,8 +56,7 @@ class Tables:
         self.landing = _Lazy(lambda t: landing_table(spark, root, t))
         self.clean = _Lazy(lambda t: CLEANERS[t](self.landing[t]))
         self.raw = _Lazy(lambda t: conform(self.clean[t], star_raw_schema(t)))
-
-        self.models = Warehouse(self.raw, SETTINGS, probe=lambda: self.landing["order_items"])
+        self.models = Warehouse(self.raw, SETTINGS)
 
     def written(self, models: Iterable[str]) -> Warehouse:
         """The models over loaded tables that are written once; for questions about many of them.
@@ -99,9 +97,8 @@ def _lake_customers(t: Tables) -> DataFrame:
 
 
 def _lake_products(t: Tables) -> DataFrame:
-    hot = hot_keys(t.landing["order_items"], ["order_id"])["order_id"]
     return lake.products_enriched(
-        t.clean["products"], t.clean["product_categories"], t.clean["order_items"], t.clean["orders"], hot
+        t.clean["products"], t.clean["product_categories"], t.clean["order_items"], t.clean["orders"]
     )
 
 
@@ -124,6 +121,29 @@ def _upsert_orders(t: Tables) -> DataFrame:
     return upsert(first, orders.where(bought >= "1998-01-01"), KEYS["orders"])
 
 
+def _repeated_upsert(table: str) -> Callable[[Tables], DataFrame]:
+    """A batch that is applied to half of its rows, and then once more."""
+
+    def build(t: Tables) -> DataFrame:
+        batch = t.raw[table]
+        once = upsert(batch.where(F.hash(*KEYS[table]) % 2 == 0), batch, KEYS[table])
+        return upsert(once, batch, KEYS[table])
+
+    return build
+
+
+def _load(table: str) -> Callable[[Tables], DataFrame]:
+    """The loaded table: written from half of its rows, then upserted from all of them."""
+
+    def build(t: Tables) -> DataFrame:
+        root, batch, keys = f"{shared_folder(t.spark)}/{table}", t.raw[table], KEYS[table]
+        upsert_table(batch.where(F.hash(*keys) % 2 == 0), root, keys)
+        upsert_table(batch, root, keys)
+        return read_version(t.spark, root, keys=keys)
+
+    return build
+
+
 def _referential(t: Tables) -> DataFrame:
     return check_reference(t.raw["orders"], "customer_id", t.raw["customers"], "customer_id", "orders")
 
@@ -136,11 +156,34 @@ def _checked(*tests: str) -> Callable[[Tables], DataFrame]:
     return build
 
 
-def _csv_ingest(t: Tables) -> DataFrame:
-    """Items as landing CSV, read back as text and cleaned."""
+def _landing_csv(t: Tables) -> str:
+    """Items as landing CSV: two files' worth of columns in different order, and broken lines.
+
+    Even orders have the declared columns, odd ones have them backwards and one more.
+    Lines of the seventh items come once more with a field too many.
+    """
     root = shared_folder(t.spark)
-    write_csv(t.landing["order_items"], f"{root}/order_items.csv")
-    return CLEANERS["order_items"](read_landing(t.spark, root, "order_items"))
+    items = t.landing["order_items"]
+    path = f"{root}/order_items.csv"
+    odd = F.col("order_id").cast("long") % 2 == 1
+    write_csv(items.where(~odd), path)
+    write_csv(items.where(odd).select(F.lit("new").alias("origin"), *reversed(items.columns)), path, mode="append")
+    whole = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in items.columns])
+    name = ",".join(items.columns)
+    broken = items.where("order_item_id = 7").select(F.concat(whole, F.lit(",too much")).alias(name))
+    broken.write.mode("append").option("header", True).option("quote", "").csv(path)
+    return root
+
+
+def _csv_ingest(t: Tables) -> DataFrame:
+    """Items from landing CSV, by name, cleaned."""
+    items = read_landing(t.spark, _landing_csv(t), "order_items")
+    return CLEANERS["order_items"](items.drop("origin")).select(*t.landing["order_items"].columns)
+
+
+def _csv_rejected(t: Tables) -> DataFrame:
+    """The broken lines of landing CSV."""
+    return read_rejected(t.spark, _landing_csv(t), "order_items").groupBy("table_name").agg(F.count("line").alias("broken_lines"))
 
 
 def _incremental_ingest(t: Tables) -> DataFrame:
@@ -167,7 +210,7 @@ def queries() -> dict[str, Query]:
 
     for table in KEYS:
         add(f"clean_{table}", lambda t, n=table: t.clean[n])
-        add(f"load_{table}", lambda t, n=table: t.raw[n])
+        add(f"load_{table}", _load(table))
     add("clean_audit", _clean_audit)
     for model in MODELS:
         add(model, lambda t, n=model: t.models[n])
@@ -185,14 +228,16 @@ def queries() -> dict[str, Query]:
     add("dq_referential", _referential)
     add("upsert_customers", _upsert_customers)
     add("upsert_orders", _upsert_orders)
-    for kpi in ("total_revenue", "avg_ticket", "orders_customers", "on_time_pct", "avg_delivery_days"):
-        add(f"kpi_{kpi}", lambda t, n=kpi: getattr(dashboard, f"kpi_{n}")(t.models["silver_orders"]))
-    add("kpi_recurring_pct", lambda t: dashboard.kpi_recurring_pct(t.models["silver_customers"]))
+    add("upsert_order_items", _repeated_upsert("order_items"))
+    add("upsert_order_payments", _repeated_upsert("order_payments"))
+    for kpi in dashboard.KPIS:
+        add(f"kpi_{kpi}", lambda t, n=kpi: dashboard.kpi(t.models["gold_kpis"], n))
     add("top10_categories", lambda t: dashboard.top10_categories(t.models["gold_revenue_by_category"]))
     add("top10_states", lambda t: dashboard.top10_states(t.models["gold_revenue_by_state"]))
     add("top10_products", lambda t: dashboard.top10_products(t.models["gold_top_products"]))
     add("top10_customers", lambda t: dashboard.top10_customers(t.models["gold_top_customers"]))
     add("category_market_share", lambda t: dashboard.category_market_share(t.models["gold_revenue_by_category"]))
     add("csv_ingest", _csv_ingest)
+    add("csv_rejected", _csv_rejected)
     add("incremental_ingest", _incremental_ingest)
     return found

@@ -12,13 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybrook.sources.schemas import raw_schema
+from tallybrook.sources.schemas import STATES, raw_schema
 
-# State of each nation in order of its key; the last one is invalid.
-NATION_STATES = [
-    "sp", "rj", "mg", "ba", "pr", "rs", "pe", "ce", "pa", "sc", "ma", "go", "am",
-    "pb", "es", "rn", "al", "pi", "mt", "ms", "df", "se", "ro", "to", "xx",
-]
+#: State of each nation in order of its key; the last one is invalid.
+NATION_STATES = [s.lower() for s in STATES[3:]] + ["xx"]
 # Order status by status flag, or by priority where the flag is P.
 FLAG_STATUS = {"F": "delivered", "O": "shipped"}
 PRIORITY_STATUS = {"1": "approved", "2": "invoiced", "3": "processing", "4": "canceled", "5": "unknown"}

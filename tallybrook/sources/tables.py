@@ -2,53 +2,122 @@
 
 from __future__ import annotations
 
-import tempfile
+import csv
 import uuid
+from collections import defaultdict
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from py4j.java_gateway import JavaObject
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.sources.schemas import KEYS, LOAD_TIME, landing_schema
 
+#: Columns with the raw line of a CSV row that has too few or too many fields, and whether it has.
+BROKEN, IS_BROKEN = "_broken_line", "_is_broken"
+#: Versions of a written table that are kept.
+RETAINED = 2
 
-def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
-) -> DataFrame:
-    """CSV with a header under a declared schema.
 
-    Header names are checked against the schema, so a file with other columns
-    fails instead of being read by position. ``multiline`` accepts line breaks
-    inside quotes, at the price of one task for each file.
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """CSV with headers, all columns as text, by name, with ``BROKEN`` and ``IS_BROKEN`` beside them.
+
+    The files of ``path`` may have their columns in any order, and columns that others
+    lack, which are then NULL; only their first lines are read to find that out. A row
+    that hasn't as many fields as its file's header has its line in ``BROKEN``, which
+    is NULL for all others. ``multiline`` accepts line breaks inside quotes, at the
+    price of one task for each file.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    by_header = defaultdict(list)
+    for file in _data_files(spark, path):
+        by_header[_header(spark, file)].append(file)
+    parts = []
+    for header, files in by_header.items():
+        if len(set(header)) < len(header):
+            raise ValueError(f"a column name occurs twice in {files[0]}: {list(header)}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BROKEN)])
+        part = csv_options(spark.read.schema(schema)).option("multiLine", multiline).csv(files)
+        parts.append(part.withColumn(IS_BROKEN, is_broken(part)))
+    if not parts:
+        raise FileNotFoundError(f"no CSV with a header in {path}")
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return whole.select(*[c for c in whole.columns if c not in (BROKEN, IS_BROKEN)], BROKEN, IS_BROKEN)
+
+
+def csv_options(reader):
+    """How landing CSV is read, in batches and in streams.
+
+    Rows are parsed whole, whatever columns are asked for: only then a row with too
+    few or too many fields is seen as broken.
+    """
+    options = {"header": True, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "columnPruning": False}
+    return reader.options(**options)
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    fs, where = file_system(spark, path)
+    found = fs.listStatus(where) if fs.exists(where) else []
+    hidden = ("_", ".")
+    return sorted(str(f.getPath()) for f in found if f.isFile() and f.getLen() and not f.getPath().getName().startswith(hidden))
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of a file, compressed or not."""
+    io, hadoop = spark._jvm.java.io, spark._jvm.org.apache.hadoop
+    fs, where = file_system(spark, file)
+    stream = fs.open(where)
+    codec = hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(where)
+    reader = io.BufferedReader(io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        return tuple(next(csv.reader([reader.readLine().removeprefix("\ufeff")])))
+    finally:
+        reader.close()
+
+
+def is_broken(rows: DataFrame) -> Column:
+    """Whether a row read with :func:`csv_options` doesn't fit its header.
+
+    Names another column as well: Spark reads no broken lines for themselves.
+    """
+    other = next(c for c in rows.columns if c != BROKEN)
+    return F.coalesce(F.length(F.concat(F.col(BROKEN), F.coalesce(other, F.lit("")))), F.lit(-1)) >= 0
 
 
 def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A landing table as text; the cleaning job gives the columns their types."""
-    return read_csv(spark, f"{root}/{table}.csv", landing_schema(table))
+    """The whole rows of a landing table as text; the cleaning job gives the columns their types.
+
+    Declared columns come first, in their order, whatever the order in the files.
+    """
+    rows = read_csv(spark, f"{root}/{table}.csv")
+    lacking = [c for c in KEYS[table] if c not in rows.columns]
+    if lacking:
+        raise ValueError(f"{table}.csv lacks the columns {lacking}")
+    declared = [c for c in landing_schema(table).names if c in rows.columns]
+    more = sorted(set(rows.columns) - {*declared, BROKEN, IS_BROKEN})
+    return rows.where(~F.col(IS_BROKEN)).select(*declared, *more)
 
 
-def find_landing_tables(spark: SparkSession, root: str) -> list[str]:
-    """Names of the known tables that have a CSV under ``root``; none at all is an error."""
-    found = [t for t in KEYS if path_exists(spark, f"{root}/{t}.csv")]
-    if not found:
-        raise FileNotFoundError(f"no landing CSV in {root}; expected one of {sorted(KEYS)}")
-    return found
+def read_rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The lines of a landing table that :func:`read_landing` leaves out: table_name, line."""
+    rows = read_csv(spark, f"{root}/{table}.csv").where(IS_BROKEN)
+    return rows.select(F.lit(table).alias("table_name"), F.col(BROKEN).alias("line"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def find_landing_tables(spark: SparkSession, root: str, tables: Sequence[str] = tuple(KEYS)) -> list[str]:
+    """``tables``, by default all of them, each of which must have a CSV under ``root``."""
+    absent = [t for t in tables if not path_exists(spark, f"{root}/{t}.csv")]
+    if absent:
+        raise FileNotFoundError(f"no landing CSV in {root} for {absent}")
+    return list(tables)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write with a header, every value as text."""
     text = df.selectExpr(*[f"string(`{c}`) AS `{c}`" for c in df.columns])
-    text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    text.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def conform(df: DataFrame, schema: T.StructType, load_time: datetime | None = None) -> DataFrame:
@@ -86,35 +155,60 @@ def table_path(root: str, layer: str | None, table: str) -> str:
     return f"{root}/{schema_name(layer)}/{table}"
 
 
+def _versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """The folder of each version of a table that was written to its end."""
+    fs, where = file_system(spark, f"{path}/version=*/_SUCCESS")
+    folders = [str(f.getPath().getParent()) for f in fs.globStatus(where) or []]
+    return {int(f.rsplit("=", 1)[1]): f for f in folders}
+
+
 def write_table(
     df: DataFrame, root: str, layer: str | None, table: str, partition_by: str | None = None
 ) -> DataFrame:
     """Replace a layer's table by ``df`` and return the table as written.
 
+    The rows are a new version in a folder of its own, which counts once it is
+    complete: a failed job leaves the former version, and who reads that goes on
+    reading it. The newest versions are kept.
+
     With ``partition_by``, rows are first rebalanced on that column: each
     partition gets few files, and one that holds a large share of all rows is
     split over several tasks at run time.
     """
-    path = table_path(root, layer, table)
+    spark, path = df.sparkSession, table_path(root, layer, table)
+    there = _versions(spark, path)
+    folder = f"{path}/version={max(there, default=0) + 1:010d}"
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(folder)
     else:
         rows = df.hint("rebalance", partition_by)
-        rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+        rows.write.mode("overwrite").partitionBy(partition_by).parquet(folder)
+    for old in sorted(there)[: -(RETAINED - 1) or None]:
+        fs, where = file_system(spark, there[old])
+        fs.delete(where, True)
+    return spark.read.schema(df.schema).parquet(folder).select(df.columns)
+
+
+def read_table(spark: SparkSession, root: str, layer: str | None, table: str) -> DataFrame:
+    """The newest complete version of a layer's table."""
+    path = table_path(root, layer, table)
+    there = _versions(spark, path)
+    if not there:
+        raise FileNotFoundError(f"no complete version of {path}")
+    return spark.read.parquet(there[max(there)])
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables, inside the folder the cluster names.
 
-    Only a session without ``spark.checkpoint.dir`` that runs on one machine gets
-    a local folder. The folder is removed when the driver ends.
+    That is ``spark.checkpoint.dir``. Where a session on one machine doesn't set it,
+    the folder is inside its warehouse. The folder is removed when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
+        base = spark.conf.get("spark.sql.warehouse.dir")
     fs, where = file_system(spark, f"{base.rstrip('/')}/tallybrook-{uuid.uuid4().hex}")
     fs.mkdirs(where)
     fs.deleteOnExit(where)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tallybrook.operators.upsert import upsert_table
 from tallybrook.plans.cleaning import CLEANERS
 from tallybrook.sources.schemas import KEYS, landing_schema, raw_schema
-from tallybrook.sources.tables import conform
+from tallybrook.sources.tables import BROKEN, conform, csv_options, is_broken
 
 
 def ingest_new_files(
@@ -27,7 +28,9 @@ def ingest_new_files(
     n + 1 of the target from the version before it, so a batch that is repeated
     after a failure writes the same version again. A later row of a key updates
     an earlier one; no watermark is needed, as the key decides. The target belongs
-    to this stream alone.
+    to this stream alone. Files have the declared columns in their order, others end
+    the run. Lines that don't fit are kept beside the target, in ``<target>-rejected``,
+    by batch.
 
     A batch writes the whole table anew, so a run is one batch by default;
     ``files_per_batch`` splits a run that would be too large at once.
@@ -35,15 +38,14 @@ def ingest_new_files(
     declared = raw_schema(table) if schema is None else schema
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        cleaned = conform(CLEANERS[table](batch), declared)
+        broken = is_broken(batch)
+        lines = batch.where(broken).select(F.lit(table).alias("table_name"), F.col(BROKEN).alias("line"))
+        lines.write.mode("overwrite").parquet(f"{target}-rejected/batch={batch_id}")
+        cleaned = conform(CLEANERS[table](batch.where(~broken).drop(BROKEN)), declared)
         upsert_table(cleaned, target, KEYS[table], version=batch_id + 1)
 
-    reader = (
-        spark.readStream.schema(landing_schema(table))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-    )
+    reader = csv_options(spark.readStream.schema(landing_schema(table).add(BROKEN, "string")))
+    reader = reader.option("enforceSchema", False)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (

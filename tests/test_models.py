@@ -176,13 +176,6 @@ def test_silver_items_keep_items_of_old_orders_and_unknown_products(s_items):
     assert (unknown.category_name, unknown.weight_g, unknown.customer_id) == (None, None, "c4")
 
 
-def test_silver_items_with_hot_keys(shop, s_items):
-    hot = {"order_id": {"o1": 0.3}, "product_id": {"p1": 0.5, None: 0.1}}
-    spread = silver.silver_order_items(shop["b_items"], shop["b_orders"], shop["b_products"], hot)
-    assert spread.columns == s_items.columns and spread.exceptAll(s_items).isEmpty()
-    assert s_items.exceptAll(spread).isEmpty()
-
-
 def test_revenue_by_month(s_orders):
     months = {r.purchase_month: r for r in gold.gold_revenue_by_month(s_orders).collect()}
     assert sorted(months) == [date(2022, 1, 1), date(2024, 1, 1), date(2024, 3, 1)]
@@ -204,13 +197,14 @@ def test_revenue_by_category_and_state(s_orders, s_items, s_customers, rows):
     assert rows(by_state, "state", "total_orders", "unique_customers", "revenue_share_pct") == [("SP", 2, 1, 100.0)]
 
 
-def test_top_products(shop, s_items, rows):
-    top = gold.gold_top_products(s_items, shop["b_products"], Settings(top_k=2))
+def test_top_products(shop, rows):
+    sold = silver.delivered_items(shop["b_items"], shop["b_orders"])
+    top = gold.gold_top_products(sold, shop["b_products"], Settings(top_k=2))
     assert rows(top, "product_id", "category", "units_sold", "revenue_rank", "units_rank") == [
         ("p1", "toys", 2, 1, 1),
         ("p2", "livros", 1, 2, 2),
     ]
-    whole = gold.gold_top_products(s_items, shop["b_products"])
+    whole = gold.gold_top_products(sold, shop["b_products"])
     assert rows(whole, "product_id", "category", "revenue_rank", "units_rank")[2] == ("p9", None, 3, 2)
 
 
@@ -243,16 +237,18 @@ def test_growth_from_zero_is_null(frame):
     assert [r[0] for r in df.select(percent(F.col("a"), F.col("b"))).collect()] == [None, None]
 
 
-def test_kpis(s_orders, s_customers, s_items):
-    (one,) = gold.gold_kpis(s_orders, s_customers, s_items, Settings(as_of=datetime(2024, 4, 1))).collect()
+def test_kpis(shop, s_orders):
+    sold = silver.delivered_items(shop["b_items"], shop["b_orders"])
+    panel = gold.gold_kpis(s_orders, shop["customers"], sold, shop["b_products"], Settings(as_of=datetime(2024, 4, 1)))
+    (one,) = panel.collect()
     assert (one.total_revenue, one.overall_avg_ticket) == (1080, 360)
     assert (one.total_orders, one.total_customers, one.recurring_customers_pct) == (3, 2, 100.0)
     assert (one.last_month_growth_pct, one.on_time_delivery_pct, one.avg_delivery_days) == (50.0, 50.0, 2.0)
     assert (one.top_category, one.top_state, one.calculated_at) == ("toys", "SP", datetime(2024, 4, 1))
 
 
-def test_kpis_of_no_orders(s_orders, s_customers, s_items):
-    nothing = [df.where("false") for df in (s_orders, s_customers, s_items)]
+def test_kpis_of_no_orders(shop, s_orders):
+    nothing = [df.where("false") for df in (s_orders, shop["customers"], shop["b_items"], shop["b_products"])]
     (one,) = gold.gold_kpis(*nothing).collect()
     assert one.total_orders == 0 and one.total_revenue is None and one.top_state is None
     assert one.recurring_customers_pct is None and one.on_time_delivery_pct is None
@@ -288,7 +284,39 @@ def test_lake_products(shop, rows):
         ("p3", 1, 10.0, 10.0, None, 0),
     ]
     assert rows(lake.products_enriched(*args), *columns) == expected
-    assert rows(lake.products_enriched(*args, hot_orders={"o1": 0.4}), *columns) == expected
+
+
+@pytest.mark.parametrize(
+    "prices, total",
+    [
+        (("Infinity", "10"), float("inf")),
+        (("1.23456", "1"), 2.23456),
+        (("1e15", "0.1"), 1000000000000000.1),
+        (("0.1", "0.2"), 0.3),
+        (("1e300", "1"), 1e300),
+        (("0.123456789", "1"), 1.123456789),
+        ((None, "2"), 2.0),
+    ],
+)
+def test_lake_sums_keep_every_amount(frame, prices, total):
+    items = frame("order_id, order_item_id int, price double, freight_value double", *[("o", i, p, 0) for i, p in enumerate(prices)])
+    orders = frame(
+        "order_id, purchase_timestamp timestamp_ntz, delivered_customer_date timestamp_ntz, estimated_delivery_date timestamp_ntz",
+        ("o", None, None, None),
+    )
+    payments = frame("order_id, payment_sequential int, payment_type, payment_installments int, payment_value double")
+    (one,) = lake.orders_enriched(orders, items, payments).collect()
+    assert one.items_total == total and one.items_count == 2
+
+
+def test_lake_sum_of_nan_is_nan(frame):
+    from pyspark.sql import functions as F
+
+    from tallybrook.functions.numbers import total
+
+    df = frame("a double", ("NaN",), ("1",))
+    assert str(df.agg(total(F.col("a"))).first()[0]) == "nan"
+    assert df.where("false").agg(total(F.col("a"))).first()[0] is None
 
 
 def test_reports_are_read_in_order(s_items, s_orders):

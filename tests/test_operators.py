@@ -6,7 +6,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallybrook.operators.dedupe import keep_one, require_unique
-from tallybrook.operators.joins import hot_keys, spread_join
 from tallybrook.operators.ranking import ranks_of_counts, top_ranked, with_share
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -32,6 +31,8 @@ def test_require_unique(frame, rows):
     assert rows(require_unique(good, ["k", "j"])) == rows(good)
     with pytest.raises(Exception, match="occurs twice"):
         require_unique(good, ["k"]).collect()
+    with pytest.raises(Exception, match="has a NULL"):
+        require_unique(frame("k, j, a", ("x", None, "p")), ["k", "j"]).collect()
 
 
 def _skewed(spark, n=30_000):
@@ -40,45 +41,38 @@ def _skewed(spark, n=30_000):
     return spark.range(n).select(key.cast("bigint").alias("k"), F.col("id").alias("v"))
 
 
-def test_hot_keys_finds_heavy_values_and_nulls(spark):
-    found = hot_keys(_skewed(spark), ["k", "v"], share=0.05)
-    assert found["k"].keys() == {7, None} and found["v"] == {}
-    assert found["k"][7] == pytest.approx(1 / 3, abs=0.01)
-    assert found["k"][None] == pytest.approx(2 / 15, abs=0.001)
+def test_a_hot_product_is_split_over_tasks(spark, frame):
+    """A third of the items has one product: the plain join is split at run time, on a plan made by size."""
+    from tallybrook.plans.silver import silver_order_items
 
-
-def test_hot_keys_of_nothing(spark):
-    assert hot_keys(_skewed(spark).where("false"), ["k"]) == {"k": {}}
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_is_the_plain_join(spark, how):
-    left = _skewed(spark)
-    right = spark.range(0, 800, 7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    plain = left.join(right, "k", how)
-    spread = spread_join(left, right, "k", how, {7: 0.33, None: 0.13, 14: 0.0005})
-    assert spread.columns == plain.columns
-    assert spread.count() == plain.count() and spread.exceptAll(plain).isEmpty()
-
-
-def test_spread_join_spreads_the_hot_key(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.shuffle.partitions",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.coalescePartitions.enabled"]
+    for name, value in zip(names, ("-1", "16k", "16k", "16", "2", "false")):
+        spark.conf.set(name, value)
     try:
-        left = _skewed(spark)
-        right = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
-        joined = spread_join(left, right, "k", "left", hot_keys(left, ["k"])["k"]).withColumn("part", F.spark_partition_id())
-        for key in ("k = 7", "k IS NULL"):
-            sizes = [r["count"] for r in joined.where(key).groupBy("part").count().collect()]
-            assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
+        rows = _skewed(spark, 60_000).repartition(8)
+        items = rows.selectExpr(
+            "string(v) AS order_id", "1 AS order_item_id", "string(k) AS product_id", "'s' AS seller_id",
+            "timestamp_ntz '2024-01-01 00:00:00' AS shipping_limit_date", "decimal(v) AS price",
+            "decimal(1) AS freight_value", "decimal(v + 1) AS item_total", "cast(NULL AS timestamp_ntz) AS created_at",
+        )
+        orders = spark.range(0, 60_000, 2).selectExpr(
+            "string(id) AS order_id", "'delivered' AS order_status",
+            "timestamp_ntz'2024-01-01 00:00:00' AS purchase_timestamp", "'c' AS customer_id",
+        )
+        products = spark.range(900).selectExpr(
+            "string(id) AS product_id", "'a' AS category_name", "'b' AS category_name_english", "decimal(1) AS weight_g"
+        )
+        joined = silver_order_items(items, orders, products)
+        written = joined.select("order_id", "product_id", "weight_g")
+        assert written.where("product_id = '7' AND weight_g IS NOT NULL").count() > 20_000
+        rows = written.collect()
+        assert len(rows) == 60_000
+        assert "skew=true" in written._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_spread_join_refuses_other_joins(spark):
-    with pytest.raises(ValueError):
-        spread_join(spark.range(1), spark.range(1), "id", "full_outer", {0: 0.5})
+        for name in names:
+            spark.conf.set(name, "4") if name.endswith("shuffle.partitions") else spark.conf.unset(name)
 
 
 @FEW

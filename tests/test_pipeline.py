@@ -66,5 +66,13 @@ def test_increments(spark, rows, tmp_path):
     # Nothing new: no new version.
     ingest()
     assert committed_versions(spark, target) == [1]
-    _orders(landing, "2.csv", "o1,c1,delivered,2024-01-01,,,,", "o4,c2,invoiced,2024-01-02,,,,")
+    _orders(landing, "2.csv", "o1,c1,delivered,2024-01-01,,,,", "o4,c2,invoiced,2024-01-02,,,,", "o5,c2,invoiced")
     assert ingest() == [("o1", "delivered"), ("o4", "invoiced")]
+    assert [r.line for r in spark.read.parquet(f"{target}-rejected").collect()] == ["o5,c2,invoiced"]
+
+
+def test_a_run_needs_all_landing_tables(spark, tmp_path):
+    (tmp_path / "product_categories.csv").write_text("product_category_name,product_category_name_english\na,b\n")
+    with pytest.raises(FileNotFoundError, match="customers"):
+        clean_layer(spark, str(tmp_path), str(tmp_path / "lake"))
+    assert set(clean_layer(spark, str(tmp_path), str(tmp_path / "lake"), ["product_categories"])) == {"product_categories"}

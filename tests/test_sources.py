@@ -5,10 +5,13 @@ import pytest
 
 from tallybrook.sources.schemas import KEYS, STATES, landing_schema, raw_schema
 from tallybrook.sources.tables import (
+    BROKEN,
     conform,
     find_landing_tables,
     read_csv,
     read_landing,
+    read_rejected,
+    read_table,
     schema_name,
     shared_folder,
     table_path,
@@ -37,10 +40,47 @@ def test_csv_keeps_leading_zeros_and_quotes(spark, tmp_path, rows):
     ]
 
 
-def test_csv_with_other_columns_fails(spark, tmp_path):
+def test_csv_columns_go_by_name(spark, tmp_path, rows):
+    folder = tmp_path / "product_categories.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("product_category_name_english,product_category_name\nen,pt\n")
+    (folder / "b.csv").write_text("product_category_name,origin\nx,new\n")
+    (folder / "_SUCCESS").write_text("")
+    (folder / "empty.csv").write_text("")
+    read = read_landing(spark, str(tmp_path), "product_categories")
+    assert read.columns == ["product_category_name", "product_category_name_english", "origin"]
+    assert rows(read) == [
+        ("pt", "en", None),
+        ("x", None, "new"),
+    ]
+
+
+def test_csv_without_key_columns_or_with_a_name_twice_fails(spark, tmp_path):
     (tmp_path / "product_categories.csv").write_text("english,portuguese\na,b\n")
-    with pytest.raises(Exception):
-        read_landing(spark, str(tmp_path), "product_categories").collect()
+    with pytest.raises(ValueError, match="lacks"):
+        read_landing(spark, str(tmp_path), "product_categories")
+    (tmp_path / "orders.csv").write_text("order_id,order_id\na,b\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_landing(spark, str(tmp_path), "orders")
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path, rows):
+    (tmp_path / "product_categories.csv").write_text(
+        "product_category_name,product_category_name_english\na,b\nc\nd,e,EXTRA\nf,\n"
+    )
+    assert rows(read_landing(spark, str(tmp_path), "product_categories")) == [("a", "b"), ("f", None)]
+    assert rows(read_rejected(spark, str(tmp_path), "product_categories"), "line") == [("c",), ("d,e,EXTRA",)]
+    # They stay out whatever columns are asked for.
+    assert rows(read_landing(spark, str(tmp_path), "product_categories"), "product_category_name") == [("a",), ("f",)]
+    assert read_landing(spark, str(tmp_path), "product_categories").count() == 2
+
+
+def test_orders_without_optional_dates(spark, tmp_path):
+    from tallybrook.plans.cleaning import clean_orders
+
+    (tmp_path / "orders.csv").write_text("purchase_timestamp,order_id,order_status,customer_id\n2024-01-02,o1,shipped,c1\n")
+    (one,) = conform(clean_orders(read_landing(spark, str(tmp_path), "orders")), raw_schema("orders")).collect()
+    assert (one.order_id, one.purchase_timestamp, one.approved_at) == ("o1", datetime(2024, 1, 2), None)
 
 
 def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
@@ -48,15 +88,17 @@ def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
         'product_category_name,product_category_name_english\n"a\nb",c\n'
     )
     path = str(tmp_path / "product_categories.csv")
-    (one,) = read_csv(spark, path, landing_schema("product_categories"), multiline=True).collect()
-    assert one.product_category_name == "a\nb"
+    (one,) = read_csv(spark, path, multiline=True).collect()
+    assert one.product_category_name == "a\nb" and one[BROKEN] is None
 
 
-def test_landing_without_files_fails(spark, tmp_path):
-    with pytest.raises(FileNotFoundError):
+def test_absent_landing_tables_fail(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="customers"):
         find_landing_tables(spark, str(tmp_path))
     (tmp_path / "orders.csv").write_text("x\n")
-    assert find_landing_tables(spark, str(tmp_path)) == ["orders"]
+    with pytest.raises(FileNotFoundError, match="customers"):
+        find_landing_tables(spark, str(tmp_path))
+    assert find_landing_tables(spark, str(tmp_path), ["orders"]) == ["orders"]
 
 
 def test_conform_types_and_rounding(frame):
@@ -87,7 +129,21 @@ def test_written_tables_are_replaced(spark, frame, rows, tmp_path):
     back = write_table(first, root, "silver", "t", "m")
     assert back.columns == ["a", "m", "b"] and rows(back) == rows(first)
     again = write_table(first.where("b = 1"), root, "silver", "t", "m")
-    assert rows(again) == rows(first.where("b = 1"))
+    assert rows(again) == rows(first.where("b = 1")) == rows(read_table(spark, root, "silver", "t"), "a", "m", "b")
+    # The former version is still there for who reads it, the one before goes.
+    assert rows(back) == rows(first)
+    write_table(first, root, "silver", "t", "m")
+    assert len(list((tmp_path / "silver" / "t").glob("version=*"))) == 2
+
+
+def test_a_failed_write_leaves_the_table(spark, frame, rows, tmp_path):
+    good = frame("a", ("x",))
+    write_table(good, str(tmp_path), "silver", "t")
+    with pytest.raises(Exception, match="boom"):
+        write_table(good.selectExpr("raise_error('boom') AS a"), str(tmp_path), "silver", "t")
+    assert rows(read_table(spark, str(tmp_path), "silver", "t")) == [("x",)]
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, str(tmp_path), "silver", "other")
 
 
 def test_csv_round_trip(spark, frame, rows, tmp_path):

@@ -43,6 +43,15 @@ def test_repeated_key_fails(sides, frame):
         upsert(sides[0], batch, ["id"]).collect()
 
 
+def test_null_keys_are_refused(frame, spark, tmp_path):
+    batch = frame("order_id, order_item_id int, price int", ("o1", None, 1), ("o1", 1, 2))
+    with pytest.raises(Exception, match="has a NULL"):
+        upsert(batch, batch, ["order_id", "order_item_id"]).collect()
+    with pytest.raises(Exception, match="has a NULL"):
+        upsert_table(batch, str(tmp_path / "t"), ["order_id", "order_item_id"])
+    assert committed_versions(spark, str(tmp_path / "t")) == []
+
+
 def test_versions(spark, sides, frame, rows, tmp_path):
     root = str(tmp_path / "t")
     target, batch = sides
