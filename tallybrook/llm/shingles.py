@@ -19,8 +19,13 @@ WORDS, LEAST_PERCENT = 5, 80
 #: Bands of a signature and ranks in each. Two sets of similarity 0.8 share no band with
 #: a probability of (1 - 0.8 ** 6) ** 48, less than one in two millions.
 BANDS, ROWS = 48, 6
-#: Members of a bucket that are compared with its others in one turn, after the first.
-HUBS = 32
+#: Members of a bucket that are compared with its others: one in the first turn, eight times as many in each
+#: further turn, up to this many.
+HUBS = 512
+#: Documents of a block in later turns, and distinct shingles that are compared in one step.
+BLOCK, ELEMENTS = 256, 8_192
+#: Sets that a task keeps at hand while it compares pairs.
+SETS_AT_HAND = 4_096
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -104,21 +109,31 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
 def _linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough.
 
-    Both texts go to the pair; rows of one ``a`` come one after another, so its set
-    is made once for them.
+    Both texts go to the pair. A set that is met again soon is made once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, mine = None, None
+        sets: dict[int, np.ndarray] = {}
+
+        def of(node: int, text: pa.Scalar) -> np.ndarray:
+            if node not in sets:
+                if len(sets) >= SETS_AT_HAND:
+                    sets.clear()
+                sets[node] = shingles(text.as_py(), words)
+            return sets[node]
+
         for batch in batches:
             good = np.zeros(len(batch), dtype=bool)
             a, b = (np.asarray(batch.column(i)) for i in (0, 1))
-            for i in range(len(batch)):
-                if a[i] != last:
-                    last, mine = a[i], shingles(batch.column(2)[i].as_py(), words)
-                other = shingles(batch.column(3)[i].as_py(), words)
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                good[i] = 100 * both >= LEAST_PERCENT * (len(mine) + len(other) - both)
+            for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+                one, two = of(x, batch.column(2)[i]), of(y, batch.column(3)[i])
+                small, large = min(len(one), len(two)), max(len(one), len(two))
+                if 100 * small < LEAST_PERCENT * large:
+                    continue
+                merged = np.concatenate((one, two))
+                merged.sort()
+                both = np.count_nonzero(merged[1:] == merged[:-1])
+                good[i] = 100 * both >= LEAST_PERCENT * (small + large - both)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
 
     second = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -126,13 +141,69 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return first.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``one`` shares with each set of ``two``."""
+    names, which = np.unique(np.concatenate([*one, *two]), return_inverse=True)
+    rows = np.repeat(np.arange(len(one) + len(two)), [len(s) for s in (*one, *two)])
+    out = np.zeros((len(one), len(two)), dtype=np.float32)
+    # A slice of the elements at a time, as a table of zeros and ones for all sets.
+    order = np.argsort(which, kind="stable")
+    which, rows = which[order], rows[order]
+    for first in range(0, len(names), ELEMENTS):
+        a, b = np.searchsorted(which, (first, first + ELEMENTS))
+        table = np.zeros((len(one) + len(two), min(ELEMENTS, len(names) - first)), dtype=np.float32)
+        table[rows[a:b], which[a:b] - first] = 1
+        out += table[: len(one)] @ table[len(one) :].T
+    return out.astype(np.int64)
+
+
+def _linked_in_blocks(pairs: DataFrame, members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``_linked`` for pairs that are dense within groups.
+
+    Documents of the buckets of one largest component are dealt to blocks of about
+    BLOCK; a task compares two blocks, and has each text that its pairs need once.
+    """
+    groups = members.groupBy("node").agg(F.min("largest").alias("group"))
+    sizes = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = groups.join(sizes, "group").select(
+        "node", F.xxhash64("group", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")
+    )
+    placed = pairs.join(dealt.select(F.col("node").alias("a"), F.col("block").alias("block_a")), "a")
+    placed = placed.join(dealt.select(F.col("node").alias("b"), F.col("block").alias("block_b")), "b")
+    # Blocks in one order, whichever of the pair is in which.
+    turned = F.col("block_a") > F.col("block_b")
+    placed = placed.select(
+        F.least("block_a", "block_b").alias("block_a"),
+        F.greatest("block_a", "block_b").alias("block_b"),
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
+        F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+    )
+    blocks = ["block_a", "block_b"]
+    needed = placed.select(*blocks, F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = needed.join(texts, "node").select(
+        F.col("block_a").alias("first"), F.col("block_b").alias("second"), "node", "text"
+    )
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        sets = {n: shingles(t, words) for n, t in zip(right["node"].to_pylist(), right["text"].to_pylist())}
+        a, i = np.unique(np.asarray(left["a"]), return_inverse=True)
+        b, j = np.unique(np.asarray(left["b"]), return_inverse=True)
+        one, two = [sets[n] for n in a.tolist()], [sets[n] for n in b.tolist()]
+        both = common(one, two)[i, j]
+        whole = np.array([len(s) for s in one])[i] + np.array([len(s) for s in two])[j] - both
+        good = 100 * both >= LEAST_PERCENT * whole
+        return pa.table({"a": a[i[good]], "b": b[j[good]]})
+
+    return placed.groupBy(*blocks).cogroup(needed.groupBy("first", "second")).applyInArrow(compare, "a long, b long")
+
+
 def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (that is its own).
 
     Documents are linked if 100 * common >= 80 * all of their sets of shingles,
     confirmed on the full sets. Documents with equal sets are one class. Classes that
     share a band of the signature are in a bucket. Buckets are settled in turns: some
-    members of each (one in the first turn, then up to HUBS) are compared with all
+    members of each (one in the first turn, then eight times as many in each) are compared with all
     others that aren't yet in their component, and leave the bucket. A bucket whose
     members are all in one component is settled, whoever linked them. So a group of
     near copies of any size costs a few comparisons for each member, never all
@@ -151,11 +222,13 @@ def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
 
     signed = written(_signed(docs, words), "signed")
     named = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "bands")).alias("first"))
-    classes = classes.select("set_key", "first.doc_id", "first.bands").withColumnRenamed("doc_id", "node")
-    members = classes.select("node", F.explode("bands").alias("bucket"))
+    classes = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("first"))
+    classes = classes.select("set_key", "first.*").withColumnsRenamed({"doc_id": "node", "n_shingles": "size"})
+    members = classes.select("node", "size", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    rest = written(members.join(shared, "bucket").distinct(), "members")
+    # Tables of their own below: adaptive execution splits the rows of a large bucket
+    # only where both sides of a join come straight from a shuffle.
+    rest = written(members.join(written(shared, "shared"), "bucket").distinct(), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text IS NOT NULL")
     nodes = rest.select("node").distinct()
     texts = written(texts.join(nodes, "node").groupBy("node").agg(F.min("text").alias("text")), "texts")
@@ -163,34 +236,40 @@ def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     none = spark.createDataFrame([], "a long, b long")
     united, compared, turn = nobody, none, 0
     while True:
-        placed = rest.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        placed = rest.join(united, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
         counts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
         largest = counts.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest")
         )
-        unsettled = largest.where("parts > 1").select("bucket", "largest")
+        unsettled = written(largest.where("parts > 1").select("bucket", "largest"), f"unsettled-{turn}")
         open_ = written(placed.join(unsettled, "bucket"), f"open-{turn}")
         if open_.isEmpty():
             break
         by_node = Window.partitionBy("bucket").orderBy("node")
         if turn == 0:
-            hubs = open_.groupBy("bucket").agg(F.min("node").alias("hub"))
-            hubs = hubs.withColumn("hub_component", F.col("hub"))
+            hubs = open_.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("hub"))
+            hubs = hubs.select("bucket", "hub.node", "hub.size").selectExpr(
+                "bucket", "node AS hub", "node AS hub_component", "size AS hub_size"
+            )
         else:
             # All but those of the largest part, which are compared from the other side.
             ranked = open_.where("component <> largest").withColumn("rank", F.row_number().over(by_node))
-            hubs = ranked.where(F.col("rank") <= HUBS).select(
-                "bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component")
+            hubs = ranked.where(F.col("rank") <= min(HUBS, 8**turn)).select(
+                "bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component"), F.col("size").alias("hub_size")
             )
+        hubs = written(hubs, f"hubs-{turn}")
         met = open_.join(hubs, "bucket").where("component <> hub_component")
+        met = met.where(f"100 * least(size, hub_size) >= {LEAST_PERCENT} * greatest(size, hub_size)")
         pairs = met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
         pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        links = written(_linked(pairs, texts, words), f"linked-{turn}")
+        # The first pairs are stars around few members; later ones are dense.
+        found = _linked(pairs, texts, words) if turn == 0 else _linked_in_blocks(pairs, open_, texts, words)
+        links = written(found, f"linked-{turn}")
         known = united.select(F.col("node").alias("a"), F.col("component").alias("b"))
         united = components(links.unionAll(known), f"{folder}/components-{turn}")
         compared = compared.unionAll(pairs)
         gone = hubs.select("bucket", F.col("hub").alias("node"))
-        rest = open_.select("bucket", "node").join(gone, ["bucket", "node"], "left_anti")
+        rest = open_.select("bucket", "node", "size").join(gone, ["bucket", "node"], "left_anti")
         turn += 1
     found = classes.select("set_key", "node").join(united, "node", "left")
     found = found.select("set_key", F.coalesce("component", "node").alias("component"))

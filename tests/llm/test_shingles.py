@@ -11,7 +11,7 @@ import pytest
 
 from tallybrook.llm import shingles as module
 from tallybrook.llm.queries import op2_shingles
-from tallybrook.llm.shingles import bands, group, shingles, signature, without_near_copies
+from tallybrook.llm.shingles import bands, common, group, shingles, signature, without_near_copies
 from test_vectors import smallest_reachable
 
 
@@ -59,7 +59,7 @@ def made(seed, groups=12, copies=30):
     return [(i * 7 % 10_007, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("hubs, words", [(1, 2), (32, 5)])
+@pytest.mark.parametrize("hubs, words", [(1, 2), (512, 5)])
 def test_against_all_pairs(spark, tmp_path, monkeypatch, hubs, words):
     monkeypatch.setattr(module, "HUBS", hubs)
     rows = made(hubs)
@@ -92,6 +92,14 @@ def test_signatures_estimate_similarity():
     assert len(np.unique(bands(values[:5]))) == module.BANDS
 
 
+def test_common_elements(monkeypatch):
+    monkeypatch.setattr(module, "ELEMENTS", 7)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 20, 50, 50)]
+    want = [[len(np.intersect1d(x, y)) for y in sets[2:]] for x in sets[:2]]
+    assert common(sets[:2], sets[2:]).tolist() == want
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
