@@ -241,19 +241,21 @@ def find_repeats(docs: DataFrame, folder: str) -> DataFrame:
 
     parse = written(_parse(docs), "parse")
     cores = parse.groupBy("core").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("core")
-    rest = written(parse.join(cores, "core"), "rest")
+    # A table of its own: adaptive execution splits the rows of a frequent core only
+    # where both sides of a join come straight from a shuffle.
+    rest = written(parse.join(written(cores, "cores"), "core"), "rest")
     entries = rest.groupBy("core", "phrase").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "mark", "place", "n")).alias("at")
     )
     entries = written(entries, "entries")
     # Only a core with an entry that occurs once leaves something to look at.
     per_core = entries.groupBy("core").agg(F.count(F.lit(1)).alias("entries"), F.min("times").alias("least"))
-    open_ = entries.join(per_core.where("least = 1"), "core").select(
-        "at.doc_id", "at.mark", "at.place", "at.n", "core", (F.col("times") == 1).alias("once"), "entries"
+    per_core = written(per_core.where("least = 1").select("core", "entries"), "per_core")
+    open_ = entries.join(per_core, "core").select(
+        "at.doc_id", "at.mark", "at.place", "at.n", "core", (F.col("times") == 1).alias("once")
     )
-    # The number of entries of a core goes back to its rows below, without their bytes.
     cut = written(_cut_entries(docs, open_), "cut")
-    large = per_core.where((F.col("least") == 1) & (F.col("entries") > MOST_ENTRIES)).select("core")
+    large = per_core.where(F.col("entries") > MOST_ENTRIES).select("core")
     small = cut.join(large, "core", "left_anti").select(*cut.columns)
     settled = written(_settle_sorted(small), "sorted")
     hashed = written(_settle_hashed(cut.join(large, "core", "left_semi").select(*cut.columns)), "hashed")
