@@ -24,9 +24,10 @@ LEAST_COSINE = 0.98
 SAMPLE = 16_384
 #: Coarse lists, subspaces, entries of a codebook, and rounds of fitting them.
 LISTS, SUBSPACES, CODES, ROUNDS = 64, 8, 256, 8
-#: A vector visits lists whose centroid is farther than the nearest one's by no more than this.
-#: Vectors within the linking distance differ in such distances by 0.03 at most times out of three.
-MARGIN = 0.16
+#: A vector visits lists whose centroid is farther than the nearest one's by no more than this. Two linked
+#: vectors of 64 dimensions differ in such a difference by about 0.03; they miss each other only if it differs
+#: by twice the margin, as either visit will do.
+MARGIN = 0.06
 #: Members of a list, and visitors, that meet in one task.
 TOGETHER = 4_096
 
