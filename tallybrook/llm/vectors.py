@@ -24,10 +24,10 @@ LEAST_COSINE = 0.98
 SAMPLE = 16_384
 #: Coarse lists, subspaces, entries of a codebook, and rounds of fitting them.
 LISTS, SUBSPACES, CODES, ROUNDS = 64, 8, 256, 8
-#: A vector visits lists whose centroid is farther than the nearest one's by no more than this. Two linked
-#: vectors of 64 dimensions differ in such a difference by about 0.03; they miss each other only if it differs
-#: by twice the margin, as either visit will do.
-MARGIN = 0.06
+#: A vector visits lists whose centroid is farther than the nearest one's by no more than this many times
+#: the linking distance over the square root of the length. Two linked vectors differ in such a difference
+#: by about one such unit, and miss each other only if it differs by twice the margin, as either visit will do.
+SPREAD = 3.0
 #: Members of a list, and visitors, that meet in one task.
 TOGETHER = 4_096
 
@@ -46,6 +46,11 @@ class Index:
         """Of each vector to each centroid."""
         return np.sqrt(np.maximum(0, 2 - 2 * unit @ self.centroids.T + (self.centroids**2).sum(1) - 1))
 
+    def visits(self, far: np.ndarray, least: float) -> np.ndarray:
+        """Which lists vectors visit, from their distances to the centroids."""
+        margin = SPREAD * np.sqrt(max(0.0, 2 - 2 * least) / self.centroids.shape[1])
+        return far <= far.min(1)[:, None] + margin
+
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, a:b] for a, b in zip(self.cuts[:-1], self.cuts[1:])]
 
@@ -201,8 +206,7 @@ def link_vectors(
                         visits = [[-1]] * len(v)
                     else:
                         lists, codes, error = index.encode(unit)
-                        far = index.distances(unit)
-                        visits = [np.flatnonzero(r <= r[c] + MARGIN).tolist() for r, c in zip(far, lists)]
+                        visits = [np.flatnonzero(r).tolist() for r in index.visits(index.distances(unit), least)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             t["node"].combine_chunks(),
@@ -251,9 +255,7 @@ def link_vectors(
             i, j = near(index, which, m, v, least)
             # A visitor whose own list the member doesn't visit speaks for both.
             if index is not None and len(i):
-                far = index.distances(m["unit"])
-                visits = far <= far[:, [which]] + MARGIN
-                lone = ~visits[j, v["list"][i]]
+                lone = ~index.visits(index.distances(m["unit"]), least)[j, v["list"][i]]
             else:
                 lone = np.zeros(len(i), dtype=bool)
             count = np.bincount(i, m["n"][j], len(v["node"]))
