@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.components import components
+from tallybrook.llm.components import components, forest
 from tallybrook.llm.hashing import LOWER, SPACES, Substrings, as_bytes, mix, runs
 from tallybrook.llm.memory import small_slices
 
@@ -19,10 +19,7 @@ WORDS, LEAST_PERCENT = 5, 80
 #: Bands of a signature and ranks in each. Two sets of similarity 0.8 share no band with
 #: a probability of (1 - 0.8 ** 6) ** 48, less than one in two millions.
 BANDS, ROWS = 48, 6
-#: Members of a bucket that are compared with its others: one in the first turn, eight times as many in each
-#: further turn, up to this many.
-HUBS = 512
-#: Documents of a block in later turns, and distinct shingles that are compared in one step.
+#: Documents of a block, and distinct shingles that are compared in one step.
 BLOCK, ELEMENTS = 256, 8_192
 #: Sets that a task keeps at hand while it compares pairs.
 SETS_AT_HAND = 4_096
@@ -157,44 +154,41 @@ def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _linked_in_blocks(pairs: DataFrame, members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """``_linked`` for pairs that are dense within groups.
+def _linked_in_blocks(members: DataFrame, texts: DataFrame, words: int, folder: str) -> DataFrame:
+    """Links between the components that meet in unsettled buckets, as trees of depth one.
 
-    Documents of the buckets of one largest component are dealt to blocks of about
-    BLOCK; a task compares two blocks, and has each text that its pairs need once.
+    The buckets of one largest component make a group. In each, the documents outside
+    that component are compared with all, a block of one with a block of the other in a
+    task. No pair leaves its task but those of the trees.
     """
-    groups = members.groupBy("node").agg(F.min("largest").alias("group"))
-    sizes = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = groups.join(sizes, "group").select(
-        "node", F.xxhash64("group", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")
-    )
-    placed = pairs.join(dealt.select(F.col("node").alias("a"), F.col("block").alias("block_a")), "a")
-    placed = placed.join(dealt.select(F.col("node").alias("b"), F.col("block").alias("block_b")), "b")
-    # Blocks in one order, whichever of the pair is in which.
-    turned = F.col("block_a") > F.col("block_b")
-    placed = placed.select(
-        F.least("block_a", "block_b").alias("block_a"),
-        F.greatest("block_a", "block_b").alias("block_b"),
-        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
-        F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
-    )
-    blocks = ["block_a", "block_b"]
-    needed = placed.select(*blocks, F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = needed.join(texts, "node").select(
-        F.col("block_a").alias("first"), F.col("block_b").alias("second"), "node", "text"
+    nodes = members.select("largest", "node", "component").distinct()
+    outside = F.col("component") != F.col("largest")
+    blocks = nodes.groupBy("largest").agg(
+        F.ceil(F.count_if(outside) / BLOCK).cast("int").alias("down"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("across"),
     )
+    nodes.join(blocks, "largest").join(texts, "node").write.parquet(f"{folder}/blocks")
+    # Read twice: both sides of the meetings need columns of their own.
+    dealt, again = (members.sparkSession.read.parquet(f"{folder}/blocks") for _ in range(2))
+    deal = lambda n: F.pmod(F.hash("node"), F.col(n))
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = ["largest", "a", "b"]
+    kept = [*keys, "node", "component", "text"]
+    others = dealt.where(outside).withColumn("a", deal("down")).withColumn("b", copies("across")).select(*kept)
+    every = again.withColumn("b", deal("across")).withColumn("a", copies("down")).select(*kept)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets = {n: shingles(t, words) for n, t in zip(right["node"].to_pylist(), right["text"].to_pylist())}
-        a, i = np.unique(np.asarray(left["a"]), return_inverse=True)
-        b, j = np.unique(np.asarray(left["b"]), return_inverse=True)
-        one, two = [sets[n] for n in a.tolist()], [sets[n] for n in b.tolist()]
-        both = common(one, two)[i, j]
-        whole = np.array([len(s) for s in one])[i] + np.array([len(s) for s in two])[j] - both
-        good = 100 * both >= LEAST_PERCENT * whole
-        return pa.table({"a": a[i[good]], "b": b[j[good]]})
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        one, two = ([shingles(t, words) for t in side["text"].to_pylist()] for side in (left, right))
+        both = common(one, two)
+        whole = np.array([len(s) for s in one])[:, None] + np.array([len(s) for s in two])[None, :] - both
+        apart = np.asarray(left["component"])[:, None] != np.asarray(right["component"])[None, :]
+        i, j = np.nonzero((100 * both >= LEAST_PERCENT * whole) & apart)
+        a, b = forest(np.asarray(left["node"])[i], np.asarray(right["node"])[j])
+        return pa.table({"a": a, "b": b})
 
-    return placed.groupBy(*blocks).cogroup(needed.groupBy("first", "second")).applyInArrow(compare, "a long, b long")
+    return others.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(compare, "a long, b long")
 
 
 def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
@@ -202,12 +196,11 @@ def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
 
     Documents are linked if 100 * common >= 80 * all of their sets of shingles,
     confirmed on the full sets. Documents with equal sets are one class. Classes that
-    share a band of the signature are in a bucket. Buckets are settled in turns: some
-    members of each (one in the first turn, then eight times as many in each) are compared with all
-    others that aren't yet in their component, and leave the bucket. A bucket whose
-    members are all in one component is settled, whoever linked them. So a group of
-    near copies of any size costs a few comparisons for each member, never all
-    pairs, and every candidate pair is either compared or found connected.
+    share a band of the signature are in a bucket. The smallest document of each bucket
+    is compared with the others; what this links is united. Buckets whose documents
+    aren't all in one component then are settled in blocks: those outside the bucket's
+    largest component are compared with all. So every pair that shares a bucket is
+    compared or found connected, and pairs are handed on as stars and trees only.
 
     Defined cases: a NULL text or one without words has an empty set and links with
     nothing, as do rows without doc_id (component NULL, kept); rows that repeat a
@@ -232,45 +225,24 @@ def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text IS NOT NULL")
     nodes = rest.select("node").distinct()
     texts = written(texts.join(nodes, "node").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    nobody = spark.createDataFrame([], "node long, component long")
-    none = spark.createDataFrame([], "a long, b long")
-    united, compared, turn = nobody, none, 0
-    while True:
-        placed = rest.join(united, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
-        counts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-        largest = counts.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest")
-        )
-        unsettled = written(largest.where("parts > 1").select("bucket", "largest"), f"unsettled-{turn}")
-        open_ = written(placed.join(unsettled, "bucket"), f"open-{turn}")
-        if open_.isEmpty():
-            break
-        by_node = Window.partitionBy("bucket").orderBy("node")
-        if turn == 0:
-            hubs = open_.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("hub"))
-            hubs = hubs.select("bucket", "hub.node", "hub.size").selectExpr(
-                "bucket", "node AS hub", "node AS hub_component", "size AS hub_size"
-            )
-        else:
-            # All but those of the largest part, which are compared from the other side.
-            ranked = open_.where("component <> largest").withColumn("rank", F.row_number().over(by_node))
-            hubs = ranked.where(F.col("rank") <= min(HUBS, 8**turn)).select(
-                "bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component"), F.col("size").alias("hub_size")
-            )
-        hubs = written(hubs, f"hubs-{turn}")
-        met = open_.join(hubs, "bucket").where("component <> hub_component")
-        met = met.where(f"100 * least(size, hub_size) >= {LEAST_PERCENT} * greatest(size, hub_size)")
-        pairs = met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        # The first pairs are stars around few members; later ones are dense.
-        found = _linked(pairs, texts, words) if turn == 0 else _linked_in_blocks(pairs, open_, texts, words)
-        links = written(found, f"linked-{turn}")
-        known = united.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        united = components(links.unionAll(known), f"{folder}/components-{turn}")
-        compared = compared.unionAll(pairs)
-        gone = hubs.select("bucket", F.col("hub").alias("node"))
-        rest = open_.select("bucket", "node", "size").join(gone, ["bucket", "node"], "left_anti")
-        turn += 1
+    # Stars first: each bucket's smallest document with all others of fitting size.
+    hubs = rest.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("hub"))
+    hubs = written(hubs.selectExpr("bucket", "hub.node AS hub", "hub.size AS hub_size"), "hubs")
+    met = rest.join(hubs, "bucket").where("node <> hub")
+    met = met.where(f"100 * least(size, hub_size) >= {LEAST_PERCENT} * greatest(size, hub_size)")
+    pairs = written(met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    links = written(_linked(pairs, texts, words), "linked")
+    united = components(links, f"{folder}/components-1")
+    # Then what meets in a bucket without being connected.
+    placed = rest.join(united, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    counts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest")
+    )
+    unsettled = written(largest.where("parts > 1").select("bucket", "largest"), "unsettled")
+    more = written(_linked_in_blocks(placed.join(unsettled, "bucket"), texts, words, folder), "linked-in-blocks")
+    known = united.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    united = components(more.unionAll(known), f"{folder}/components-2")
     found = classes.select("set_key", "node").join(united, "node", "left")
     found = found.select("set_key", F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))

@@ -59,10 +59,10 @@ def made(seed, groups=12, copies=30):
     return [(i * 7 % 10_007, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("hubs, words", [(1, 2), (512, 5)])
-def test_against_all_pairs(spark, tmp_path, monkeypatch, hubs, words):
-    monkeypatch.setattr(module, "HUBS", hubs)
-    rows = made(hubs)
+@pytest.mark.parametrize("block, words", [(3, 2), (256, 5)])
+def test_against_all_pairs(spark, tmp_path, monkeypatch, block, words):
+    monkeypatch.setattr(module, "BLOCK", block)
+    rows = made(block)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert sorted(map(tuple, group(docs, f"file://{tmp_path}", words).collect())) == brute(rows, words)
 
