@@ -24,10 +24,6 @@ LEAST_COSINE = 0.98
 SAMPLE = 16_384
 #: Coarse lists, subspaces, entries of a codebook, and rounds of fitting them.
 LISTS, SUBSPACES, CODES, ROUNDS = 64, 8, 256, 8
-#: A vector visits lists whose centroid is farther than the nearest one's by no more than this many times
-#: the linking distance over the square root of the length. Two linked vectors differ in such a difference
-#: by about one such unit, and miss each other only if it differs by twice the margin, as either visit will do.
-SPREAD = 3.0
 #: Members of a list, and visitors, that meet in one task.
 TOGETHER = 4_096
 
@@ -42,21 +38,26 @@ class Index:
     books: np.ndarray
     cuts: tuple[int, ...]
 
-    def distances(self, unit: np.ndarray) -> np.ndarray:
-        """Of each vector to each centroid."""
-        return np.sqrt(np.maximum(0, 2 - 2 * unit @ self.centroids.T + (self.centroids**2).sum(1) - 1))
+    def visits(self, unit: np.ndarray, home: np.ndarray, least: float) -> np.ndarray:
+        """Which lists vectors of the lists ``home`` visit: those whose border is within half the linking distance.
 
-    def visits(self, far: np.ndarray, least: float) -> np.ndarray:
-        """Which lists vectors visit, from their distances to the centroids."""
-        margin = SPREAD * np.sqrt(max(0.0, 2 - 2 * least) / self.centroids.shape[1])
-        return far <= far.min(1)[:, None] + margin
+        The border of two lists is the plane between their centroids. Vectors on its two
+        sides are at least as far apart as their distances to it make together, so of two
+        linked ones one visits the list of the other, whatever the dimensions.
+        """
+        squares = (self.centroids**2).sum(1)
+        far = squares - 2 * unit @ self.centroids.T
+        far -= far[np.arange(len(unit)), home][:, None]
+        # This is the distance to the border times twice that of the centroids.
+        apart = np.sqrt(((self.centroids[:, None] - self.centroids[None]) ** 2).sum(2))
+        return far <= np.sqrt(max(0.0, 2 - 2 * least)) * apart[home] + 1e-9
 
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, a:b] for a, b in zip(self.cuts[:-1], self.cuts[1:])]
 
     def encode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nearest list, codes of what is left, and the length of what the codes miss."""
-        lists = self.distances(unit).argmin(1)
+        lists = _nearest(unit, self.centroids)
         rest = unit - self.centroids[lists]
         codes = np.empty((len(unit), len(self.cuts) - 1), dtype=np.uint8)
         missed = np.zeros(len(unit))
@@ -206,7 +207,7 @@ def link_vectors(
                         visits = [[-1]] * len(v)
                     else:
                         lists, codes, error = index.encode(unit)
-                        visits = [np.flatnonzero(r).tolist() for r in index.visits(index.distances(unit), least)]
+                        visits = [np.flatnonzero(r).tolist() for r in index.visits(unit, lists, least)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             t["node"].combine_chunks(),
@@ -255,7 +256,7 @@ def link_vectors(
             i, j = near(index, which, m, v, least)
             # A visitor whose own list the member doesn't visit speaks for both.
             if index is not None and len(i):
-                lone = ~index.visits(index.distances(m["unit"]), least)[j, v["list"][i]]
+                lone = ~index.visits(m["unit"], m["list"], least)[j, v["list"][i]]
             else:
                 lone = np.zeros(len(i), dtype=bool)
             count = np.bincount(i, m["n"][j], len(v["node"]))

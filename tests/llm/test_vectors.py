@@ -7,6 +7,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tallybrook.llm import vectors as module
 from tallybrook.llm.components import components, forest
@@ -58,6 +59,14 @@ def made(rng, n, d=16, groups=8):
     return rows
 
 
+def in_a_subspace(d, effective, n):
+    """Unit vectors of ``d`` dimensions that lie in ``effective`` ones."""
+    rng = np.random.default_rng(12)
+    base = np.linalg.qr(rng.normal(size=(d, effective)))[0]
+    low = rng.normal(size=(n, effective))
+    return (low / np.sqrt((low**2).sum(1))[:, None]) @ base.T
+
+
 def test_against_all_pairs(spark, tmp_path, monkeypatch):
     rng = np.random.default_rng(8)
     rows = made(rng, 700, groups=2)
@@ -69,6 +78,28 @@ def test_against_all_pairs(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, link_vectors(df, f"file://{tmp_path}/b").collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("d, effective, n", [(64, 2, 1500), (384, 4, 6000), (384, 8, 6000), (64, 64, 6000)])
+def test_of_linked_vectors_one_visits_the_list_of_the_other(d, effective, n):
+    unit = in_a_subspace(d, effective, n)
+    index = module.fit(unit)
+    home = index.encode(unit)[0]
+    i, j = np.nonzero(unit @ unit.T >= 0.98)
+    visits = index.visits(unit, home, 0.98)
+    assert len(i) > n - 1 and np.all(visits[i, home[j]] | visits[j, home[i]])
+
+
+@pytest.mark.parametrize("d, effective, n", [(64, 2, 1500), (384, 4, 3000)])
+def test_vectors_near_a_small_subspace(spark, tmp_path, d, effective, n):
+    unit = in_a_subspace(d, effective, n)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(unit)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in link_vectors(df, f"file://{tmp_path}").collect()}
+    cosine = unit @ unit.T
+    # Cosines at the very border may fall to either side.
+    assert not np.any(np.abs(cosine - 0.98) < 1e-12)
+    assert got == dict(enumerate(((cosine >= 0.98).sum(1) - 1).tolist()))
+
+
 def test_odd_rows(spark, tmp_path):
     rows = [
         (1, [1.0, 0.0], 1),
