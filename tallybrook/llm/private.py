@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 # They keep the search linear on long runs. \G lets a match start right after another.
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _DIGITS = r"(?:(?<![0-9])|\G)[0-9]++"
+_RUN = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+"
+#: Characters on either side in which context words are looked for.
+NEAR = 40
 PATTERNS = {
     "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"{_DIGITS}\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # The match is where a code may begin; what may belong to it, and some more text, is looked ahead at.
+    "iban": rf"(?<![A-Za-z0-9])(?=({_RUN}(?s:.{{0,{NEAR + 1}}})))[A-Z]{{2}}[0-9]{{2}}",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: Kinds of the base, in the order in which they are listed at one start, then those the method adds.
@@ -36,8 +40,13 @@ SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn"
 CONTEXT_SCORE = 0.3
 #: Added spans count from this score on; those of the base always do.
 LEAST_SCORE = 0.5
-#: Characters on either side in which context words are looked for.
-NEAR = 40
+#: Characters of an account code by country.
+CODE_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 CONTEXT = {
     "email": "mail|contact|write|kontakt|correo|courriel",
     "ip": "host|server|address|login|adresse",
@@ -66,14 +75,28 @@ def _mod97(code: str) -> str:
     return f"aggregate(split({turned}, ''), 0, (a, c) -> if(c = '', a, {value})) = 1"
 
 
+def _code(m: str) -> str:
+    """The account code at the start of a text, NULL without one.
+
+    The code may end at any blank and where its run does. Ends with the remainder are
+    taken in this order: the country's length, the longest.
+    """
+    run = f"split(regexp_extract({m}, {_quoted(f'^{_RUN}[A-Za-z0-9]?')}, 0), ' ')"
+    ends = f"flatten(transform(array({run}), r -> transform(sequence(1, size(r)), k -> array_join(slice(r, 1, k), ' '))))"
+    good = f"filter({ends}, p -> {_CODE} rlike '^[A-Z0-9]{{15,34}}$' AND {_mod97(_CODE)})"
+    lengths = ", ".join(f"'{c}', {n}" for n, countries in CODE_LENGTHS.items() for c in countries.split())
+    usual = f"filter(g, p -> length({_CODE}) <=> try_element_at(map({lengths}), left(p, 2)))"
+    return f"transform(array({good}), g -> coalesce(get({usual}, 0), try_element_at(g, -1)))[0]"
+
+
 _ONLY_DIGITS = "regexp_replace(m, '[^0-9]', '')"
-_CODE = "replace(m, ' ', '')"
+_CODE = "replace(p, ' ', '')"
 CONFIRMED = {
     "email": "true",
     "ip": r"forall(split(m, '\\.'), p -> length(ltrim('0', p)) <= 3 AND int(concat('0', right(ltrim('0', p), 3))) <= 255)",
     "card": f"length({_ONLY_DIGITS}) BETWEEN 14 AND 19 AND {_luhn(_ONLY_DIGITS)}",
     "phone": f"length({_ONLY_DIGITS}) BETWEEN 10 AND 15",
-    "iban": f"length({_CODE}) BETWEEN 15 AND 34 AND {_mod97(_CODE)}",
+    "iban": "_iban_codes[i] IS NOT NULL",
     "ssn": "true",
 }
 
@@ -92,7 +115,11 @@ def _spans(kind: str) -> str:
         f"aggregate(slice({lengths}, 1, b * {block}), 0, (a, x) -> a + x))"
     )
     number = KINDS.index(kind)
-    near = f"concat({around}[i].tail, ' ', {around}[i + 1].head)"
+    head, length = f"{around}[i + 1].head", "length(m)"
+    if kind == "iban":
+        length = "length(_iban_codes[i])"
+        head = f"lower(substr(m, {length} + 1, {NEAR}))"
+    near = f"concat({around}[i].tail, ' ', {head})"
     score = (
         f"least(1.0D, {SCORES[kind]}D + if({near} rlike '{CONTEXT[kind]}', {CONTEXT_SCORE}D, 0.0D))"
     )
@@ -103,18 +130,26 @@ def _spans(kind: str) -> str:
     spans = (
         f"flatten(transform(array({base}), blocks -> transform({found}, (m, i) -> "
         f"struct({start} AS `start`, {number} AS number, '{kind}' AS kind, "
-        f"{start} + length(m) AS `end`, {score} AS score, {CONFIRMED[kind]} AS good))))"
+        f"{start} + {length} AS `end`, {score} AS score, {CONFIRMED[kind]} AS good))))"
     )
     least = 0.0 if kind in BASE else LEAST_SCORE
-    return f"if(size({found}) = 0, NULL, filter({spans}, s -> s.good AND s.score >= {least}D))"
+    spans = f"filter({spans}, s -> s.good AND s.score >= {least}D)"
+    if kind == "iban":
+        # What looks like the begin of a code may be inside of one.
+        spans = f"""
+            aggregate({spans}, cast(array() AS array<struct<`start`: int, number: int, kind: string, `end`: int, score: double, good: boolean>>),
+                (a, s) -> if(size(a) > 0 AND s.`start` < try_element_at(a, -1).`end`, a, concat(a, array(s))))
+        """
+    return f"if(size({found}) = 0, NULL, {spans})"
 
 
 def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``spans``: structs of start, number, kind, end, score.
 
     Kinds are email, ip, card and phone (the base: leftmost matches, failing ones
-    dropped), and iban (confirmed by remainder 97) and ssn (only where context words
-    speak for it). Positions are code points, ends exclusive; spans are sorted by
+    dropped), and iban (confirmed by remainder 97: the code may end at any blank, at
+    its country's length if that passes, else the longest that does) and ssn (only
+    where context words speak for it). Positions are code points, ends exclusive; spans are sorted by
     start, then kind as listed. Spans of different kinds may overlap.
 
     All expressions are built in: a text is split at the matches of a kind, and the
@@ -128,7 +163,7 @@ def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
     t = f"`{text}`"
     # Steps of their own: each array is made once for a row.
     found = {
-        f"_{k}_found": f"if({HINTS[k].format(t=t)}, regexp_extract_all({t}, {_quoted(p)}, 0), array())"
+        f"_{k}_found": f"if({HINTS[k].format(t=t)}, regexp_extract_all({t}, {_quoted(p)}, {int(k == 'iban')}), array())"
         for k, p in PATTERNS.items()
     }
     pieces = "transform(split({t}, {p}, -1), p -> struct(length(p) AS n, lower(right(p, {n})) AS tail, lower(left(p, {n})) AS head))"
@@ -136,8 +171,10 @@ def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
         f"_{k}_around": f"if(size(_{k}_found) > 0, {pieces.format(t=t, p=_quoted(p), n=NEAR)}, NULL)"
         for k, p in PATTERNS.items()
     }
+    around["_iban_codes"] = f"transform(_iban_found, m -> {_code('m')})"
     lengths = {
-        f"_{k}_lengths": f"transform(_{k}_found, (m, i) -> length(m) + _{k}_around[i].n)" for k in PATTERNS
+        f"_{k}_lengths": f"transform(_{k}_found, (m, i) -> {4 if k == 'iban' else 'length(m)'} + _{k}_around[i].n)"
+        for k in PATTERNS
     }
     rows = docs.select(*kept)
     for step in (found, around, lengths):

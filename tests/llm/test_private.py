@@ -91,6 +91,27 @@ def test_account_codes_need_their_checksum_and_ssn_its_context(spark):
     }
 
 
+def test_account_codes_end_where_their_checksum_does(spark):
+    texts = {
+        "FR1420041010050500013M02606 Bank": [(0, 27)],
+        "account DE89370400440532013000 12 May": [(8, 30)],
+        "GB82WEST12345698765432 I will": [(0, 22)],
+        "DE89 3704 0044 0532 0130 00 BIC: COBADEFF": [(0, 27)],
+        "DE89370400440532013000 GB82WEST12345698765432 FR1420041010050500013M02606": [(0, 22), (23, 45), (46, 73)],
+        "é😀 ref AB12 DE89 3704 0044 0532 0130 00 COBADEFF 1": [(12, 39)],
+        "XX57123456789012345 NOW": [(0, 19)],
+        "NO9386011117947": [(0, 15)],
+        "DE89370400440532013000x DE89370400440532013000EUR DE88370400440532013000 12 May": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in find_private(docs).collect()}
+    assert got == dict(enumerate(texts.values()))
+    masked = {r.doc_id: r.text for r in redact(docs).collect()}
+    assert masked[0] == "[IBAN] Bank" and masked[3] == "[IBAN] BIC: COBADEFF"
+    after = spark.createDataFrame([(1, "DE89370400440532013000 is my bank")], "doc_id long, text string")
+    assert [round(s.score, 2) for s in find_private(after).collect()[0].spans if s.kind == "iban"] == [1.1 - 0.1]
+
+
 def test_redacted_texts(spark):
     rows = [(1, "é a@b.c, +12 345 678 901!", 7), (2, None, 0), (3, "", 0), (3, "", 0), (4, "4111 1111 1111 1111", 1), (None, "1.2.3.4", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
