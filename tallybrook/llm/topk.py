@@ -24,27 +24,47 @@ CANDIDATES, QUERIES = 8_192, 1_024
 STEPS = 64
 LARGEST = 1 << 28
 
+#: Types of numbers in which scores are exact below a size, the fastest first.
+_EXACT = ((np.float32, 1 << 24), (np.float64, 1 << 53), (np.int64, 1 << 63), (object, None))
+
 _FOUND = "query_id long, query_key long, vec_id long, score long"
 
 
+def _kind(bound: int) -> int:
+    """Place of the first type that holds scores of this size, and the sums on the way to them."""
+    return next(i for i, (_, size) in enumerate(_EXACT) if size is None or bound < size)
+
+
 class SortedLists:
     """Candidates of one block with a sorted list for each dimension."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids = ids
+        self.whole = vectors
         # Scores of small whole numbers are exact in floating point, which multiplies faster.
-        bound = int(np.abs(vectors).max(initial=0)) ** 2 * vectors.shape[1]
-        kind = np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
-        self.vectors = vectors.astype(kind)
+        self.largest = int(np.abs(vectors).max(initial=0)) * vectors.shape[1]
+        self.kind = _kind(self.largest**2 // max(1, vectors.shape[1]))
+        self.vectors = vectors.astype(_EXACT[self.kind][0])
+        self.others: dict[int, np.ndarray] = {}
         self.order = np.argsort(vectors, axis=0, kind="stable")
         self.sorted = np.take_along_axis(vectors, self.order, axis=0)
 
+    def exact(self, query: np.ndarray) -> np.ndarray:
+        """The candidates in a type that holds their scores for a query."""
+        kind = _kind(self.largest * int(np.abs(query).max(initial=0)))
+        if kind <= self.kind:
+            return self.vectors
+        if kind not in self.others:
+            self.others[kind] = self.whole.astype(_EXACT[kind][0])
+        return self.others[kind]
+
     def top(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the k best candidates, ties to smaller ids; without those of id ``own``."""
         n = len(self.ids)
         dims = np.flatnonzero(query)
         up = query[dims] > 0
-        weights = query.astype(self.vectors.dtype)
+        vectors = self.exact(query)
+        weights = query.astype(vectors.dtype)
         seen = np.zeros(n, dtype=bool)
         places, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         allowed = self.ids != own
@@ -63,13 +83,13 @@ class SortedLists:
                 reached = n
             new = np.flatnonzero(fresh & allowed)
             places = np.concatenate([places, new])
-            scores = np.concatenate([scores, (self.vectors[new] @ weights).astype(np.int64)])
+            scores = np.concatenate([scores, (vectors[new] @ weights).astype(np.int64)])
             best = self._best(places, scores, k)
             places, scores = places[best], scores[best]
             if reached == n:
                 return places, scores
             at = self.sorted[np.where(up, n - reached, reached - 1), dims]
-            bound = int(at @ query[dims])
+            bound = int(at.astype(object) @ query[dims]) if vectors.dtype == object else int(at @ query[dims])
             # A candidate that ties with the kth may have the smaller id.
             if len(scores) >= k and bound < int(scores[-1]):
                 return places, scores

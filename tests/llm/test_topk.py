@@ -66,6 +66,21 @@ def test_large_components_stay_exact():
     assert places.tolist() == [0, 1] and scores.tolist() == [(1 << 54) + 1, 1 << 54]
 
 
+def test_a_query_of_much_larger_norm_than_the_candidates(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    small = rng.integers(-64, 65, (400, 64))
+    order = np.arange(400)
+    for size in (64, 64_000, 640_000, 1 << 28):
+        query = rng.integers(-size, size + 1, 64)
+        places, scores = SortedLists(order, small).top(query, 20, -1)
+        best = np.lexsort((order, -(small @ query)))[:20]
+        assert places.tolist() == best.tolist() and scores.tolist() == (small @ query)[best].tolist()
+    monkeypatch.setattr(topk, "CANDIDATES", 200)
+    rows = [(i + 1, (v / 64).tolist()) for i, v in enumerate(small)] + [(500, (rng.integers(-640_000, 640_001, 64) / 64).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, search(df, F.col("vec_id") % 20 == 0).collect())) == brute(rows)
+
+
 def test_no_rows(spark):
     assert search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).collect() == []
 
