@@ -11,7 +11,7 @@ depth make together, so the walk ends once that bound is below the kth best scor
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, floor
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +20,18 @@ from pyspark.sql import functions as F
 
 #: Rows of a block of candidates and of one of queries, about.
 CANDIDATES, QUERIES = 8_192, 1_024
-#: Components are floor(STEPS * x); beyond this size scores could leave 64 bits.
+#: Components are floor(STEPS * x); rows with one beyond this size are scored apart, in Python's whole numbers.
 STEPS = 64
 LARGEST = 1 << 28
 
 #: Types of numbers in which scores are exact below a size, the fastest first.
 _EXACT = ((np.float32, 1 << 24), (np.float64, 1 << 53), (np.int64, 1 << 63), (object, None))
 
-_FOUND = "query_id long, query_key long, vec_id long, score long"
+#: Scores in a column, and bytes that put the exact ones in order where these are at an end of it.
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+WIDTH = 270
+
+_FOUND = "query_id long, query_key long, vec_id long, score long, beyond binary"
 
 
 def _kind(bound: int) -> int:
@@ -83,7 +87,8 @@ class SortedLists:
                 reached = n
             new = np.flatnonzero(fresh & allowed)
             places = np.concatenate([places, new])
-            scores = np.concatenate([scores, (vectors[new] @ weights).astype(np.int64)])
+            more = vectors[new] @ weights
+            scores = np.concatenate([scores, more if more.dtype == object else more.astype(np.int64)])
             best = self._best(places, scores, k)
             places, scores = places[best], scores[best]
             if reached == n:
@@ -96,6 +101,8 @@ class SortedLists:
             depth, reached = reached, 4 * reached
 
     def _best(self, places: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+        if scores.dtype == object:
+            return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], self.ids[places[i]]))[:k], dtype=np.int64)
         if len(scores) > 4 * k:
             least = np.partition(scores, len(scores) - k)[len(scores) - k]
             near = np.flatnonzero(scores >= least)
@@ -105,15 +112,33 @@ class SortedLists:
 
 
 def _whole(table: pa.Table) -> Iterator[tuple[int, pa.Table, np.ndarray]]:
-    """Rows of each dimension with their components as whole numbers."""
+    """Rows of each dimension with their components as whole numbers: those up to LARGEST, then the others as objects."""
     sizes = np.asarray(table["size"])
     for d in np.unique(sizes):
         rows = table.filter(pa.array(sizes == d))
-        flat = rows["vector"].combine_chunks().flatten()
-        vectors = np.floor(STEPS * np.asarray(flat).astype(np.float64)).reshape(-1, d)
-        if len(vectors) and np.abs(vectors).max() > LARGEST:
-            raise ValueError(f"components beyond {LARGEST / STEPS:.0f} aren't supported")
-        yield int(d), rows, vectors.astype(np.int64)
+        vectors = np.asarray(rows["vector"].combine_chunks().flatten()).astype(np.float64).reshape(-1, d)
+        wide = np.abs(vectors).max(1) > LARGEST / STEPS
+        if not wide.all():
+            yield int(d), rows.filter(pa.array(~wide)), np.floor(STEPS * vectors[~wide]).astype(np.int64)
+        if wide.any():
+            whole = [[_steps(x) for x in v] for v in vectors[wide].tolist()]
+            yield int(d), rows.filter(pa.array(wide)), np.array(whole, dtype=object)
+
+
+def _steps(x: float) -> int:
+    """floor(STEPS * x), also where the product is beyond a double."""
+    return STEPS * int(x) if abs(x) >= 1 << 53 else floor(STEPS * x)
+
+
+def _columns(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores cut to 64 bits, and for those at an end of them bytes in the order of the exact ones."""
+    beyond = np.full(len(scores), None, dtype=object)
+    if scores.dtype == object:
+        for i, s in enumerate(scores):
+            if not LOWEST < s < HIGHEST:
+                beyond[i] = (s + (1 << (8 * WIDTH - 1))).to_bytes(WIDTH, "big")
+        scores = np.array([max(LOWEST, min(HIGHEST, s)) for s in scores], dtype=np.int64)
+    return scores, beyond
 
 
 def search(
@@ -121,7 +146,9 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all rows for each row where ``query_rows`` holds.
 
-    Scores are inner products of floor(64 * component). Ties go to smaller ids.
+    Scores are inner products of floor(64 * component). Ties go to smaller ids. Components
+    may be as large as doubles are: ranks follow the exact scores, and a score beyond 64
+    bits shows as the largest or smallest number of them.
 
     Defined cases: vectors that are NULL, empty, or hold NULL or non-finite
     components take no part, nor do rows without id; rows of other length than the
@@ -151,17 +178,19 @@ def search(
         out: list[tuple[np.ndarray, ...]] = []
         lists = {}
         if left.num_rows and right.num_rows:
-            lists = {d: SortedLists(np.asarray(t["vec_id"]), v) for d, t, v in _whole(left)}
+            for d, t, v in _whole(left):
+                lists.setdefault(d, []).append(SortedLists(np.asarray(t["vec_id"]), v))
             for d, table, whole in _whole(right):
-                if d not in lists:
-                    continue
                 for query_id, key, query in zip(np.asarray(table["vec_id"]), np.asarray(table["key"]), whole):
-                    places, scores = lists[d].top(query, k, query_id)
-                    out.append((np.full(len(places), query_id), np.full(len(places), key), lists[d].ids[places], scores))
-        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
-        return pa.table(dict(zip(("query_id", "query_key", "vec_id", "score"), columns)))
+                    for some in lists.get(d, []):
+                        places, scores = some.top(query, k, query_id)
+                        ids = (np.full(len(places), query_id), np.full(len(places), key), some.ids[places])
+                        out.append((*ids, *_columns(scores)))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
+        whole = dict(zip(("query_id", "query_key", "vec_id", "score"), columns))
+        return pa.table(whole | {"beyond": pa.array(columns[4].tolist(), pa.binary())})
 
     found = candidates.groupBy("a", "b").cogroup(queries.groupBy("a", "b")).applyInArrow(meet, _FOUND)
-    order = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), F.col("beyond").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

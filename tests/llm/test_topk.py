@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -81,6 +82,24 @@ def test_a_query_of_much_larger_norm_than_the_candidates(spark, monkeypatch):
     assert sorted(map(tuple, search(df, F.col("vec_id") % 20 == 0).collect())) == brute(rows)
 
 
+def test_components_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 40)
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.integers(-300, 300, 5).astype(float).tolist()) for i in range(1, 120)]
+    rows += [(200 + i, (rng.normal(size=5) * 10.0 ** rng.integers(6, 300)).tolist()) for i in range(30)]
+    rows += [(300, [1.7e308] * 5), (301, [1.7e308] * 5), (302, [-1.7e308] * 5), (320, [5e6, 0.5, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(64 * Fraction(x)) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in whole if i % 20 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:20]
+        want += [(q, rank, i, max(-(2**63), min(2**63 - 1, -s))) for rank, (s, i) in enumerate(scored, 1)]
+    assert sorted(map(tuple, search(df, F.col("vec_id") % 20 == 0).collect())) == sorted(want)
+    # Many dimensions near the bound leave 64 bits, too.
+    ends = SortedLists(np.arange(2), np.full((2, 256), 1 << 28)).top(np.full(256, 1 << 28), 2, -1)
+    assert ends[0].tolist() == [0, 1] and ends[1].tolist() == [1 << 64] * 2
+
+
 def test_no_rows(spark):
     assert search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).collect() == []
 
