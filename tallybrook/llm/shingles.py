@@ -83,7 +83,7 @@ def bands(elements: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (a digest of the whole set; NULL for an empty one) and the bands."""
+    """doc_id, mark (a hash of the text), n_shingles, set_key (a digest of the whole set; NULL for an empty one) and the bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,15 +92,16 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         few.column(0),
+                        few.column(2),
                         pa.array([len(s) for s in found], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found], pa.binary()),
                         pa.array([bands(s) if len(s) else None for s in found], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands"],
+                    ["doc_id", "mark", "n_shingles", "set_key", "bands"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
+    return rows.mapInArrow(run, "doc_id long, mark long, n_shingles long, set_key binary, bands array<long>")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -191,41 +192,35 @@ def _linked_in_blocks(members: DataFrame, texts: DataFrame, words: int, folder:
     return others.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(compare, "a long, b long")
 
 
-def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (that is its own).
+def _written(rows: DataFrame, folder: str, name: str) -> DataFrame:
+    rows.write.parquet(f"{folder}/{name}")
+    return rows.sparkSession.read.parquet(f"{folder}/{name}")
 
-    Documents are linked if 100 * common >= 80 * all of their sets of shingles,
-    confirmed on the full sets. Documents with equal sets are one class. Classes that
-    share a band of the signature are in a bucket. The smallest document of each bucket
-    is compared with the others; what this links is united. Buckets whose documents
-    aren't all in one component then are settled in blocks: those outside the bucket's
-    largest component are compared with all. So every pair that shares a bucket is
-    compared or found connected, and pairs are handed on as stars and trees only.
 
-    Defined cases: a NULL text or one without words has an empty set and links with
-    nothing, as do rows without doc_id (component NULL, kept); rows that repeat a
-    doc_id are one node; a column ``kept`` of ``docs`` or the like plays no part.
-    ``folder`` is shared by all workers: each turn writes its tables there.
+def _components(docs: DataFrame, folder: str, words: int) -> DataFrame:
+    """doc_id, mark, n_shingles and component for each row: classes linked by their sets alone, not by their ids.
+
+    The component is the number of one of its classes, NULL for rows without doc_id or set.
     """
-    spark = docs.sparkSession
 
     def written(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return _written(rows, folder, name)
 
     signed = written(_signed(docs, words), "signed")
     named = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("first"))
-    classes = classes.select("set_key", "first.*").withColumnsRenamed({"doc_id": "node", "n_shingles": "size"})
+    classes = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "mark", "n_shingles", "bands")).alias("first"))
+    classes = classes.select("set_key", "first.*").withColumnRenamed("n_shingles", "size")
+    # An id may have several texts: classes have numbers of their own.
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     members = classes.select("node", "size", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     # Tables of their own below: adaptive execution splits the rows of a large bucket
     # only where both sides of a join come straight from a shuffle.
     rest = written(members.join(written(shared, "shared"), "bucket").distinct(), "members")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").where("text IS NOT NULL")
-    nodes = rest.select("node").distinct()
-    texts = written(texts.join(nodes, "node").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    # Stars first: each bucket's smallest document with all others of fitting size.
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text").where("text IS NOT NULL")
+    nodes = classes.select("doc_id", "mark", "node").join(rest.select("node").distinct(), "node")
+    texts = written(texts.join(nodes, ["doc_id", "mark"]).groupBy("node").agg(F.min("text").alias("text")), "texts")
+    # Stars first: each bucket's smallest class with all others of fitting size.
     hubs = rest.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("hub"))
     hubs = written(hubs.selectExpr("bucket", "hub.node AS hub", "hub.size AS hub_size"), "hubs")
     met = rest.join(hubs, "bucket").where("node <> hub")
@@ -245,10 +240,45 @@ def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     united = components(more.unionAll(known), f"{folder}/components-2")
     found = classes.select("set_key", "node").join(united, "node", "left")
     found = found.select("set_key", F.coalesce("component", "node").alias("component"))
-    out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    out = signed.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    return out.join(found, "set_key", "left").drop("set_key")
+
+
+def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (that is its own).
+
+    Documents are linked if 100 * common >= 80 * all of their sets of shingles,
+    confirmed on the full sets. Documents with equal sets are one class. Classes that
+    share a band of the signature are in a bucket. The smallest class of each bucket
+    is compared with the others; what this links is united. Buckets whose documents
+    aren't all in one component then are settled in blocks: those outside the bucket's
+    largest component are compared with all. So every pair that shares a bucket is
+    compared or found connected, and pairs are handed on as stars and trees only.
+
+    Defined cases: a NULL text or one without words has an empty set and links with
+    nothing, as do rows without doc_id (component NULL, kept); rows that repeat a
+    doc_id are one node, with the links of all their texts; a column ``kept`` of
+    ``docs`` or the like plays no part. ``folder`` is shared by all workers: each turn
+    writes its tables there.
+    """
+    rows = _written(_components(docs, folder, words), folder, "rows")
+    named = rows.where("component IS NOT NULL")
+    # Components that share an id are one.
+    ids = named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("z")).where("a < z")
+    stars = named.join(ids, "doc_id").where("component > a").select("a", F.col("component").alias("b")).distinct()
+    stars = _written(stars, folder, "stars")
+    if not stars.isEmpty():
+        united = components(stars, f"{folder}/components-3")
+        united = united.select(F.col("component").alias("whole"), F.col("node").alias("component"))
+        rows = rows.join(united, "component", "left").withColumn("component", F.coalesce("whole", "component"))
+    least = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = _written(least, folder, "smallest")
+    # A text without words has the component of its id's other texts.
+    several = _written(rows.where("component IS NOT NULL").join(least, "component").select("doc_id", "least").distinct(), folder, "least")
     return (
-        out.join(found, "set_key", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        rows.select("doc_id", "n_shingles")
+        .join(several, "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
@@ -256,9 +286,13 @@ def group(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
 def without_near_copies(docs: DataFrame, folder: str, words: int = WORDS) -> DataFrame:
     """``docs`` with one document of each group: that with the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id all stay.
+    Texts of one doc_id that aren't linked are documents of their own. Of rows that
+    repeat a doc_id and its text one stays; rows without doc_id all stay.
     """
-    gone = group(docs, folder, words).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").withColumn("_tie", F.xxhash64("text"))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("_tie"))
-    return left.withColumn("_place", first).where("_place = 1 OR doc_id IS NULL").select(*docs.columns)
+    rows = _written(_components(docs, folder, words), folder, "rows").where("component IS NOT NULL")
+    first = rows.groupBy("component").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    first = _written(first, folder, "first")
+    gone = rows.join(first, "component").where("struct(doc_id, mark) <> first").select("doc_id", F.col("mark").alias("_mark")).distinct()
+    left = docs.withColumn("_mark", F.xxhash64("text")).join(gone, ["doc_id", "_mark"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("_mark"))
+    return left.withColumn("_place", place).where("_place = 1 OR doc_id IS NULL").select(*docs.columns)

@@ -81,6 +81,18 @@ def test_odd_rows(spark, tmp_path):
     assert group(docs.limit(0), f"file://{tmp_path}/e").collect() == []
 
 
+def test_an_id_with_several_texts(spark, tmp_path):
+    rng = random.Random(4)
+    x, y, z = ([f"{c}{rng.randrange(900)}" for _ in range(60)] for c in "xyz")
+    near = lambda words, at: " ".join(words[:at] + ["new"] + words[at + 1 :])
+    # The smaller text of 5 isn't the one that 7 is a near copy of; 9 copies the other one; 3 holds a text of 5.
+    rows = [(5, " ".join(x)), (5, " ".join(y)), (7, near(y, 30)), (9, near(x, 20)), (3, near(z, 9)), (5, " ".join(z)), (5, ""), (5, " ".join(y)), (8, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, group(docs, f"file://{tmp_path}/a", 2).collect())) == brute(rows)
+    kept = sorted(map(tuple, without_near_copies(docs, f"file://{tmp_path}/b", 2).collect()))
+    assert kept == sorted([(5, " ".join(x)), (5, " ".join(y)), (3, near(z, 9)), (5, ""), (8, "alone")])
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 2**63, 3000).astype(np.uint64)
