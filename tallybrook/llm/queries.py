@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.llm.lexical import rank
 from tallybrook.llm.mixing import mix
 from tallybrook.llm.pieces import digest_texts
 from tallybrook.llm.private import BASE, find_private, span_list
@@ -16,6 +17,7 @@ from tallybrook.llm.shingles import group
 from tallybrook.llm.tokenfile import read_corpus, write_corpus
 from tallybrook.llm.toxicity import fit, held_out, score
 from tallybrook.llm.topk import search
+from tallybrook.llm.variants import group_variants
 from tallybrook.llm.vectors import link_vectors
 from tallybrook.llm.warc import read_archive, write_archive
 from tallybrook.sources.tables import shared_folder
@@ -83,5 +85,17 @@ def op10_vectors(spark: SparkSession, root: str) -> DataFrame:
     return link_vectors(table(spark, root, "embeddings"), shared_folder(spark))
 
 
+def op11_variants(spark: SparkSession, root: str) -> DataFrame:
+    return group_variants(table(spark, root, "documents"), shared_folder(spark))
+
+
+def op12_lexical(spark: SparkSession, root: str) -> DataFrame:
+    return rank(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_repeats, op2_shingles, op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk, op8_pieces, op9_private, op10_vectors)}
+    found = (
+        op1_repeats, op2_shingles, op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk,
+        op8_pieces, op9_private, op10_vectors, op11_variants, op12_lexical,
+    )
+    return {f.__name__: f for f in found}
