@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.llm.article import extract_text
 from tallybrook.llm.lexical import rank
 from tallybrook.llm.mixing import mix
 from tallybrook.llm.pieces import digest_texts
@@ -93,9 +94,13 @@ def op12_lexical(spark: SparkSession, root: str) -> DataFrame:
     return rank(table(spark, root, "documents"), table(spark, root, "benchmark"))
 
 
+def op13_article(spark: SparkSession, root: str) -> DataFrame:
+    return extract_text(table(spark, root, "pages"), shared_folder(spark))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_repeats, op2_shingles, op3_warc, op4_mixing, op5_toxicity, op6_tokens, op7_topk,
-        op8_pieces, op9_private, op10_vectors, op11_variants, op12_lexical,
+        op8_pieces, op9_private, op10_vectors, op11_variants, op12_lexical, op13_article,
     )
     return {f.__name__: f for f in found}
