@@ -6,8 +6,32 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Odd, so that they have inverses modulo 2**64; one for each of two independent hashes.
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Hashes are polynomials modulo this prime.
+PRIME = (1 << 61) - 1
+#: Points at which they are taken, drawn at random once; one for each of two independent hashes.
+BASES = (0x1AC1DEB0B24E1D67, 0x0C9F4A60F3FBF6B3)
+#: Units whose products are added before they are reduced.
+CHUNK = 1 << 14
+#: Tables of powers for texts of up to two to this many units are kept.
+KEPT_BITS = 20
+
+_P, _61, _31, _30 = (np.uint64(x) for x in (PRIME, 61, 31, 30))
+_LOW31, _LOW30 = (np.uint64((1 << x) - 1) for x in (31, 30))
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers of 64 bits modulo the prime."""
+    x = (x & _P) + (x >> _61)
+    # What is below the prime wraps to a large number.
+    return np.minimum(x, x - _P)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, of numbers below it, from halves of 31 bits."""
+    a_high, a_low, b_high, b_low = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = a_low * b_high + a_high * b_low
+    out = ((a_high * b_high) << np.uint64(1)) + (middle >> _30) + ((middle & _LOW30) << _31)
+    return reduced(out + a_low * b_low)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -20,44 +44,91 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _made_powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        steps = np.full(1 << bits, b, dtype=np.uint64)
-        steps[0] = 1
-        out.append(np.multiply.accumulate(steps))
+    for b in (base, pow(base, -1, PRIME)):
+        power = np.ones(1 << bits, dtype=np.uint64)
+        for k in range(bits):
+            step = np.array(pow(b, 1 << k, PRIME), dtype=np.uint64)
+            power[1 << k : 2 << k] = times(power[: 1 << k], step)
+        out.append(power)
     return out[0], out[1]
 
 
-@lru_cache(maxsize=4)
-def _values(size: int, base: int) -> np.ndarray:
-    """Odd numbers in place of the units themselves, whose sums are too regular."""
-    return mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(base)) | np.uint64(1)
+_kept_powers = lru_cache(maxsize=4)(_made_powers)
+
+
+def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse, up to the n-th at least."""
+    if n < 1 << KEPT_BITS:
+        return _kept_powers(BASES[which], max(CHUNK.bit_length(), KEPT_BITS if n >= 1 << 16 else 16))
+    return _made_powers(BASES[which], n.bit_length())
 
 
 class Substrings:
     """Hashes of substrings of one text: equal strings have equal hashes wherever they are.
 
     ``data`` has bytes or 16-bit units. ``which`` picks one of two independent hashes.
+    A substring is a polynomial in its units (each raised by one) modulo a prime of 61
+    bits, taken at a point drawn at random. Two different strings of n units have
+    equal hashes for less than n of all points.
     """
 
     def __init__(self, data: np.ndarray, which: int = 0):
-        bits = max(12, int(len(data) + 1).bit_length())
-        power, self._inverse = _powers(BASES[which], bits)
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_values(1 << (8 * data.itemsize), BASES[which])[data] * power[: len(data)], out=self.sums[1:])
+        n = len(data)
+        power, self._inverse = _powers(which, n)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        carry = 0
+        for first in range(0, n, CHUNK):
+            units = data[first : first + CHUNK].astype(np.uint64) + np.uint64(1)
+            some = power[first : first + len(units)]
+            high, low = np.cumsum(units * (some >> _31)), np.cumsum(units * (some & _LOW31))
+            high = (high & _P) + (high >> _61)
+            sums = reduced((high >> _30) + ((high & _LOW30) << _31) + low + np.uint64(carry))
+            self.sums[first + 1 : first + 1 + len(units)] = sums
+            carry = int(sums[-1])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self._inverse[start]
+        raw = times(reduced(self.sums[end] + _P - self.sums[start]), self._inverse[start])
         return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def hash_all(self, width: int) -> np.ndarray:
         """Hashes of all substrings of ``width`` units, by their start."""
-        n = len(self.sums) - width
-        if n <= 0:
-            return np.zeros(0, dtype=np.uint64)
-        return mix((self.sums[width:] - self.sums[:n]) * self._inverse[:n])
+        n = max(0, len(self.sums) - width)
+        out = np.empty(n, dtype=np.uint64)
+        for first in range(0, n, CHUNK):
+            last = min(n, first + CHUNK)
+            raw = reduced(self.sums[first + width : last + width] + _P - self.sums[first:last])
+            out[first:last] = mix(times(raw, self._inverse[first:last]))
+        return out
+
+
+class Checks:
+    """Cheap hashes of substrings modulo 2**64, to be asked beside those of :class:`Substrings`, never alone.
+
+    Regular texts of two letters can have equal ones.
+    """
+
+    _BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, data: np.ndarray):
+        bits = max(12, int(len(data)).bit_length())
+        power, self._inverse = _wrapping_powers(self._BASE, bits)
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self.sums[1:])
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self._inverse[start])
+
+
+@lru_cache(maxsize=2)
+def _wrapping_powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        steps = np.full((1 << bits) + 1, b, dtype=np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
 
 
 #: Blank, and the controls from tab to return.

@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
-from tallybrook.llm.hashing import Substrings, as_units
+from tallybrook.llm.hashing import Checks, Substrings, as_units
 
 #: Runs remembered at most; then all are forgotten. About 40 bytes each.
 MOST = 1_500_000
@@ -16,6 +17,20 @@ MOST = 1_500_000
 TOGETHER = 500_000
 
 
+#: Bytes of an Arrow batch between Spark and a worker.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session hand rows to Python workers in batches of BATCH_BYTES at most, whatever their number.
+
+    By default a batch has up to 64 MB, which both sides hold for every task at once.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def grouped(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts in groups of bounded length, each with the place of its first."""
     first, length = 0, 0
@@ -44,7 +59,7 @@ def small_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
 class RunMemory:
     """Ids of runs: new ones are segmented by ``segment``, the others looked up.
 
-    Two independent 64-bit hashes tell runs apart.
+    Two hashes tell runs apart: one modulo a prime, which alone would do, and a cheap one beside it.
     """
 
     def __init__(self, segment: Callable[[list[str]], list[list[int]]]):
@@ -60,7 +75,7 @@ class RunMemory:
         """Ids of all runs one after another, and how many each run has."""
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        one, two = (Substrings(units, k).hash(start, end) for k in (0, 1))
+        one, two = Substrings(units).hash(start, end), Checks(units).hash(start, end)
         keys, first, which = np.unique(one, return_index=True, return_inverse=True)
         checks = two[first]
         if (two != checks[which]).any():  # runs with one hash and not the other: tell them apart by position
