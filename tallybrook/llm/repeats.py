@@ -41,7 +41,7 @@ MOST_ENTRIES = 2_048
 #: Strings that are sorted together, about.
 TOGETHER = 100_000
 
-_PHRASE = "doc_id long, mark int, place int, n int, core long, phrase long"
+_PHRASE = "row long, mark long, place int, n int, core long, phrase long"
 
 
 def phrases(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -81,8 +81,13 @@ def phrases(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, text; rows that repeat an id are told apart by their texts."""
-    return docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
+    """doc_id, row, mark, text; (row, mark), two independent hashes, tell rows apart by id and text.
+
+    Rows with the same id and text have one name: what is repeated in one is in all.
+    """
+    # A constant first: a NULL id leaves a hash as it is.
+    row, mark = F.xxhash64(F.lit(1), "doc_id", "text"), F.xxhash64("text")
+    return docs.select(F.col("doc_id").cast("long"), "text").select("doc_id", row.alias("row"), mark.alias("mark"), "text")
 
 
 def _parse(docs: DataFrame) -> DataFrame:
@@ -102,35 +107,37 @@ def _parse(docs: DataFrame) -> DataFrame:
                         pa.array(core),
                         pa.array(phrase),
                     ],
-                    ["doc_id", "mark", "place", "n", "core", "phrase"],
+                    ["row", "mark", "place", "n", "core", "phrase"],
                 )
 
-    return _marked(docs).where("octet_length(text) >= %d" % LENGTH).mapInArrow(run, _PHRASE)
+    long = _marked(docs).where("octet_length(text) >= %d" % LENGTH)
+    return long.select("row", "mark", "text").mapInArrow(run, _PHRASE)
 
 
-_ENTRY = "doc_id long, mark int, place int, core long, once boolean, data binary"
+_ENTRY = "row long, mark long, place int, core long, once boolean, data binary"
 
 
 def _cut_entries(docs: DataFrame, entries: DataFrame) -> DataFrame:
     """The entries with their bytes, from a text in which they stand."""
-    wanted = entries.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "n", "core", "once")).alias("entries"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.mark") == F.col("w.mark"))
-    found = _marked(docs).alias("d").join(wanted.alias("w"), same).select("d.doc_id", "d.mark", "d.text", "w.entries")
+    wanted = entries.groupBy("row", "mark").agg(F.collect_set(F.struct("place", "n", "core", "once")).alias("entries"))
+    # One row of those with the same id and text will do.
+    texts = _marked(docs).select("row", "mark", "text")
+    found = texts.join(wanted, ["row", "mark"]).select("row", "mark", "text", "entries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for few in small_slices(batch, 2):
                 rows = []
-                for doc_id, mark, text, entries in zip(*(c.to_pylist() for c in few.columns)):
+                for row, mark, text, entries in zip(*(c.to_pylist() for c in few.columns)):
                     data = text.encode("utf-8", "surrogatepass")
                     for e in {x["place"]: x for x in entries}.values():
                         cut = data[e["place"] : e["place"] + e["n"] + LENGTH - 1]
-                        rows.append((doc_id, mark, e["place"], e["core"], e["once"], cut))
-                names = ["doc_id", "mark", "place", "core", "once", "data"]
+                        rows.append((row, mark, e["place"], e["core"], e["once"], cut))
+                names = ["row", "mark", "place", "core", "once", "data"]
                 yield pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows))), schema=schema)
 
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("mark", pa.int32()), ("place", pa.int32()), ("core", pa.int64()), ("once", pa.bool_()), ("data", pa.binary())]
+        [("row", pa.int64()), ("mark", pa.int64()), ("place", pa.int32()), ("core", pa.int64()), ("once", pa.bool_()), ("data", pa.binary())]
     )
     return found.mapInArrow(run, _ENTRY)
 
@@ -161,7 +168,7 @@ def repeated_strings(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return owner[repeated], which[repeated]
 
 
-_FOUND = "doc_id long, mark int, place int, n int"
+_FOUND = "row long, mark long, place int, n int"
 
 
 def _runs(owner: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,12 +190,12 @@ def _settle_sorted(entries: DataFrame) -> DataFrame:
         owner, first, n = _runs(owner[once], which[once])
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([rows[i]["doc_id"] for i in owner], pa.int64()),
-                pa.array([rows[i]["mark"] for i in owner], pa.int32()),
+                pa.array([rows[i]["row"] for i in owner], pa.int64()),
+                pa.array([rows[i]["mark"] for i in owner], pa.int64()),
                 pa.array([rows[i]["place"] + f for i, f in zip(owner.tolist(), first.tolist())], pa.int32()),
                 pa.array(n.astype(np.int32)),
             ],
-            ["doc_id", "mark", "place", "n"],
+            ["row", "mark", "place", "n"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,17 +229,17 @@ def _settle_hashed(entries: DataFrame) -> DataFrame:
                 place = np.asarray(few.column(2))[owner] + which
                 yield pa.RecordBatch.from_arrays(
                     [few.column(0).take(of), few.column(1).take(of), pa.array(place.astype(np.int32)), few.column(4).take(of), pa.array(one), pa.array(two)],
-                    ["doc_id", "mark", "place", "once", "one", "two"],
+                    ["row", "mark", "place", "once", "one", "two"],
                 )
 
-    strings = entries.mapInArrow(run, "doc_id long, mark int, place int, once boolean, one long, two long")
+    strings = entries.mapInArrow(run, "row long, mark long, place int, once boolean, one long, two long")
     twice = strings.groupBy("one", "two").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("one", "two")
     found = strings.where("once").join(twice, ["one", "two"])
-    return found.select("doc_id", "mark", "place", F.lit(1).alias("n"))
+    return found.select("row", "mark", "place", F.lit(1).alias("n"))
 
 
 def find_repeats(docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id, mark, place, n: starts place to place + n - 1 begin strings of LENGTH bytes that also start elsewhere."""
+    """row, mark, place, n: starts place to place + n - 1 begin strings of LENGTH bytes that also start elsewhere."""
     spark = docs.sparkSession
 
     def written(rows: DataFrame, name: str) -> DataFrame:
@@ -245,14 +252,14 @@ def find_repeats(docs: DataFrame, folder: str) -> DataFrame:
     # where both sides of a join come straight from a shuffle.
     rest = written(parse.join(written(cores, "cores"), "core"), "rest")
     entries = rest.groupBy("core", "phrase").agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "mark", "place", "n")).alias("at")
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("row", "mark", "place", "n")).alias("at")
     )
     entries = written(entries, "entries")
     # Only a core with an entry that occurs once leaves something to look at.
     per_core = entries.groupBy("core").agg(F.count(F.lit(1)).alias("entries"), F.min("times").alias("least"))
     per_core = written(per_core.where("least = 1").select("core", "entries"), "per_core")
     open_ = entries.join(per_core, "core").select(
-        "at.doc_id", "at.mark", "at.place", "at.n", "core", (F.col("times") == 1).alias("once")
+        "at.row", "at.mark", "at.place", "at.n", "core", (F.col("times") == 1).alias("once")
     )
     cut = written(_cut_entries(docs, open_), "cut")
     large = per_core.where(F.col("entries") > MOST_ENTRIES).select("core")
@@ -260,7 +267,7 @@ def find_repeats(docs: DataFrame, folder: str) -> DataFrame:
     settled = written(_settle_sorted(small), "sorted")
     hashed = written(_settle_hashed(cut.join(large, "core", "left_semi").select(*cut.columns)), "hashed")
     whole = rest.join(entries.where("times > 1").select("core", "phrase"), ["core", "phrase"])
-    return whole.select("doc_id", "mark", "place", "n").unionAll(settled).unionAll(hashed)
+    return whole.select("row", "mark", "place", "n").unionAll(settled).unionAll(hashed)
 
 
 def cut_repeats(docs: DataFrame, folder: str) -> DataFrame:
@@ -276,9 +283,9 @@ def cut_repeats(docs: DataFrame, folder: str) -> DataFrame:
     by all workers.
     """
     found = find_repeats(docs, folder)
-    starts = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "n")).alias("starts"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.mark") == F.col("s.mark"))
-    rows = _marked(docs).alias("d").join(starts.alias("s"), same, "left").select("d.doc_id", "d.text", "s.starts")
+    # Distinct ones: rows with the same id and text have the same starts.
+    starts = found.groupBy("row", "mark").agg(F.collect_set(F.struct("place", "n")).alias("starts"))
+    rows = _marked(docs).join(starts, ["row", "mark"], "left").select("doc_id", "text", "starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -69,6 +69,18 @@ def test_odd_rows(spark, tmp_path):
     assert got(spark, [], f"file://{tmp_path}/c") == []
 
 
+def test_nameless_texts_with_one_short_hash(spark, tmp_path):
+    """Rows without id whose 32-bit hashes are equal are still told apart."""
+    found = []
+    texts = spark.range(400_000).selectExpr("concat(id, repeat('x', 200 + id % 500)) AS text", "hash(concat(id, repeat('x', 200 + id % 500))) AS h")
+    twice = texts.groupBy("h").agg({"text": "collect_set"}).where("size(`collect_set(text)`) > 1").limit(5)
+    for row in twice.collect():
+        found += [(None, t) for t in row[1]]
+    assert found
+    rows = [*found, (7, "y" * 300), (None, found[0][1]), (7, found[1][1])]
+    assert got(spark, rows, f"file://{tmp_path}") == brute(rows)
+
+
 def test_phrases_cover_every_start_once():
     rng = np.random.default_rng(2)
     texts = [rng.integers(97, 97 + k, n).astype(np.uint8) for k, n in ((3, 1000), (1, 500), (20, 199), (20, 200), (26, 5000), (2, 0), (9, 201))]
