@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 FRAME_BYTES = 1 << 20
 #: A bundle is closed once it has so many bytes; a task goes on with another one.
 BUNDLE_BYTES = 1 << 30
+#: Bytes of records that a task reads back, about.
+READ_BYTES = 16 << 20
 LEVEL = 3
 
 # Fixed values of the seekable format and of the archive format.
@@ -114,26 +116,36 @@ def _number(name: str) -> int | None:
     return int(inner) if inner else None
 
 
+def dealt_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
+    """page_id, url, payload, first: each page with the first one of its payload, NULL for a payload that is too short."""
+    rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
+    long = F.octet_length("payload") >= least_bytes
+    firsts = rows.where(long).groupBy("digest").agg(F.min("page_id").alias("first"))
+    firsts.write.parquet(f"{folder}/firsts")
+    firsts = pages.sparkSession.read.parquet(f"{folder}/firsts")
+    # Equal digests have equal lengths: a short payload finds no first page.
+    return rows.join(firsts, "digest", "left").select("page_id", "url", "payload", "first")
+
+
 def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     """Write ``pages`` (page_id, url, html) as bundles and their index below ``folder``.
 
     Of pages whose payloads are equal and at least ``least_bytes`` long, that with the
-    smallest page_id is a response and the others revisit it. The first page of a
-    payload is found by an aggregate over digests; its join back sends each page
-    once, and adaptive execution splits a digest that many pages share.
+    smallest page_id is a response and the others revisit it. Payloads are equal if
+    their SHA-256 is, whatever their SHA-1. The first page of a payload is found by an
+    aggregate over digests, written to a table of its own: its join back sends each
+    page once, and adaptive execution splits a payload that many pages share.
 
     Defined cases: a NULL html is an empty payload; a NULL page_id is never the first
     while another page has the payload; rows with the first one's own page_id are
-    responses like it; a NULL url leaves the record without one. ``folder`` must be
+    responses like it; rows that repeat a page_id, and all those without one, have
+    records of the same id, of which :func:`find_record` gives the first one written;
+    a NULL url leaves the record without one. ``folder`` must be
     reachable by all workers. A repeated task writes files of new names, and only
     those of the task that counts are in the index.
     """
-    rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
-    long = F.octet_length("payload") >= least_bytes
-    firsts = rows.where(long).groupBy("digest").agg(F.min("page_id").alias("first"))
-    # Equal digests have equal lengths: a short payload finds no first page.
-    dealt = rows.join(firsts, "digest", "left").select("page_id", "url", "payload", "first")
+    dealt = dealt_pages(pages, folder, least_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = arrow_fs.FileSystem.from_uri(folder)
@@ -196,7 +208,11 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     full one.
     """
     index = spark.read.parquet(f"{folder}/index")
-    frames = index.groupBy("file", "frame").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
+    # By the bytes to be read, not by those of the index: few rows of it are much work.
+    size = index.agg(F.sum("length").alias("size")).first()["size"] or 0
+    dealt = index.repartition(-(-size // READ_BYTES) or 1, "file", "frame")
+    frames = dealt.groupBy("file", "frame").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
+    frames = frames.sortWithinPartitions("file", "frame")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = arrow_fs.FileSystem.from_uri(folder)
@@ -248,7 +264,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
 
 def find_record(spark: SparkSession, folder: str, page_id: int) -> bytes:
     """One record as written, by its id: the index names the frame, the seek table its place."""
-    row = spark.read.parquet(f"{folder}/index").where(F.col("record_id") == _name(page_id)).first()
+    found = spark.read.parquet(f"{folder}/index").where(F.col("record_id") == _name(page_id))
+    row = found.orderBy("file", "frame", "offset").first()
     if row is None:
         raise KeyError(page_id)
     store, root = arrow_fs.FileSystem.from_uri(folder)

@@ -82,3 +82,30 @@ def test_query(spark):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
     out = op3_warc(spark, folder)
     assert sorted((tuple(r) for r in out.collect()), key=str) == expected(rows)
+
+
+def test_read_back_in_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME_BYTES", 2_000)
+    monkeypatch.setattr(warc, "READ_BYTES", 10_000)
+    rows = [(i, f"http://a.org/{i}", f"<p>{i}" * 100) for i in range(200)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{tmp_path}")
+    read = warc.read_archive(spark, f"file://{tmp_path}")
+    assert read.rdd.getNumPartitions() > 4 and sorted(r.page_id for r in read.collect()) == list(range(200))
+
+
+def test_a_payload_in_a_third_of_all_pages_is_split(spark, tmp_path):
+    """The join that sends pages to their archive splits the rows of a payload that many share."""
+    names = ("adaptive.skewJoin.skewedPartitionThresholdInBytes", "adaptive.advisoryPartitionSizeInBytes", "adaptive.skewJoin.skewedPartitionFactor", "autoBroadcastJoinThreshold", "shuffle.partitions")
+    before = {n: spark.conf.get(f"spark.sql.{n}") for n in names}
+    try:
+        for n, v in zip(names, ("20k", "20k", "1.5", "-1", "16")):
+            spark.conf.set(f"spark.sql.{n}", v)
+        html = "CASE WHEN id % 3 = 0 THEN repeat('hot', 300) ELSE string(rand(5)) || repeat(string(rand(id)), 40) END"
+        pages = spark.range(0, 6_000, 1, 8).selectExpr("id AS page_id", "'http://a.org' AS url", f"{html.replace('rand(id)', 'rand(6)')} AS html")
+        pages.write.parquet(f"{tmp_path}/pages")
+        dealt = warc.dealt_pages(spark.read.parquet(f"{tmp_path}/pages"), f"file://{tmp_path}")
+        dealt.collect()
+        assert "skew=true" in dealt._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(f"spark.sql.{n}", v)
