@@ -30,6 +30,8 @@ from tallybrook.llm.words import word_encoder
 
 #: A block is closed once it has so many ids; a longer document makes a longer block.
 BLOCK_IDS = 1 << 17
+#: Bytes of blocks that a task decodes, about.
+READ_BYTES = 4 << 20
 _MAGIC = b"TBTOKEN1"
 _BLOCK = "<IQ"
 _NO_ID = np.iinfo(np.int64).min
@@ -235,5 +237,7 @@ def read_corpus(spark: SparkSession, folder: str, column: str = "ids") -> DataFr
                     ["doc_id", "start", "n_tokens", "crc32", column],
                 )
 
-    dealt = blocks.repartition("path", "offset")
+    # By the bytes to be decoded: the index itself is small.
+    size = index.agg(F.sum("length").alias("size")).first()["size"] or 0
+    dealt = blocks.repartition(-(-size // READ_BYTES) or 1, "path", "offset")
     return dealt.mapInArrow(run, f"doc_id long, start long, n_tokens long, crc32 long, `{column}` binary")
