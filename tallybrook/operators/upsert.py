@@ -1,16 +1,39 @@
-"""Keyed upsert."""
+"""Keyed upsert, and tables of buckets that an upsert rewrites only where the batch falls.
+
+A version of such a table is a list: for each bucket the folder with its rows. A batch
+writes new folders for the buckets that its keys fall into; the new version takes over
+all others as they are. Buckets are filled by a hash of the key. As the table grows,
+buckets are split one after another (linear hashing): with ``n`` buckets at the start of
+a round, the bucket next in turn gives the rows whose hash modulo ``2 n`` says so to a
+new one. No other bucket is touched by that, and a round that has split all of them
+starts the next one with twice as many.
+
+To Spark the table has ``n`` buckets throughout a round, the split ones of several
+files, so that a join on the key needs no shuffle of it. As names of files tell Spark the
+bucket, the rows split off in a round are written once more at its end.
+"""
 
 from __future__ import annotations
 
+import json
+import math
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybrook.operators.dedupe import require_unique
 from tallybrook.sources.schemas import LOAD_TIME
-from tallybrook.sources.tables import file_system
+from tallybrook.sources.tables import claim, file_system, read_text, write_text
+
+#: Bytes that a bucket should have at most, on average.
+BUCKET_BYTES = 128 << 20
+#: Seconds to wait for another writer that has claimed a version to list it.
+PATIENCE = 60
 
 
 def upsert(
@@ -39,24 +62,76 @@ def upsert(
     return joined.select(columns)
 
 
-def _files(spark: SparkSession, pattern: str) -> list[str]:
-    fs, where = file_system(spark, pattern)
-    return [str(f.getPath()) for f in fs.globStatus(where) or []]
+@dataclass
+class Version:
+    """Where the rows of a version are: a folder below the table for each bucket that has any."""
+
+    #: Buckets at the start of the round, and how many of them have been split in it.
+    buckets: int
+    split: int
+    schema: str
+    #: Folder and bytes of each bucket, by its number as text.
+    folders: dict[str, str] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)
+
+    def bucket(self, keys: Sequence[str]) -> Column:
+        """The bucket of a row."""
+        place = F.hash(*keys)
+        first = F.pmod(place, F.lit(self.buckets))
+        return F.when(first < self.split, F.pmod(place, F.lit(2 * self.buckets))).otherwise(first)
+
+    def grown(self, target: int) -> Version:
+        """The next state of the table: with buckets split, none of it written yet, so that they have ``target`` bytes on average."""
+        wanted = math.ceil(sum(self.sizes.values()) / target) - (self.buckets + self.split)
+        split = self.split + max(0, min(wanted, self.buckets - self.split))
+        if split == self.buckets:
+            return Version(2 * self.buckets, 0, self.schema)
+        return Version(self.buckets, split, self.schema)
+
+    def rewritten(self, new: Version) -> set[int]:
+        """The buckets whose rows or file names change on the way to ``new``."""
+        if new.buckets == self.buckets:
+            return set(range(self.split, new.split))
+        return {b for b in map(int, self.folders) if b >= self.split}
+
 
+def _place(root: str, version: int) -> str:
+    return f"{root}/_versions/{version:010d}.json"
 
-def _versions(spark: SparkSession, root: str) -> dict[int, tuple[str, int]]:
-    """Folder and number of buckets of each version that was written to its end."""
-    found = {}
-    for marker in _files(spark, f"{root}/version=*/buckets=*/_SUCCESS"):
-        folder = marker.rsplit("/", 1)[0]
-        version, buckets = (int(part.split("=")[1]) for part in folder.split("/")[-2:])
-        found[version] = (folder, buckets)
-    return found
+
+def _listed(spark: SparkSession, root: str) -> dict[int, str]:
+    fs, where = file_system(spark, f"{root}/_versions/*.json")
+    files = [str(f.getPath()) for f in fs.globStatus(where) or []]
+    return {int(f.rsplit("/", 1)[1].removesuffix(".json")): f for f in files}
+
+
+def _read(spark: SparkSession, file: str) -> Version | None:
+    """A version, or None while its writer hasn't listed it to the end."""
+    try:
+        return Version(**json.loads(read_text(spark, file)))
+    except json.JSONDecodeError:
+        return None
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Versions of a table that were written to their end, ascending."""
-    return sorted(_versions(spark, root))
+    return sorted(v for v, file in _listed(spark, root).items() if _read(spark, file))
+
+
+def _newest(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, Version | None]:
+    """Number and list of the newest version (older than ``below``); 0 and None without one."""
+    listed = [v for v in _listed(spark, root) if below is None or v < below]
+    for v in sorted(listed, reverse=True):
+        version = _read(spark, _place(root, v))
+        if version:
+            return v, version
+    return 0, None
+
+
+def version_files(spark: SparkSession, root: str, version: int | None = None) -> dict[int, str]:
+    """The folder of each bucket of a version, the newest by default."""
+    found = _newest(spark, root)[1] if version is None else _read(spark, _place(root, version))
+    return {int(b): folder for b, folder in found.folders.items()} if found else {}
 
 
 def read_version(
@@ -67,19 +142,27 @@ def read_version(
     With the table's ``keys`` it is read by buckets, so that a join on the keys
     needs no shuffle of it.
     """
-    versions = {v: at for v, at in _versions(spark, root).items() if below is None or v < below}
-    if not versions:
-        return None
-    folder, buckets = versions[max(versions)]
-    rows = spark.read.parquet(folder)
+    version = _newest(spark, root, below)[1]
+    return None if version is None else _rows(spark, root, version, keys)
+
+
+def _rows(
+    spark: SparkSession, root: str, version: Version, keys: Sequence[str], only: Iterable[int] | None = None
+) -> DataFrame:
+    """The rows of a version, or of some of its buckets."""
+    schema = T.StructType.fromJson(json.loads(version.schema))
+    wanted = version.folders if only is None else {str(b) for b in only} & set(version.folders)
+    folders = [version.folders[b] for b in sorted(wanted, key=int)]
+    if not folders:
+        return spark.createDataFrame([], schema)
     if not keys:
-        return rows
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        return spark.read.schema(schema).parquet(*[f"{root}/{f}" for f in folders])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = ", ".join(f"`{k}`" for k in keys)
     name = _passing_name()
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS "
-        f"LOCATION '{folder}'"
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {version.buckets} BUCKETS "
+        f"LOCATION '{root}/{{{','.join(folders)}}}'"
     )
     rows = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
@@ -99,41 +182,98 @@ def upsert_table(
     version: int | None = None,
     retain: int | None = 2,
     buckets: int | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> int:
     """Upsert ``batch`` into the versioned table at ``root``; returns the version written.
 
-    A version is a folder of its own that counts once its success marker is
-    there, so readers never see half a write and a failed or repeated job leaves
-    the former version whole. Naming the ``version`` makes a repeat write the
-    same version from the same base. The newest ``retain`` versions are kept.
+    A version counts once it is listed to its end, so readers never see half a write
+    and a failed or repeated job leaves the former version whole. Naming the
+    ``version`` makes a repeat write the same version from the same base. The newest
+    ``retain`` versions are kept.
+
+    Only buckets that the batch falls into are read and written, and those whose turn
+    it is to be split because buckets have more than ``bucket_bytes`` on average; the
+    batch alone is shuffled. Keys are unique and so fill the buckets evenly. ``buckets``
+    counts for the first version.
 
-    The files are bucketed by the keys, which are unique and so fill the buckets
-    evenly: an upsert shuffles the batch to the table's buckets and never the
-    table. ``buckets`` counts for the first version, later ones take it over.
+    Of two writers that start from one version the second one to end finds its number
+    claimed, and does its work again on the new version: no batch is lost.
     """
     spark = batch.sparkSession
-    there = _versions(spark, root)
-    if version is None:
-        version = max(there, default=0) + 1
-    base = read_version(spark, root, version, keys)
+    while True:
+        base_number, base = _newest(spark, root, version)
+        number = base_number + 1 if version is None else version
+        folder = f"rows/{number:010d}-{uuid.uuid4().hex}"
+        new = _written(batch, root, keys, folder, base, buckets, bucket_bytes)
+        if version is not None:
+            fs, where = file_system(spark, _place(root, version))
+            fs.delete(where, False)
+        if claim(spark, _place(root, number)):
+            write_text(spark, _place(root, number), json.dumps(asdict(new)))
+            break
+        fs, where = file_system(spark, f"{root}/{folder}")
+        fs.delete(where, True)
+        _await(spark, _place(root, number))
+    if retain is not None:
+        _remove_older(spark, root, number, retain)
+    return number
+
+
+def _written(
+    batch: DataFrame, root: str, keys: Sequence[str], folder: str, base: Version | None, buckets: int | None, bucket_bytes: int
+) -> Version:
+    """The version that follows ``base``, with the rows of changed buckets written to ``folder``."""
+    spark = batch.sparkSession
     if base is None:
         count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        merged = require_unique(batch, keys)
+        new = Version(count, 0, batch.schema.json())
+        merged, changed = require_unique(batch, keys), set()
     else:
-        count = there[max(v for v in there if v < version)][1]
-        merged = upsert(base, batch, keys)
-    place = f"{root}/version={version:010d}"
-    fs, where = file_system(spark, place)
-    fs.delete(where, True)
+        new = base.grown(bucket_bytes)
+        # Buckets are few: their numbers, not the keys, come to the driver.
+        hit = {r[0] for r in batch.select(base.bucket(keys)).distinct().collect()}
+        changed = hit | base.rewritten(new)
+        merged = upsert(_rows(spark, root, base, keys, changed), batch, keys)
     name = _passing_name()
     (
-        merged.write.bucketBy(count, *keys)
+        merged.withColumn("_bucket", new.bucket(keys))
+        .write.partitionBy("_bucket")
+        .bucketBy(new.buckets, *keys)
         .sortBy(*keys)
-        .option("path", f"{place}/buckets={count}")
+        .option("path", f"{root}/{folder}")
         .saveAsTable(name)
     )
     spark.sql(f"DROP TABLE {name}")
-    if retain is not None:
-        for old in [v for v in committed_versions(spark, root) if v <= version][:-retain]:
-            fs.delete(file_system(spark, f"{root}/version={old:010d}")[1], True)
-    return version
+    if base is not None:
+        kept = set(base.folders) - {str(b) for b in changed}
+        new.folders = {b: base.folders[b] for b in kept}
+        new.sizes = {b: base.sizes[b] for b in kept}
+    fs, where = file_system(spark, f"{root}/{folder}/_bucket=*/part-*")
+    for file in fs.globStatus(where) or []:
+        bucket = file.getPath().getParent().getName().split("=")[1]
+        new.folders[bucket] = f"{folder}/_bucket={bucket}"
+        new.sizes[bucket] = new.sizes.get(bucket, 0) + file.getLen()
+    return new
+
+
+def _await(spark: SparkSession, place: str) -> None:
+    """Wait until a version that another writer has claimed is listed."""
+    until = time.monotonic() + PATIENCE
+    while _read(spark, place) is None:
+        if time.monotonic() > until:
+            raise TimeoutError(f"{place} was claimed but never listed; remove it if its writer has ended")
+        time.sleep(0.1)
+
+
+def _remove_older(spark: SparkSession, root: str, number: int, retain: int) -> None:
+    """Remove all but the newest ``retain`` versions up to ``number``, and the folders that only they list."""
+    versions = {v: _read(spark, file) for v, file in _listed(spark, root).items()}
+    whole = sorted(v for v, listed in versions.items() if listed)
+    gone = [v for v in whole if v <= number][:-retain]
+    used = {f for v in whole if v not in gone for f in versions[v].folders.values()}
+    for v in gone:
+        # The list first: a version without all of its rows mustn't be found.
+        fs, where = file_system(spark, _place(root, v))
+        fs.delete(where, False)
+        for f in set(versions[v].folders.values()) - used:
+            fs.delete(file_system(spark, f"{root}/{f}")[1], True)

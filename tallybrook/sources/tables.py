@@ -10,6 +10,7 @@ from datetime import datetime
 from functools import reduce
 
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,7 +170,8 @@ def write_table(
 
     The rows are a new version in a folder of its own, which counts once it is
     complete: a failed job leaves the former version, and who reads that goes on
-    reading it. The newest versions are kept.
+    reading it. The newest versions are kept. Two writers at a time write versions of
+    their own, of which the one with the higher number is read.
 
     With ``partition_by``, rows are first rebalanced on that column: each
     partition gets few files, and one that holds a large share of all rows is
@@ -177,15 +179,20 @@ def write_table(
     """
     spark, path = df.sparkSession, table_path(root, layer, table)
     there = _versions(spark, path)
-    folder = f"{path}/version={max(there, default=0) + 1:010d}"
+    number = max(there, default=0) + 1
+    # A number that another writer has taken, at work or failed, is passed over.
+    while not claim(spark, f"{path}/_claims/{number:010d}"):
+        number += 1
+    folder = f"{path}/version={number:010d}"
     if partition_by is None:
         df.write.mode("overwrite").parquet(folder)
     else:
         rows = df.hint("rebalance", partition_by)
         rows.write.mode("overwrite").partitionBy(partition_by).parquet(folder)
     for old in sorted(there)[: -(RETAINED - 1) or None]:
-        fs, where = file_system(spark, there[old])
-        fs.delete(where, True)
+        for place in (there[old], f"{path}/_claims/{old:010d}"):
+            fs, where = file_system(spark, place)
+            fs.delete(where, True)
     return spark.read.schema(df.schema).parquet(folder).select(df.columns)
 
 
@@ -221,6 +228,38 @@ def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, and say whether it wasn't there before; of several that try at once one succeeds."""
+    fs, where = file_system(spark, path)
+    fs.mkdirs(where.getParent())
+    if fs.getUri().getScheme() == "file":
+        # Hadoop's local file system looks first and creates then; the operating system does both at once.
+        return spark._jvm.java.io.File(where.toUri().getPath()).createNewFile()
+    try:
+        fs.create(where, False).close()
+    except Py4JJavaError:
+        if fs.exists(where):
+            return False
+        raise
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, where = file_system(spark, path)
+    stream = fs.create(where, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, where = file_system(spark, path)
     return fs.exists(where)
