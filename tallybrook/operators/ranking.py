@@ -32,6 +32,5 @@ def ranks_of_counts(df: DataFrame, count: str, rank: str) -> DataFrame:
 
 
 def with_share(df: DataFrame, value: str, share: str) -> DataFrame:
-    """Percentage of the column's total; for grouped rows, which are few."""
-    total = F.sum(value).over(Window.partitionBy())
-    return df.withColumn(share, percent(F.col(value), total))
+    """Percentage of the column's total, which a subquery of its own adds up by partial sums."""
+    return df.withColumn(share, percent(F.col(value), df.agg(F.sum(value)).scalar()))

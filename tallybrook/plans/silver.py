@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.dates import day_of_week, month_start, nearest_days
 from tallybrook.functions.numbers import ratio
+from tallybrook.operators.joins import join_unique
 from tallybrook.plans.settings import Settings
 from tallybrook.sources.schemas import LOAD_TIME, ORDER_DATES
 
@@ -104,8 +105,9 @@ def silver_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> D
 def silver_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Items with the fields of their order and product, NULL where there is none.
 
-    Both joins are plain left joins with a unique right key: adaptive execution
-    splits the items of an order or product that fills more than its partition.
+    A product may be hot, so its items go without a shuffle to a broadcast of the few
+    products of that kind (see :func:`join_unique`); that join comes first, on the items
+    as they are. The order's is a plain left join with a unique right key.
     """
     order = orders.select(
         "order_id",
@@ -115,7 +117,7 @@ def silver_order_items(items: DataFrame, orders: DataFrame, products: DataFrame)
         month_start(F.col("purchase_timestamp")).alias("purchase_month"),
     )
     product = products.select("product_id", "category_name", "category_name_english", "weight_g")
-    return items.join(order, "order_id", "left").join(product, "product_id", "left").select(
+    return join_unique(items, product, "product_id").join(order, "order_id", "left").select(
         "order_id",
         "order_item_id",
         "product_id",
