@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.article import extract_text
 from tallybrook.llm.lexical import rank
+from tallybrook.llm.memory import bound_batches
 from tallybrook.llm.mixing import mix
 from tallybrook.llm.pieces import digest_texts
 from tallybrook.llm.private import BASE, find_private, span_list
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 

@@ -21,8 +21,10 @@ WORDS, LEAST_PERCENT = 5, 80
 BANDS, ROWS = 48, 6
 #: Documents of a block, and distinct shingles that are compared in one step.
 BLOCK, ELEMENTS = 256, 8_192
-#: Sets that a task keeps at hand while it compares pairs.
-SETS_AT_HAND = 4_096
+#: Shingles, in sets, that a task keeps at hand while it compares pairs.
+AT_HAND = 4_000_000
+#: Elements of a set that are ranked together.
+RANKED = 2_048
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -53,23 +55,26 @@ def signature(elements: np.ndarray, length: int) -> np.ndarray:
     place it comes to gets the rank j plus a random fraction, if that is smaller than
     what stands there. So the ranks of an element are correlated, each place is
     reached once, and all can stop at the step that every place has undercut. Steps
-    are taken by all elements together.
+    are taken by RANKED elements together.
     """
     best = np.full(length, np.inf)
-    order = np.tile(np.arange(length, dtype=np.int16), (len(elements), 1))
-    each = np.arange(len(elements))
-    state = elements.copy()
-    for j in range(length):
-        if best.max() < j:
-            break
-        state = mix(state + np.uint64(0x9E3779B97F4A7C15))
-        # High bits make the fraction, low bits the place to swap with.
-        fraction = (state >> np.uint64(20)) / float(1 << 44)
-        other = j + ((state & np.uint64(0xFFFFF)) * np.uint64(length - j) >> np.uint64(20)).astype(np.int64)
-        place = order[each, other]
-        order[each, other] = order[each, j]
-        order[each, j] = place
-        np.minimum.at(best, place, j + fraction)
+    for first in range(0, len(elements), RANKED):
+        # What earlier elements have reached stops later ones sooner.
+        some = elements[first : first + RANKED]
+        order = np.tile(np.arange(length, dtype=np.int16), (len(some), 1))
+        each = np.arange(len(some))
+        state = some.copy()
+        for j in range(length):
+            if best.max() < j:
+                break
+            state = mix(state + np.uint64(0x9E3779B97F4A7C15))
+            # High bits make the fraction, low bits the place to swap with.
+            fraction = (state >> np.uint64(20)) / float(1 << 44)
+            other = j + ((state & np.uint64(0xFFFFF)) * np.uint64(length - j) >> np.uint64(20)).astype(np.int64)
+            place = order[each, other]
+            order[each, other] = order[each, j]
+            order[each, j] = place
+            np.minimum.at(best, place, j + fraction)
     return best
 
 
@@ -112,12 +117,17 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
+        held = 0
 
         def of(node: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal held
             if node not in sets:
-                if len(sets) >= SETS_AT_HAND:
+                made = shingles(text.as_py(), words)
+                if held + len(made) > AT_HAND:
                     sets.clear()
-                sets[node] = shingles(text.as_py(), words)
+                    held = 0
+                sets[node] = made
+                held += len(made)
             return sets[node]
 
         for batch in batches:
@@ -143,7 +153,8 @@ def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     """How many elements each set of ``one`` shares with each set of ``two``."""
     names, which = np.unique(np.concatenate([*one, *two]), return_inverse=True)
     rows = np.repeat(np.arange(len(one) + len(two)), [len(s) for s in (*one, *two)])
-    out = np.zeros((len(one), len(two)), dtype=np.float32)
+    # Counts of a slice are exact in float32, their sums in float64.
+    out = np.zeros((len(one), len(two)), dtype=np.float64)
     # A slice of the elements at a time, as a table of zeros and ones for all sets.
     order = np.argsort(which, kind="stable")
     which, rows = which[order], rows[order]

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.llm.hashing import LOWER, NO_LETTER, Substrings, as_bytes, runs
+from tallybrook.llm.memory import small_slices
 
 #: Bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
@@ -101,7 +102,7 @@ def train(confirmed: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
     """
     if not confirmed or not unlabelled:
         return Classifier(np.zeros(0, dtype=np.uint32), np.zeros(0), -30.0)
-    prior = min(max(prior, 1e-3), 0.5)
+    prior = min(max(prior, 1e-3), 1 - 1e-3)
     bias = float(np.log(prior / (1 - prior)))
     keys = telling(confirmed, unlabelled, settings.least_z)
     confirmed = [find(keys, f) for f in confirmed]
@@ -152,8 +153,9 @@ def _one_text(rows: DataFrame) -> DataFrame:
 def _collect_features(rows: DataFrame) -> list[np.ndarray]:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["features"])
+            for few in small_slices(batch, 0):
+                found = [features(t).tobytes() for t in few.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["features"])
 
     collected = rows.mapInArrow(encode, "features binary").collect()
     # In an order of their own: training mustn't hang on which task was first.
@@ -193,10 +195,13 @@ def score(docs: DataFrame, classifier: Classifier, text: str = "text") -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
     kept = docs.drop("toxicity")
 
-    @F.pandas_udf("double")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            yield pd.Series([model.score(t) for t in texts], dtype="float64")
+            # A slice of texts at a time leaves Arrow for Python.
+            slices = small_slices(pa.RecordBatch.from_arrays([texts], ["text"]), 0)
+            found = [model.score(t) for few in slices for t in few.column(0).to_pylist()]
+            yield pa.array(found, pa.float64())
 
     return kept.select("*", scores(F.col(text)).alias("toxicity"))

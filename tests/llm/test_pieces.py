@@ -13,6 +13,7 @@ import sentencepiece
 from tallybrook.llm import memory
 from tallybrook.llm.pieces import PieceEncoder, encode_texts
 from tallybrook.llm.queries import op8_pieces
+from test_shingles import twins
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 PARTS = ["a", "b", "the", " ", "  ", "\t", "\n", "\r\n", "é", "😀", "▁", "ing", "12", "<s>", "</s>", "<0x0A>", " ", "　", "\x00", "́", "中文", "…", "​", "﻿", "�", "aaaa", "==", "//", "    "]
@@ -34,6 +35,11 @@ def test_random_texts(encoder, library):
     assert [x.tolist() for x in encoder.encode_batch(texts)] == library.encode(texts)
 
 
+def test_regular_words_have_ids_of_their_own(library):
+    found = [x.tolist() for x in PieceEncoder(VOCABULARY).encode_batch(list(twins()))]
+    assert found == library.encode(list(twins())) and found[0] != found[1]
+
+
 def test_long_runs(encoder, library):
     for text in ("a" * 50_000, " " * 3000, "antidisestablishmentarianism" * 500, "x\n" * 20_000, "\n" * 500):
         assert encoder.encode(text) == library.encode(text)

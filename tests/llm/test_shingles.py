@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from tallybrook.llm import shingles as module
+from tallybrook.llm.hashing import mix
 from tallybrook.llm.queries import op2_shingles
 from tallybrook.llm.shingles import bands, common, group, shingles, signature, without_near_copies
 from test_vectors import smallest_reachable
@@ -118,3 +119,23 @@ def test_query(spark):
     got = sorted(map(tuple, op2_shingles(spark, folder).collect()))
     assert got == brute(rows)
     assert sum(not r[3] for r in got) > 20
+
+
+def twins(length=1024):
+    """Two different words that hashes modulo 2**64 take for one."""
+    word = "a"
+    while len(word) < length:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+def test_regular_words_have_hashes_of_their_own():
+    one, two = twins()
+    assert not set(shingles(f"{one} q", 2).tolist()) & set(shingles(f"{two} q", 2).tolist())
+
+
+def test_signature_in_parts_is_the_same(monkeypatch):
+    elements = mix(np.arange(1, 5000, dtype=np.uint64))
+    whole = signature(elements, 288)
+    monkeypatch.setattr(module, "RANKED", 100)
+    assert (signature(elements, 288) == whole).all()

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from tallybrook.llm import rans, tokenfile
 from tallybrook.llm.queries import op6_tokens
 from tallybrook.llm.words import WordEncoder
+from test_shingles import twins
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PARTS = ["'", "a", "the", " ", "  ", "\t", "\n", "é", "😀", "İ", "ing", "23", "<|startoftext|>", "</w>", " ", "\x00", "́", "中", "²", "½", "ª", "s", "t", "re", "ve", "ll", "d", "'s", "!", "!!", "\xad", "Σ", "Ā"]
@@ -35,6 +36,12 @@ def test_random_texts(library):
     assert [x.tolist() for x in encoder.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_regular_words_have_ids_of_their_own(library):
+    texts = [f"{w} and more" for w in twins()]
+    found = [x.tolist() for x in WordEncoder(VOCABULARY).encode_batch(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts] and found[0] != found[1]
+
+
 def test_other_vocabularies_are_left_to_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, library = WordEncoder(path), Tokenizer.from_file(path)
