@@ -146,6 +146,21 @@ def read_version(
     return None if version is None else _rows(spark, root, version, keys)
 
 
+def read_hit(
+    spark: SparkSession, root: str, keys: Sequence[str], hits: DataFrame, below: int | None = None
+) -> DataFrame | None:
+    """Those buckets of a version that the keys of ``hits`` fall into, or None without a version."""
+    version = _newest(spark, root, below)[1]
+    if version is None:
+        return None
+    return _rows(spark, root, version, keys, _hit(version, keys, hits))
+
+
+def _hit(version: Version, keys: Sequence[str], rows: DataFrame) -> set[int]:
+    # Buckets are few: their numbers, not the keys, come to the driver.
+    return {r[0] for r in rows.select(version.bucket(keys)).distinct().collect()}
+
+
 def _rows(
     spark: SparkSession, root: str, version: Version, keys: Sequence[str], only: Iterable[int] | None = None
 ) -> DataFrame:
@@ -183,6 +198,7 @@ def upsert_table(
     retain: int | None = 2,
     buckets: int | None = None,
     bucket_bytes: int = BUCKET_BYTES,
+    kept: Sequence[str] = (LOAD_TIME,),
 ) -> int:
     """Upsert ``batch`` into the versioned table at ``root``; returns the version written.
 
@@ -194,7 +210,7 @@ def upsert_table(
     Only buckets that the batch falls into are read and written, and those whose turn
     it is to be split because buckets have more than ``bucket_bytes`` on average; the
     batch alone is shuffled. Keys are unique and so fill the buckets evenly. ``buckets``
-    counts for the first version.
+    counts for the first version; an update leaves the ``kept`` columns as they are.
 
     Of two writers that start from one version the second one to end finds its number
     claimed, and does its work again on the new version: no batch is lost.
@@ -204,7 +220,7 @@ def upsert_table(
         base_number, base = _newest(spark, root, version)
         number = base_number + 1 if version is None else version
         folder = f"rows/{number:010d}-{uuid.uuid4().hex}"
-        new = _written(batch, root, keys, folder, base, buckets, bucket_bytes)
+        new = _written(batch, root, keys, folder, base, buckets, bucket_bytes, kept)
         if version is not None:
             fs, where = file_system(spark, _place(root, version))
             fs.delete(where, False)
@@ -220,7 +236,14 @@ def upsert_table(
 
 
 def _written(
-    batch: DataFrame, root: str, keys: Sequence[str], folder: str, base: Version | None, buckets: int | None, bucket_bytes: int
+    batch: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    folder: str,
+    base: Version | None,
+    buckets: int | None,
+    bucket_bytes: int,
+    kept: Sequence[str],
 ) -> Version:
     """The version that follows ``base``, with the rows of changed buckets written to ``folder``."""
     spark = batch.sparkSession
@@ -230,10 +253,8 @@ def _written(
         merged, changed = require_unique(batch, keys), set()
     else:
         new = base.grown(bucket_bytes)
-        # Buckets are few: their numbers, not the keys, come to the driver.
-        hit = {r[0] for r in batch.select(base.bucket(keys)).distinct().collect()}
-        changed = hit | base.rewritten(new)
-        merged = upsert(_rows(spark, root, base, keys, changed), batch, keys)
+        changed = _hit(base, keys, batch) | base.rewritten(new)
+        merged = upsert(_rows(spark, root, base, keys, changed), batch, keys, kept)
     name = _passing_name()
     (
         merged.withColumn("_bucket", new.bucket(keys))

@@ -508,6 +508,8 @@ SELECTS = {
         SELECT 'order_items' AS table_name, count(*) AS broken_lines FROM landing_items WHERE order_item_id = 7
         HAVING count(*) > 0""",
     "incremental_ingest": _all("raw_orders"),
+    "maintained_silver_orders": _all("silver_orders", _MONEY["orders"]),
+    "maintained_revenue_by_month": _all("gold_months"),
 }
 
 

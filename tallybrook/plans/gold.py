@@ -26,12 +26,14 @@ def _delivered_items(items: DataFrame) -> DataFrame:
     return items.where(F.col("order_status") == "delivered")
 
 
-def gold_revenue_by_month(orders: DataFrame) -> DataFrame:
-    """Revenue, punctuality and delivery time for each month of purchase."""
-    month = ["purchase_month", "purchase_year", "purchase_month_num"]
-    by_customer = (
+MONTH = ["purchase_month", "purchase_year", "purchase_month_num"]
+
+
+def month_customer_sums(orders: DataFrame) -> DataFrame:
+    """What the report by month adds up, for each month and customer."""
+    return (
         delivered_orders(orders)
-        .groupBy(*month, "customer_id")
+        .groupBy(*MONTH, "customer_id")
         .agg(
             F.count("order_id").alias("orders"),
             F.sum("items_total").alias("revenue"),
@@ -44,19 +46,35 @@ def gold_revenue_by_month(orders: DataFrame) -> DataFrame:
             F.count("delivery_days").alias("timed"),
         )
     )
-    return by_customer.groupBy(*month).agg(
-        F.sum("orders").alias("total_orders"),
-        F.count("customer_id").alias("unique_customers"),
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("freight").alias("total_freight"),
-        F.sum("payment").alias("total_payment"),
-        ratio(F.sum("revenue"), F.sum("orders")).alias("avg_ticket"),
-        ratio(F.sum("items"), F.sum("orders")).alias("avg_items_per_order"),
-        ratio(F.sum("on_time"), F.sum("judged")).alias("on_time_delivery_rate"),
-        ratio(F.sum("days"), F.sum("timed")).alias("avg_delivery_days"),
+
+
+#: The sums of :func:`month_customer_sums`.
+MONTH_SUMS = ["orders", "revenue", "freight", "payment", "items", "on_time", "judged", "days", "timed"]
+
+
+def month_report(sums: DataFrame) -> DataFrame:
+    """The report from the sums of each month and its number of ``customers``."""
+    return sums.select(
+        *MONTH,
+        F.col("orders").alias("total_orders"),
+        F.col("customers").alias("unique_customers"),
+        F.col("revenue").alias("total_revenue"),
+        F.col("freight").alias("total_freight"),
+        F.col("payment").alias("total_payment"),
+        ratio(F.col("revenue"), F.col("orders")).alias("avg_ticket"),
+        ratio(F.col("items"), F.col("orders")).alias("avg_items_per_order"),
+        ratio(F.col("on_time"), F.col("judged")).alias("on_time_delivery_rate"),
+        ratio(F.col("days"), F.col("timed")).alias("avg_delivery_days"),
     )
 
 
+def gold_revenue_by_month(orders: DataFrame) -> DataFrame:
+    """Revenue, punctuality and delivery time for each month of purchase."""
+    sums = month_customer_sums(orders).groupBy(*MONTH)
+    added = sums.agg(F.count("customer_id").alias("customers"), *[F.sum(c).alias(c) for c in MONTH_SUMS])
+    return month_report(added)
+
+
 def gold_revenue_by_category(items: DataFrame) -> DataFrame:
     """Revenue and market share for each category, by its English and Portuguese name."""
     sold = _delivered_items(items).where(F.col("category_name").isNotNull())

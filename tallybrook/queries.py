@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tallybrook.operators.checks import check_reference
 from tallybrook.operators.upsert import read_version, upsert, upsert_table
-from tallybrook.plans import dashboard, gold, lake
+from tallybrook.plans import dashboard, gold, lake, maintained
 from tallybrook.plans.cleaning import CLEANERS, clean_audit
 from tallybrook.plans.quality import SOURCE_CHECKS, checks_of, quality_report
 from tallybrook.plans.settings import Settings
@@ -202,6 +202,41 @@ def _incremental_ingest(t: Tables) -> DataFrame:
     return read_version(t.spark, f"{root}/orders")
 
 
+def _maintained(read: Callable[[SparkSession, str], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """A model kept up to date over two batches, of which the second corrects, moves and adds orders."""
+
+    def build(t: Tables) -> DataFrame:
+        root = shared_folder(t.spark)
+        third = F.pmod(F.hash("order_id"), F.lit(3))
+        # Written: each is read by several batches.
+        names = ("orders", "order_items", "order_payments")
+        orders, items, payments = (write_table(t.raw[n], root, "source", n) for n in names)
+        amount = items.schema["price"].dataType
+        provisional = {
+            "orders": orders.where(third > 0).withColumns(
+                {
+                    "purchase_timestamp": F.when(third == 1, F.expr("purchase_timestamp + INTERVAL 40 DAYS")).otherwise(F.col("purchase_timestamp")),
+                    "customer_id": F.when(third == 1, F.lit("1")).otherwise(F.col("customer_id")),
+                }
+            ),
+            "order_items": items.where(third > 0).withColumn("price", F.when(third == 1, F.col("price") + 1).otherwise(F.col("price")).cast(amount)),
+            "order_payments": payments.where(third > 0),
+        }
+        final = {
+            "orders": orders.where(third < 2),
+            "order_items": items.where(third < 2),
+            "order_payments": payments.where(third < 1),
+        }
+        for batch in (provisional, final):
+            for table, rows in batch.items():
+                upsert_table(rows, f"{root}/raw/{table}", KEYS[table])
+            loaded = {table: read_version(t.spark, f"{root}/raw/{table}", keys=KEYS[table]) for table in batch}
+            maintained.refresh(loaded, maintained.changed_orders(batch), f"{root}/kept", SETTINGS)
+        return read(t.spark, f"{root}/kept")
+
+    return build
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
 
@@ -240,4 +275,6 @@ def queries() -> dict[str, Query]:
     add("csv_ingest", _csv_ingest)
     add("csv_rejected", _csv_rejected)
     add("incremental_ingest", _incremental_ingest)
+    add("maintained_silver_orders", _maintained(maintained.read_orders))
+    add("maintained_revenue_by_month", _maintained(maintained.read_revenue_by_month))
     return found
