@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,23 +48,35 @@ def accepted_range(column: str, minimum: float, inclusive: bool = True) -> list[
 
 
 def run_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    """``(model, column_name, test, failing_rows, passed)`` for one table.
+    """``(model, column_name, test, failing_rows, passed)`` for one table, from one scan of the columns named.
 
-    All rules on single rows share one pass over the columns they name. For
-    ``unique`` the failing rows are the values that occur more than once.
+    For ``unique`` the failing rows are the values that occur more than once. The
+    columns that should be unique are grouping sets of one aggregate: each row is
+    counted under its value of every such column, and under the first of them it also
+    counts for the rules on single rows. That aggregate is partial before its shuffle,
+    and what it leaves is folded to one row.
     """
-    results = []
     rowwise = [c for c in checks if c.test != "unique"]
-    if rowwise:
-        counts = df.agg(*[F.count_if(c.broken()).alias(f"n{i}") for i, c in enumerate(rowwise)])
-        lines = [_line(model, c.column, c.test, F.col(f"n{i}")) for i, c in enumerate(rowwise)]
-        results.append(counts.select(F.explode(F.array(*lines)).alias("r")).select("r.*"))
-    for c in checks:
-        if c.test == "unique":
-            repeated = df.where(F.col(c.column).isNotNull()).groupBy(c.column).count().where("count > 1")
-            failing = repeated.agg(F.count(F.lit(1)).alias("n"))
-            results.append(failing.select(_line(model, c.column, c.test, F.col("n")).alias("r")).select("r.*"))
-    return reduce(DataFrame.unionByName, results)
+    keys = [c for c in checks if c.test == "unique"]
+    counts = [F.count_if(c.broken()).alias(f"n{i}") for i, c in enumerate(rowwise)]
+    if keys:
+        flags = [c.broken().alias(f"b{i}") for i, c in enumerate(rowwise)]
+        values = [
+            F.struct(F.lit(k).alias("set"), F.col(c.column).cast("string").alias("value")) for k, c in enumerate(keys)
+        ]
+        copies = df.select(*flags, F.explode(F.array(*values)).alias("of")).select("of.*", *[f"b{i}" for i in range(len(rowwise))])
+        broken = [F.count_if(F.col(f"b{i}") & (F.col("set") == 0)).alias(f"n{i}") for i in range(len(rowwise))]
+        by_value = copies.groupBy("set", "value").agg(F.count(F.lit(1)).alias("times"), *broken)
+        repeated = F.col("value").isNotNull() & (F.col("times") > 1)
+        folded = by_value.agg(
+            *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(rowwise))],
+            *[F.count_if(repeated & (F.col("set") == k)).alias(f"u{k}") for k in range(len(keys))],
+        )
+    else:
+        folded = df.agg(*counts)
+    lines = [_line(model, c.column, c.test, F.col(f"n{i}")) for i, c in enumerate(rowwise)]
+    lines += [_line(model, c.column, c.test, F.col(f"u{k}")) for k, c in enumerate(keys)]
+    return folded.select(F.explode(F.array(*lines)).alias("r")).select("r.*")
 
 
 def check_reference(child: DataFrame, column: str, parent: DataFrame, key: str, model: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.numbers import percent
@@ -31,6 +33,28 @@ def ranks_of_counts(df: DataFrame, count: str, rank: str) -> DataFrame:
     return histogram.select(count, before.cast("bigint").alias(rank))
 
 
+def with_position(df: DataFrame, order: Sequence[Column], position: str, folder: str) -> DataFrame:
+    """``df`` with the place of each row in that order, from 1; rows that tie are placed in an order of their own.
+
+    Rows are dealt to ranges of the order and sorted within, each range a task, and
+    written below ``folder``, which all workers share. A row's place is its place in its
+    range and the number of rows of the ranges before, which are as few as the tasks: no
+    task holds all rows.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    number = F.monotonically_increasing_id()
+    # Such a number is that of the task, then 33 bits for the row in it.
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole")
+    placed = ranged.select(whole, F.shiftright(number, 33).alias("_range"), number.bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"))
+    placed.write.parquet(f"{folder}/ranged")
+    written = spark.read.parquet(f"{folder}/ranged")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = written.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    return written.join(starts, "_range").select("whole.*", (F.col("_before") + F.col("_row") + 1).alias(position))
+
+
 def with_share(df: DataFrame, value: str, share: str) -> DataFrame:
     """Percentage of the column's total, which a subquery of its own adds up by partial sums."""
     return df.withColumn(share, percent(F.col(value), df.agg(F.sum(value)).scalar()))

@@ -331,6 +331,10 @@ def _all(relation: str, replace: str = "") -> str:
     return f"SELECT * {f'REPLACE ({replace})' if replace else ''} FROM {relation}"
 
 
+def _numbered(relation: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM {relation}"
+
+
 def _check(relation: str, model: str, column: str, test: str, broken: str) -> str:
     return f"""SELECT '{model}' AS model, '{column}' AS column_name, '{test}' AS test,
         count(CASE WHEN {broken} THEN 1 END) AS failing_rows FROM {relation}"""
@@ -507,6 +511,16 @@ SELECTS = {
     "csv_rejected": """
         SELECT 'order_items' AS table_name, count(*) AS broken_lines FROM landing_items WHERE order_item_id = 7
         HAVING count(*) > 0""",
+    "csv_multiline": """
+        SELECT * REPLACE (trim(city) || chr(10) || '"' || state || '"' AS city) FROM landing_customers""",
+    "run_clean_customers": _all("clean_customers"),
+    "run_lake_customers": _all("lake_customers"),
+    "run_audit": _audit(),
+    "ordered_revenue_by_month": _numbered("gold_months", "purchase_month"),
+    "ordered_revenue_by_category": _numbered("gold_categories", "total_revenue DESC NULLS LAST, category"),
+    "ordered_revenue_by_state": _numbered("gold_states", "total_revenue DESC NULLS LAST, state"),
+    "ordered_top_products": _numbered("gold_products", "revenue_rank, product_id"),
+    "ordered_top_customers": _numbered("gold_customers", "spending_rank, customer_id"),
     "incremental_ingest": _all("raw_orders"),
     "maintained_silver_orders": _all("silver_orders", _MONEY["orders"]),
     "maintained_revenue_by_month": _all("gold_months"),

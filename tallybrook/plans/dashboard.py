@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybrook.operators.ranking import with_position
+
 #: How each report is read: its columns, first to last, "-" for descending.
 REPORT_ORDER = {
     "gold_revenue_by_month": ["purchase_month"],
@@ -15,12 +17,19 @@ REPORT_ORDER = {
 }
 
 
+def _order(report: str) -> list[Column]:
+    columns = REPORT_ORDER[report]
+    return [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc() for c in columns]
+
+
 def in_order(report: str, rows: DataFrame) -> DataFrame:
     """The rows of a gold model sorted for reading; a stored table has no order."""
-    columns = REPORT_ORDER[report]
-    return rows.orderBy(
-        *[F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc() for c in columns]
-    )
+    return rows.orderBy(*_order(report))
+
+
+def numbered(report: str, rows: DataFrame, folder: str) -> DataFrame:
+    """The rows of a gold model with their ``position`` when read in order, which a stored table keeps."""
+    return with_position(rows, _order(report), "position", folder)
 
 
 def _top(df: DataFrame, value: str, tie: str, k: int = 10) -> DataFrame:

@@ -7,22 +7,25 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.operators.checks import enforce
 from tallybrook.operators.upsert import read_version, upsert_table
 from tallybrook.plans import bronze, gold, lake, silver
-from tallybrook.plans.cleaning import CLEANERS
+from tallybrook.plans.cleaning import AUDITED, CLEANERS, clean_audit
 from tallybrook.plans.quality import MODEL_CHECKS, SOURCE_CHECKS, quality_report
 from tallybrook.plans.settings import Settings
 from tallybrook.sources.schemas import KEYS, raw_schema
 from tallybrook.sources.tables import (
+    IS_BROKEN,
     conform,
     find_landing_tables,
-    read_landing,
-    read_rejected,
+    parse_landing,
     read_table,
+    rejected_rows,
     table_path,
+    whole_rows,
     write_table,
 )
 
@@ -120,15 +123,27 @@ def clean_layer(
 
     All six tables are expected unless ``tables`` names others. Lines that don't fit
     their header are left out of the lake table and kept in a table of the same
-    name in the layer ``rejected``.
+    name in the layer ``rejected``. CSV is parsed once: whole and broken rows go to one
+    table of the layer ``parsed``, apart from each other, and both are read from there.
     """
     cleaned = {}
     for t in find_landing_tables(spark, landing_root, tables):
-        write_table(read_rejected(spark, landing_root, t), lake_root, "rejected", t)
-        cleaned[t] = write_table(CLEANERS[t](read_landing(spark, landing_root, t)), lake_root, "bronze", t)
+        parsed = write_table(parse_landing(spark, landing_root, t), lake_root, "parsed", t, IS_BROKEN, rebalance=False)
+        write_table(rejected_rows(parsed, t), lake_root, "rejected", t)
+        cleaned[t] = write_table(CLEANERS[t](whole_rows(parsed, t)), lake_root, "bronze", t)
     return cleaned
 
 
+def audit_layer(spark: SparkSession, lake_root: str, tables: Sequence[str] = AUDITED) -> DataFrame:
+    """Rows in, out and removed of the last cleaning run, from the counts that its files carry: no row is read again."""
+
+    def written(layer: str) -> dict[str, DataFrame]:
+        return {t: read_table(spark, lake_root, layer, t) for t in tables}
+
+    whole = {t: rows.where(~F.col(IS_BROKEN).cast("boolean")) for t, rows in written("parsed").items()}
+    return clean_audit(whole, written("bronze"))
+
+
 def enrich_layer(spark: SparkSession, lake_root: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """Cleaned lake tables to enriched ones; items are passed on as they are."""
 

@@ -17,10 +17,10 @@ from tallybrook.plans import dashboard, gold, lake, maintained
 from tallybrook.plans.cleaning import CLEANERS, clean_audit
 from tallybrook.plans.quality import SOURCE_CHECKS, checks_of, quality_report
 from tallybrook.plans.settings import Settings
-from tallybrook.plans.warehouse import MODELS, Warehouse, keep_in
+from tallybrook.plans.warehouse import MODELS, Warehouse, audit_layer, clean_layer, enrich_layer, keep_in
 from tallybrook.sources.schemas import KEYS
 from tallybrook.sources.star_schema import landing_table, star_raw_schema
-from tallybrook.sources.tables import conform, read_landing, read_rejected, shared_folder, write_csv, write_table
+from tallybrook.sources.tables import conform, read_csv, read_landing, read_rejected, read_table, shared_folder, write_csv, write_table
 from tallybrook.streaming.incremental import ingest_new_files
 
 #: The test tables have amounts about a thousand times the declared ones.
@@ -110,7 +110,7 @@ def _upsert_customers(t: Tables) -> DataFrame:
     schema = star_raw_schema("customers")
     rows = t.clean["customers"]
     first = conform(rows.where("state <> 'TO'"), schema, datetime(2001, 1, 1))
-    moved = rows.where("state <> 'SP'").withColumn("city", F.concat("city", F.lit(" (moved)")))
+    moved = rows.where("state <> 'SP'").withColumn("city", F.concat(F.trim("city"), F.lit(" (moved)")))
     return upsert(first, conform(moved, schema, datetime(2001, 2, 1)), KEYS["customers"])
 
 
@@ -186,6 +186,44 @@ def _csv_rejected(t: Tables) -> DataFrame:
     return read_rejected(t.spark, _landing_csv(t), "order_items").groupBy("table_name").agg(F.count("line").alias("broken_lines"))
 
 
+def _csv_multiline(t: Tables) -> DataFrame:
+    """Customers from CSV whose cities have a line break."""
+    root = shared_folder(t.spark)
+    write_csv(t.landing["customers"].withColumn("city", F.concat(F.trim("city"), F.lit('\n"'), "state", F.lit('"'))), f"{root}/customers.csv")
+    return read_csv(t.spark, f"{root}/customers.csv", multiline=True).select(*t.landing["customers"].columns)
+
+
+def _landing_files(t: Tables) -> str:
+    """All six tables as landing CSV."""
+    root = shared_folder(t.spark)
+    for table in KEYS:
+        write_csv(t.landing[table], f"{root}/{table}.csv")
+    return root
+
+
+def _run(layer: str, table: str) -> Callable[[Tables], DataFrame]:
+    """A table as the batch jobs leave it: landing files are found, cleaned, enriched, and a layer read by its name."""
+
+    def build(t: Tables) -> DataFrame:
+        lake_root = shared_folder(t.spark)
+        clean_layer(t.spark, _landing_files(t), lake_root)
+        if layer == "silver":
+            enrich_layer(t.spark, lake_root, SETTINGS)
+        return read_table(t.spark, lake_root, layer, table)
+
+    return build
+
+
+def _run_audit(t: Tables) -> DataFrame:
+    lake_root = shared_folder(t.spark)
+    clean_layer(t.spark, _landing_files(t), lake_root)
+    return audit_layer(t.spark, lake_root)
+
+
+def _numbered(report: str) -> Callable[[Tables], DataFrame]:
+    return lambda t: dashboard.numbered(report, t.models[report], shared_folder(t.spark))
+
+
 def _incremental_ingest(t: Tables) -> DataFrame:
     """Orders that arrive as CSV files, in batches of a few files."""
     root = shared_folder(t.spark)
@@ -274,6 +312,12 @@ def queries() -> dict[str, Query]:
     add("category_market_share", lambda t: dashboard.category_market_share(t.models["gold_revenue_by_category"]))
     add("csv_ingest", _csv_ingest)
     add("csv_rejected", _csv_rejected)
+    add("csv_multiline", _csv_multiline)
+    add("run_clean_customers", _run("bronze", "customers"))
+    add("run_lake_customers", _run("silver", "customers_enriched"))
+    add("run_audit", _run_audit)
+    for report in dashboard.REPORT_ORDER:
+        add(f"ordered_{report.removeprefix('gold_')}", _numbered(report))
     add("incremental_ingest", _incremental_ingest)
     add("maintained_silver_orders", _maintained(maintained.read_orders))
     add("maintained_revenue_by_month", _maintained(maintained.read_revenue_by_month))

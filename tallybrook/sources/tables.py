@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import csv
+import io
 import uuid
 from collections import defaultdict
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybrook.sources.records import range_parities, read_records
 from tallybrook.sources.schemas import KEYS, LOAD_TIME, landing_schema
 
 #: Columns with the raw line of a CSV row that has too few or too many fields, and whether it has.
@@ -29,19 +32,78 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     The files of ``path`` may have their columns in any order, and columns that others
     lack, which are then NULL; only their first lines are read to find that out. A row
     that hasn't as many fields as its file's header has its line in ``BROKEN``, which
-    is NULL for all others. ``multiline`` accepts line breaks inside quotes, at the
-    price of one task for each file.
+    is NULL for all others. ``multiline`` accepts line breaks inside quotes (see
+    :func:`read_multiline`).
     """
+    if multiline:
+        return read_multiline(spark, path)
     by_header = defaultdict(list)
     for file in _data_files(spark, path):
         by_header[_header(spark, file)].append(file)
     parts = []
     for header, files in by_header.items():
-        if len(set(header)) < len(header):
-            raise ValueError(f"a column name occurs twice in {files[0]}: {list(header)}")
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BROKEN)])
-        part = csv_options(spark.read.schema(schema)).option("multiLine", multiline).csv(files)
-        parts.append(part.withColumn(IS_BROKEN, is_broken(part)))
+        parts.append(_files_of(spark, _named_once(header, files[0]), files))
+    return _by_name(parts, path)
+
+
+def read_multiline(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with line breaks inside quotes, in as many tasks as its bytes ask for; columns as in :func:`read_csv`.
+
+    Two passes over the text: the first finds which byte ranges start inside quotes and
+    the headers, the second reads the records. No file is opened on the driver; distinct
+    headers come to it. Quotes stand around whole fields and are doubled within. A file
+    that ends inside quotes isn't of that kind: it is read in one task, by Spark alone.
+    Lines without any text are left out.
+    """
+    files = _data_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no CSV with a header in {path}")
+    folder = shared_folder(spark)
+    range_parities(spark, files).write.parquet(f"{folder}/parities")
+    parities = spark.read.parquet(f"{folder}/parities")
+    # A file's last range tells whether its quotes are balanced; such files are few.
+    last = parities.groupBy("file").agg(F.max_by("ends_open", "start").alias("open"))
+    unbalanced = sorted(r.file for r in last.where("open").collect())
+    parts = [_files_of(spark, _named_once(_header(spark, f), f), [f], multiline=True) for f in unbalanced]
+    # Paths as Spark names them: without the blanks and marks that it escapes.
+    odd = {_plain(f) for f in unbalanced}
+    balanced = [f for f in files if _plain(f) not in odd]
+    if balanced:
+        records = read_records(spark, balanced, parities)
+        headers = records.where("is_first").select("file", F.col("record").alias("header"))
+        headers.write.parquet(f"{folder}/headers")
+        headers = spark.read.parquet(f"{folder}/headers")
+        distinct = sorted(r[0] for r in headers.select("header").distinct().collect())
+        # Where lines end with a carriage return, too, it is none of the text.
+        record = F.when(F.endswith("header", F.lit("\r")), F.regexp_replace(F.regexp_replace("record", "\r\n", "\n"), "\r$", "")).otherwise(F.col("record"))
+        rows = records.where(~F.col("is_first")).join(headers, "file").withColumn("record", record).where(F.length("record") > 0)
+        for text in distinct:
+            header = _named_once(tuple(next(csv.reader(io.StringIO(text.removeprefix("\ufeff"))))), text)
+            schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in (*header, BROKEN))
+            options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+            part = rows.where(F.col("header") == text).select(F.from_csv("record", schema, options).alias("row"))
+            parts.append(part.select("row.*").withColumn(IS_BROKEN, F.col(BROKEN).isNotNull()))
+    return _by_name(parts, path)
+
+
+def _plain(file: str) -> str:
+    return unquote(file.partition(":")[2]).lstrip("/")
+
+
+def _files_of(spark: SparkSession, header: tuple[str, ...], files: list[str], multiline: bool = False) -> DataFrame:
+    """The rows of files with one header."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BROKEN)])
+    part = csv_options(spark.read.schema(schema)).option("multiLine", multiline).csv(files)
+    return part.withColumn(IS_BROKEN, is_broken(part))
+
+
+def _named_once(header: tuple[str, ...], file: str) -> tuple[str, ...]:
+    if len(set(header)) < len(header):
+        raise ValueError(f"a column name occurs twice in {file}: {list(header)}")
+    return header
+
+
+def _by_name(parts: list[DataFrame], path: str) -> DataFrame:
     if not parts:
         raise FileNotFoundError(f"no CSV with a header in {path}")
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -87,24 +149,35 @@ def is_broken(rows: DataFrame) -> Column:
     return F.coalesce(F.length(F.concat(F.col(BROKEN), F.coalesce(other, F.lit("")))), F.lit(-1)) >= 0
 
 
-def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The whole rows of a landing table as text; the cleaning job gives the columns their types.
-
-    Declared columns come first, in their order, whatever the order in the files.
-    """
+def parse_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All rows of a landing table as text, whole and broken ones, with ``BROKEN`` and ``IS_BROKEN``."""
     rows = read_csv(spark, f"{root}/{table}.csv")
     lacking = [c for c in KEYS[table] if c not in rows.columns]
     if lacking:
         raise ValueError(f"{table}.csv lacks the columns {lacking}")
-    declared = [c for c in landing_schema(table).names if c in rows.columns]
-    more = sorted(set(rows.columns) - {*declared, BROKEN, IS_BROKEN})
-    return rows.where(~F.col(IS_BROKEN)).select(*declared, *more)
+    return rows
+
+
+def whole_rows(parsed: DataFrame, table: str) -> DataFrame:
+    """The whole rows of a parsed landing table: declared columns first, in their order, whatever the order in the files."""
+    declared = [c for c in landing_schema(table).names if c in parsed.columns]
+    more = sorted(set(parsed.columns) - {*declared, BROKEN, IS_BROKEN})
+    return parsed.where(~F.col(IS_BROKEN)).select(*declared, *more)
+
+
+def rejected_rows(parsed: DataFrame, table: str) -> DataFrame:
+    """The lines that :func:`whole_rows` leaves out: table_name, line."""
+    return parsed.where(IS_BROKEN).select(F.lit(table).alias("table_name"), F.col(BROKEN).alias("line"))
+
+
+def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The whole rows of a landing table as text; the cleaning job gives the columns their types."""
+    return whole_rows(parse_landing(spark, root, table), table)
 
 
 def read_rejected(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The lines of a landing table that :func:`read_landing` leaves out: table_name, line."""
-    rows = read_csv(spark, f"{root}/{table}.csv").where(IS_BROKEN)
-    return rows.select(F.lit(table).alias("table_name"), F.col(BROKEN).alias("line"))
+    return rejected_rows(read_csv(spark, f"{root}/{table}.csv"), table)
 
 
 def find_landing_tables(spark: SparkSession, root: str, tables: Sequence[str] = tuple(KEYS)) -> list[str]:
@@ -164,7 +237,7 @@ def _versions(spark: SparkSession, path: str) -> dict[int, str]:
 
 
 def write_table(
-    df: DataFrame, root: str, layer: str | None, table: str, partition_by: str | None = None
+    df: DataFrame, root: str, layer: str | None, table: str, partition_by: str | None = None, rebalance: bool = True
 ) -> DataFrame:
     """Replace a layer's table by ``df`` and return the table as written.
 
@@ -175,7 +248,8 @@ def write_table(
 
     With ``partition_by``, rows are first rebalanced on that column: each
     partition gets few files, and one that holds a large share of all rows is
-    split over several tasks at run time.
+    split over several tasks at run time. Without ``rebalance`` the rows stay in their
+    tasks, each of which writes a file for every partition that it has rows of.
     """
     spark, path = df.sparkSession, table_path(root, layer, table)
     there = _versions(spark, path)
@@ -187,7 +261,7 @@ def write_table(
     if partition_by is None:
         df.write.mode("overwrite").parquet(folder)
     else:
-        rows = df.hint("rebalance", partition_by)
+        rows = df.hint("rebalance", partition_by) if rebalance else df
         rows.write.mode("overwrite").partitionBy(partition_by).parquet(folder)
     for old in sorted(there)[: -(RETAINED - 1) or None]:
         for place in (there[old], f"{path}/_claims/{old:010d}"):

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallybrook.operators.dedupe import keep_one, require_unique
-from tallybrook.operators.ranking import ranks_of_counts, top_ranked, with_share
+from tallybrook.operators.ranking import ranks_of_counts, top_ranked, with_position, with_share
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -97,3 +97,16 @@ def test_ranks_of_counts_against_brute_force(spark, values):
 def test_share_of_a_zero_total_is_null(frame, rows):
     assert rows(with_share(frame("g, v int", ("a", 0), ("b", 0)), "v", "pct")) == [("a", 0, None), ("b", 0, None)]
     assert rows(with_share(frame("g, v int", ("a", 1), ("b", 2)), "v", "pct")) == [("a", 1, 33.33), ("b", 2, 66.67)]
+
+
+@FEW
+@given(st.lists(st.tuples(st.integers(1, 5), st.integers(0, 99)), max_size=40, unique=True), st.integers(1, 6))
+def test_positions_against_sorting(spark, tmp_path_factory, values, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = spark.createDataFrame([(a, b, "x") for a, b in values], "a int, b int, _row string")
+        placed = with_position(df, [F.col("a").desc(), F.col("b").asc()], "position", str(tmp_path_factory.mktemp("placed")))
+        got = sorted((r.position, r.a, r.b) for r in placed.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == [(i, a, b) for i, (a, b) in enumerate(sorted(values, key=lambda v: (-v[0], v[1])), 1)]

@@ -61,3 +61,14 @@ def test_references(frame, rows):
     parent = frame("id", ("a",), ("b",))
     assert rows(check_reference(child, "customer", parent, "id", "orders"), "failing_rows", "passed") == [(2, False)]
     assert check_reference(child.where("customer = 'a'"), "customer", parent, "id", "orders").first().passed
+
+
+def test_one_scan_for_all_rules(spark, tmp_path):
+    spark.range(100).selectExpr("string(id % 99) AS a", "id AS b", "int(id % 7) AS c", "1 AS unused").write.parquet(f"{tmp_path}/t")
+    rules = unique("a") + unique("b") + not_null("a", "c") + accepted_range("c", 3)
+    df = run_checks(spark.read.parquet(f"{tmp_path}/t"), "t", rules)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "unused" not in plan and "partial_count" in plan
+    assert {(r.column_name, r.test): r.failing_rows for r in df.collect()} == {
+        ("a", "unique"): 1, ("b", "unique"): 0, ("a", "not_null"): 0, ("c", "not_null"): 0, ("c", "accepted_range"): 44,
+    }
