@@ -81,8 +81,8 @@ class SortedLists:
             fresh[met.ravel()] = True
             fresh &= ~seen
             seen |= fresh
-            if 2 * np.count_nonzero(seen) > n or reached == n or not len(dims):
-                # Most are met already: the walk ends with scoring the rest as one.
+            if not len(dims):
+                # Without a component all scores are zero: there is no list to walk.
                 fresh |= ~seen
                 reached = n
             new = np.flatnonzero(fresh & allowed)
@@ -98,7 +98,7 @@ class SortedLists:
             # A candidate that ties with the kth may have the smaller id.
             if len(scores) >= k and bound < int(scores[-1]):
                 return places, scores
-            depth, reached = reached, 4 * reached
+            depth, reached = reached, 2 * reached
 
     def _best(self, places: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
         if scores.dtype == object:

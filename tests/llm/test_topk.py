@@ -61,6 +61,23 @@ def test_the_walk_ends_early_where_it_can():
     assert sum(touched) < 200
 
 
+def test_only_the_bound_ends_the_walk():
+    """Vectors like random ones: every candidate is met before the bound falls below the kth score, and the walk goes on until it does."""
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-9, 10, (3000, 16))
+    lists = SortedLists(np.arange(3000), vectors)
+    depths = []
+    real = lists.order
+    lists.order = type("Order", (), {"__getitem__": lambda s, at: depths.append(at[0].shape) or real[at]})()
+    query = rng.integers(-9, 10, 16)
+    places, scores = lists.top(query, 5, -1)
+    whole = vectors @ query
+    assert places.tolist() == np.lexsort((np.arange(3000), -whole))[:5].tolist()
+    reached = sum(d[0] for d in depths)
+    at = lambda depth: sum(int(q) * int(np.sort(vectors[:, d])[-depth if q > 0 else depth - 1]) for d, q in enumerate(query))
+    assert at(reached) < scores[-1] <= at(reached - depths[-1][0])
+
+
 def test_large_components_stay_exact():
     vectors = np.array([[1 << 27, 1], [1 << 27, 0], [-(1 << 27), 5]])
     places, scores = SortedLists(np.arange(3), vectors).top(np.array([1 << 27, 1]), 2, -1)
