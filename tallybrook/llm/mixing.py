@@ -76,16 +76,22 @@ def mix(
     """
     keys = ["_source", "_class", "_slice"]
     results = ["size", "source_size", "target", "copies"]
-    kept = [c for c in docs.columns if c not in {*results, *keys, "_hash", "_rank"}]
+    # All that stays lies in one column, so that no name of a user's column is in the way.
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in results]).alias("_kept")
     size = word_count(F.col(text))
     binary = F.bin(F.col("size"))
+    named = docs.select(
+        kept,
+        size.alias("size"),
+        F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("_source"),
+        F.col(doc_id).alias("_id"),
+    )
     rows = (
-        docs.withColumn("size", size)
-        .withColumn("_source", F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
+        named
         .withColumn("_class", F.concat(F.lpad(F.length(binary).cast("string"), 2, "0"), F.substring(binary, 1, 4)))
-        .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary")))
+        .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary")))
         .withColumn("_slice", F.substring("_hash", 1, 2))
-        .select(*kept, "size", *keys, "_hash")
+        .select("_kept", "_id", "size", *keys, "_hash")
         .repartition(*keys)
     )
     # Grouped as they lie: the count of a slice needs no shuffle of its own.
@@ -106,7 +112,7 @@ def mix(
     slice_start = slices.select(
         *keys, F.coalesce(F.sum("n").over(ahead(*keys)), F.lit(0)).alias("_slice_start")
     ).join(class_start, ["_source", "_class"])
-    within = Window.partitionBy(*keys).orderBy("size", "_hash", F.col(doc_id).asc_nulls_first())
+    within = Window.partitionBy(*keys).orderBy("size", "_hash", F.col("_id").asc_nulls_first())
     ranked = rows.withColumn("_rank", F.row_number().over(within)).join(slice_start, keys)
     rank = F.col("_class_start") + F.col("_slice_start") + F.col("_rank")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -114,13 +120,13 @@ def mix(
     offset = F.conv(F.substring(mark, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
     copies = F.floor(offset + rank * rate) - F.floor(offset + (rank - 1) * rate)
     return ranked.select(
-        *kept, "size", "source_size", "target", F.least(copies, F.lit(most)).cast("long").alias("copies")
+        "_kept.*", "size", "source_size", "target", F.least(copies, F.lit(most)).cast("long").alias("copies")
     )
 
 
-def take(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    mixed = mix(docs, **options)
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).select(
-        *[c for c in docs.columns]
-    )
+def take(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``, whatever their names."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = docs.select(whole, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
+    mixed = mix(rows, **options).where("copies > 0")
+    return mixed.select("whole", F.explode(F.expr("sequence(1, copies)"))).select("whole.*")

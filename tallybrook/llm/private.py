@@ -159,8 +159,9 @@ def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
     so repeated rows, NULL ids and empty tables need no rule. A column ``spans`` of
     ``docs`` is replaced.
     """
-    kept = [c for c in docs.columns if c != "spans"]
-    t = f"`{text}`"
+    # All that stays lies in one column, so that no name of a user's column is in the way.
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "spans"]).alias("_kept")
+    t = "_text"
     # Steps of their own: each array is made once for a row.
     found = {
         f"_{k}_found": f"if({HINTS[k].format(t=t)}, regexp_extract_all({t}, {_quoted(p)}, {int(k == 'iban')}), array())"
@@ -176,12 +177,12 @@ def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
         f"_{k}_lengths": f"transform(_{k}_found, (m, i) -> {4 if k == 'iban' else 'length(m)'} + _{k}_around[i].n)"
         for k in PATTERNS
     }
-    rows = docs.select(*kept)
+    rows = docs.select(kept, F.col(f"`{text}`").alias("_text"))
     for step in (found, around, lengths):
         rows = rows.withColumns({c: F.expr(e) for c, e in step.items()})
     parts = ", ".join(f"coalesce({_spans(k)}, array())" for k in KINDS)
     spans = f"array_sort(transform(concat({parts}), s -> struct(s.`start`, s.number, s.kind, s.`end`, s.score)))"
-    return rows.select(*kept, F.expr(spans).alias("spans"))
+    return rows.select("_kept.*", F.expr(spans).alias("spans"))
 
 
 def span_list(spans: str, base_only: bool = False) -> Column:
@@ -194,7 +195,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of personal data replaced by its kind in brackets.
 
     Overlapping spans become one, named after the first. ``n_chars``, if there is
-    one, is the length of the new text. NULL texts stay NULL.
+    one, is the length of the new text; all other columns stay as they are, whatever
+    their names. NULL texts stay NULL.
     """
     merged = """
         aggregate(spans, cast(array() AS array<struct<start: int, end: int, kind: string>>),
@@ -203,14 +205,16 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                     greatest(element_at(a, -1).`end`, s.`end`) AS `end`, element_at(a, -1).kind AS kind))),
                 concat(a, array(struct(s.`start` AS `start`, s.`end` AS `end`, s.kind AS kind)))))
     """
-    t = f"`{text}`"
+    t = "text"
     pieces = f"""
         concat(array_join(transform(_merged, (s, i) -> concat(
             substr({t}, if(i = 0, 0, _merged[i - 1].`end`) + 1, s.`start` - if(i = 0, 0, _merged[i - 1].`end`)),
             '[', upper(s.kind), ']')), ''), substr({t}, element_at(_merged, -1).`end` + 1))
     """
-    rows = find_private(docs, text).withColumn("_merged", F.expr(merged))
-    masked = rows.withColumn(text, F.expr(f"if(size(spans) = 0, {t}, {pieces})"))
-    if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = find_private(docs.select(whole, F.col(f"`{text}`").alias("text"))).withColumn("_merged", F.expr(merged))
+    masked = rows.withColumn("text", F.expr(f"if(size(spans) = 0, {t}, {pieces})"))
+    new = {text: F.col("text")}
+    if "n_chars" in docs.columns and text != "n_chars":
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.select(*[new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])

@@ -304,6 +304,9 @@ def without_near_copies(docs: DataFrame, folder: str, words: int = WORDS) -> Dat
     first = rows.groupBy("component").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
     first = _written(first, folder, "first")
     gone = rows.join(first, "component").where("struct(doc_id, mark) <> first").select("doc_id", F.col("mark").alias("_mark")).distinct()
-    left = docs.withColumn("_mark", F.xxhash64("text")).join(gone, ["doc_id", "_mark"], "left_anti")
-    place = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("_mark"))
-    return left.withColumn("_place", place).where("_place = 1 OR doc_id IS NULL").select(*docs.columns)
+    # The row lies in one column, so that no name of a user's column is in the way.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    named = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id")).withColumn("_mark", F.xxhash64("whole.text"))
+    left = named.join(gone, ["doc_id", "_mark"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("doc_id", "whole.text").orderBy("_mark"))
+    return left.withColumn("_place", place).where("_place = 1 OR doc_id IS NULL").select("whole.*")

@@ -58,5 +58,17 @@ def test_taken_rows_keep_the_columns(spark):
     assert Counter(r.doc_id for r in rows) == {r.doc_id: r.copies for r in mix(docs).collect() if r.copies}
 
 
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    names = ["size", "_hash", "_source", "_class", "_slice", "_rank", "_kept", "_id", "_copy", "copies", "target", "whole", "col"]
+    docs = spark.createDataFrame([(i, "a b c"[: i % 6], "xyz"[i % 3], *[f"{n}{i}" for n in names]) for i in range(60)], ["doc_id", "text", "source", *names])
+    by_id = {r.doc_id: tuple(r) for r in docs.collect()}
+    out = take(docs)
+    assert out.columns == docs.columns and all(tuple(r) == by_id[r.doc_id] for r in out.collect())
+    replaced = {"size", "source_size", "target", "copies"}
+    mixed = mix(docs)
+    assert mixed.columns == [c for c in docs.columns if c not in replaced] + ["size", "source_size", "target", "copies"]
+    assert all(r._hash == f"_hash{r.doc_id}" and r._kept == f"_kept{r.doc_id}" for r in mixed.collect())
+
+
 def test_no_rows(spark):
     assert mix(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []

@@ -122,6 +122,15 @@ def test_redacted_texts(spark):
     )
 
 
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    names = ["spans", "_merged", "_ip_found", "_iban_codes", "_kept", "_text", "whole", "a.b"]
+    docs = spark.createDataFrame([(1, "mail a@b.org now", *names), (2, None, *names)], ["doc_id", "text", *names])
+    assert sorted(map(tuple, redact(docs).collect())) == [(1, "mail [EMAIL] now", *names), (2, None, *names)]
+    found = find_private(docs)
+    assert found.columns == [c for c in docs.columns if c != "spans"] + ["spans"]
+    assert {r._ip_found for r in found.collect()} == {"_ip_found"}
+
+
 def test_no_rows(spark):
     assert find_private(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

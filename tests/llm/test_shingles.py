@@ -139,3 +139,12 @@ def test_signature_in_parts_is_the_same(monkeypatch):
     whole = signature(elements, 288)
     monkeypatch.setattr(module, "RANKED", 100)
     assert (signature(elements, 288) == whole).all()
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark, tmp_path):
+    names = ["_mark", "_place", "whole", "kept", "component"]
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(i, t, *names) for i, t in ((1, text), (2, text), (3, "other words"), (None, text))], ["doc_id", "text", *names])
+    out = without_near_copies(docs, f"file://{tmp_path}")
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, text, *names), (3, "other words", *names), (None, text, *names)], key=str)

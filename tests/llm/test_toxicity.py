@@ -8,6 +8,7 @@ import numpy as np
 
 from tallybrook.llm import toxicity
 from tallybrook.llm.queries import op5_toxicity
+from tallybrook.llm.toxicity import Settings, telling, train
 
 
 def auc(scores: np.ndarray, marks: np.ndarray) -> float:
@@ -63,3 +64,46 @@ def test_odd_rows(spark):
     model = toxicity.fit(docs, odd)
     assert all(0 <= r.toxicity <= 1 for r in toxicity.score(docs, model).collect())
     assert toxicity.score(docs.limit(0), model).collect() == []
+
+
+def test_training_follows_the_gradient_of_the_risk():
+    """Every step against numeric slopes of the risk as it is written down, for features as a table of zeros and ones."""
+    rng = np.random.default_rng(3)
+    prior, settings = 0.2, Settings(steps=25, least_z=0.0)
+    draw = lambda n, chance: [np.flatnonzero(rng.random(12) < chance).astype(np.uint32) for _ in range(n)]
+    confirmed, unlabelled = draw(40, np.linspace(0.9, 0.1, 12)), draw(90, np.linspace(0.3, 0.4, 12))
+    model = train(confirmed, unlabelled, prior, settings)
+
+    keys = telling(confirmed, unlabelled, 0.0)
+    table = lambda rows: np.array([[float(k in set(r.tolist())) for k in keys] for r in rows])
+    p, u = table(confirmed), table(unlabelled)
+
+    def parts(w):
+        z_p, z_u = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        toxic = prior * np.log1p(np.exp(-z_p)).mean()
+        return toxic, np.log1p(np.exp(z_u)).mean() - prior * np.log1p(np.exp(z_p)).mean()
+
+    def slope(f, w, step=1e-6):
+        return np.array([(f(w + step * e) - f(w - step * e)) / (2 * step) for e in np.eye(len(w))])
+
+    w = np.append(np.zeros(len(keys)), np.log(prior / (1 - prior)))
+    first, second, reversed_steps = np.zeros(len(w)), np.zeros(len(w)), 0
+    for step in range(1, settings.steps + 1):
+        if parts(w)[1] >= 0:
+            grad = slope(lambda v: sum(parts(v)), w)
+        else:
+            grad = slope(lambda v: -parts(v)[1], w)
+            reversed_steps += 1
+        grad += settings.decay * np.append(w[:-1], 0)
+        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
+        w = w - settings.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+    assert (model.keys == keys).all()
+    assert np.allclose(model.weights, w[:-1], atol=1e-4) and abs(model.bias - w[-1]) < 1e-4
+
+
+def test_a_prior_above_one_half_counts():
+    rng = np.random.default_rng(4)
+    confirmed = [np.array([1, 2], dtype=np.uint32)] * 30
+    unlabelled = [np.array([1, 2], dtype=np.uint32) if rng.random() < 0.8 else np.array([3], dtype=np.uint32) for _ in range(100)]
+    low, high = (train(confirmed, unlabelled, prior) for prior in (0.5, 0.8))
+    assert high.bias != low.bias
