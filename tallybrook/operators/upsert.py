@@ -19,6 +19,7 @@ import json
 import math
 import time
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -167,7 +168,12 @@ def _rows(
     """The rows of a version, or of some of its buckets."""
     schema = T.StructType.fromJson(json.loads(version.schema))
     wanted = version.folders if only is None else {str(b) for b in only} & set(version.folders)
-    folders = [version.folders[b] for b in sorted(wanted, key=int)]
+    by_batch = defaultdict(list)
+    for b in sorted(wanted, key=int):
+        batch, _, name = version.folders[b].rpartition("=")
+        by_batch[batch].append(name)
+    # One pattern for all buckets that a batch wrote: they are found by one listing.
+    folders = [f"{batch}={{{','.join(names)}}}" for batch, names in by_batch.items()]
     if not folders:
         return spark.createDataFrame([], schema)
     if not keys:
