@@ -7,6 +7,7 @@ import io
 import uuid
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 from urllib.parse import unquote
@@ -24,6 +25,8 @@ from tallybrook.sources.schemas import KEYS, LOAD_TIME, landing_schema
 BROKEN, IS_BROKEN = "_broken_line", "_is_broken"
 #: Versions of a written table that are kept.
 RETAINED = 2
+#: Files whose first lines are read at a time.
+AT_A_TIME = 32
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -37,13 +40,18 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """
     if multiline:
         return read_multiline(spark, path)
+    return read_csv_files(spark, _data_files(spark, path), path)
+
+
+def read_csv_files(spark: SparkSession, files: Sequence[str], origin: str) -> DataFrame:
+    """:func:`read_csv` for files that are known by name; ``origin`` names them in errors."""
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        headers = list(pool.map(lambda file: _header(spark, file), files))
     by_header = defaultdict(list)
-    for file in _data_files(spark, path):
-        by_header[_header(spark, file)].append(file)
-    parts = []
-    for header, files in by_header.items():
-        parts.append(_files_of(spark, _named_once(header, files[0]), files))
-    return _by_name(parts, path)
+    for header, file in zip(headers, files):
+        by_header[header].append(file)
+    parts = [_files_of(spark, _named_once(header, some[0]), some) for header, some in by_header.items()]
+    return _by_name(parts, origin)
 
 
 def read_multiline(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +119,7 @@ def _by_name(parts: list[DataFrame], path: str) -> DataFrame:
 
 
 def csv_options(reader):
-    """How landing CSV is read, in batches and in streams.
+    """How landing CSV is read.
 
     Rows are parsed whole, whatever columns are asked for: only then a row with too
     few or too many fields is seen as broken.
@@ -151,11 +159,15 @@ def is_broken(rows: DataFrame) -> Column:
 
 def parse_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All rows of a landing table as text, whole and broken ones, with ``BROKEN`` and ``IS_BROKEN``."""
-    rows = read_csv(spark, f"{root}/{table}.csv")
-    lacking = [c for c in KEYS[table] if c not in rows.columns]
+    return with_keys(read_csv(spark, f"{root}/{table}.csv"), table)
+
+
+def with_keys(parsed: DataFrame, table: str) -> DataFrame:
+    """``parsed``, if it has the columns of the table's key."""
+    lacking = [c for c in KEYS[table] if c not in parsed.columns]
     if lacking:
         raise ValueError(f"{table}.csv lacks the columns {lacking}")
-    return rows
+    return parsed
 
 
 def whole_rows(parsed: DataFrame, table: str) -> DataFrame:

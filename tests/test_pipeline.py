@@ -71,6 +71,22 @@ def test_increments(spark, rows, tmp_path):
     assert [r.line for r in spark.read.parquet(f"{target}-rejected").collect()] == ["o5,c2,invoiced"]
 
 
+def test_increments_by_column_name(spark, rows, tmp_path):
+    landing, target, seen = tmp_path / "landing", str(tmp_path / "orders"), []
+    landing.mkdir()
+    (landing / "1.csv").write_text("order_status,order_id,purchase_timestamp,origin,customer_id\nshipped,o1,2024-01-01,new,c1\n")
+    (landing / "2.csv").write_text("")
+    _orders(landing, "3 b.csv", "o2,c2,delivered,2024-01-02,,,,")
+    ingest = lambda: ingest_new_files(spark, "orders", str(landing), target, str(tmp_path / "progress"), then=lambda b: seen.append(b.count()))
+    ingest().awaitTermination()
+    assert rows(read_version(spark, target), "order_id", "order_status", "customer_id") == [("o1", "shipped", "c1"), ("o2", "delivered", "c2")]
+    assert seen == [2]
+    (landing / "4.csv").write_text("customer_id,order_status\nc1,shipped\n")
+    with pytest.raises(Exception, match="lacks the columns"):
+        ingest().awaitTermination()
+    assert committed_versions(spark, target) == [1]
+
+
 def test_a_run_needs_all_landing_tables(spark, tmp_path):
     (tmp_path / "product_categories.csv").write_text("product_category_name,product_category_name_english\na,b\n")
     with pytest.raises(FileNotFoundError, match="customers"):
