@@ -24,7 +24,7 @@ from tallybrook.plans.bronze import bronze_order_items, bronze_order_payments, b
 from tallybrook.plans.gold import MONTH, MONTH_SUMS, month_customer_sums, month_report
 from tallybrook.plans.settings import Settings
 from tallybrook.plans.silver import silver_orders
-from tallybrook.sources.tables import file_system
+from tallybrook.sources.tables import file_system, together
 
 ORDERS, CUSTOMERS, MONTHS = "orders", "month_customers", "months"
 _CUSTOMER_KEYS = [*MONTH, "customer_id"]
@@ -84,7 +84,6 @@ def refresh(
     kept = read_hit(spark, f"{root}/{CUSTOMERS}", _CUSTOMER_KEYS, gains, version)
     gains = _with_former(gains, kept, _CUSTOMER_KEYS, MONTH_SUMS)
     customers = gains.select(*_CUSTOMER_KEYS, *[_sum(c).alias(c) for c in MONTH_SUMS])
-    upsert_table(customers, f"{root}/{CUSTOMERS}", _CUSTOMER_KEYS, version)
 
     # Orders without a customer count, but for no customer.
     here = (_sum("orders") > 0).cast("int") - (F.col("_old_orders") > 0).cast("int")
@@ -93,10 +92,16 @@ def refresh(
     kept = read_version(spark, f"{root}/{MONTHS}", version, MONTH)
     columns = [*MONTH_SUMS, "customers"]
     months = _with_former(months, kept, MONTH, columns).select(*MONTH, *[_sum(c).alias(c) for c in columns])
-    upsert_table(months, f"{root}/{MONTHS}", MONTH, version, buckets=1)
 
     rows = changed.join(new.withColumn(_GONE, F.lit(False)), "order_id", "left")
-    upsert_table(rows.withColumn(_GONE, F.col(_GONE).isNull()), f"{root}/{ORDERS}", ["order_id"], version, kept=())
+    rows = rows.withColumn(_GONE, F.col(_GONE).isNull())
+    # None of the three reads what another one writes.
+    writes = [
+        lambda: upsert_table(customers, f"{root}/{CUSTOMERS}", _CUSTOMER_KEYS, version),
+        lambda: upsert_table(months, f"{root}/{MONTHS}", MONTH, version, buckets=1),
+        lambda: upsert_table(rows, f"{root}/{ORDERS}", ["order_id"], version, kept=()),
+    ]
+    together(lambda write: write(), writes)
     for passing in (ids, fresh, sums):
         fs, where = file_system(spark, passing)
         fs.delete(where, True)

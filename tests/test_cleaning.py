@@ -165,3 +165,12 @@ def test_audit_counts_rows(frame, rows):
     before = {"customers": frame(CUSTOMER, ("1", "u", "1", "a", "SP"), ("2", "u", "1", "a", "XX"))}
     after = {"customers": clean_customers(before["customers"])}
     assert rows(clean_audit(before, after)) == [("customers", 2, 1, 1)]
+
+
+def test_usual_and_other_timestamps(spark):
+    from tallybrook.functions.casts import to_timestamp
+
+    texts = ["2024-03-05", "2024-03-05 06:07:08", "2024-03-05T06:07:08.123456", "2024-13-05", "2024-03-05 25:00:00", "2024-03-05 06:07:08Z", "5/3/2024", " 2024-03-05 ", "2024-03-05\n", "2024", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(to_timestamp(F.col("t")).cast("string")).collect()
+    day = "2024-03-05 00:00:00"
+    assert [r[0] for r in found] == [day, "2024-03-05 06:07:08", "2024-03-05 06:07:08.123456", None, None, "2024-03-05 06:07:08", day, day, day, None, None]

@@ -155,3 +155,14 @@ def test_csv_round_trip(spark, frame, rows, tmp_path):
 def test_shared_folder_is_the_one_the_session_names(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(base) and shared_folder(spark) != shared_folder(spark)
+
+
+def test_jobs_run_together():
+    """Each waits for the other one, so one after another they would never end."""
+    from threading import Barrier
+
+    from tallybrook.sources.tables import together
+
+    both = Barrier(2, timeout=20)
+    assert together(lambda n: both.wait() >= 0 and n, [1, 2]) == [1, 2]
+    assert together(str, []) == []
