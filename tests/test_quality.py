@@ -72,3 +72,17 @@ def test_one_scan_for_all_rules(spark, tmp_path):
     assert {(r.column_name, r.test): r.failing_rows for r in df.collect()} == {
         ("a", "unique"): 1, ("b", "unique"): 0, ("a", "not_null"): 0, ("c", "not_null"): 0, ("c", "accepted_range"): 44,
     }
+
+
+def test_written_models_of_a_report(spark):
+    """Silver models have the columns that are read, top products need no second join of items with orders."""
+    from tallybrook.plans.quality import checks_of
+    from tallybrook.queries import READ_OF_SILVER, Tables
+
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    written = tables.written(checks_of())
+    for name, columns in READ_OF_SILVER.items():
+        assert written[name].columns == columns
+        assert written[name].exceptAll(tables.models[name].select(columns)).isEmpty()
+    assert sorted(map(str, written["gold_top_products"].collect())) == sorted(map(str, tables.models["gold_top_products"].collect()))
+    assert "Join" not in written.delivered_items()._jdf.queryExecution().optimizedPlan().toString()
