@@ -78,6 +78,60 @@ def test_only_the_bound_ends_the_walk():
     assert at(reached) < scores[-1] <= at(reached - depths[-1][0])
 
 
+def best_of(vectors, ids, query, own, k):
+    allowed = np.flatnonzero(ids != own)
+    scores = [sum(int(a) * int(b) for a, b in zip(query, v)) for v in vectors[allowed]]
+    best = sorted(range(len(scores)), key=lambda i: (-scores[i], ids[allowed[i]]))[:k]
+    return allowed[best].tolist(), [scores[i] for i in best]
+
+
+def test_queries_of_a_meeting_read_each_list_once():
+    """Vectors like random ones: all queries walk far down, but the entries read don't grow with their number."""
+    rng = np.random.default_rng(9)
+    vectors, ids = rng.integers(-9, 10, (2000, 16)), np.arange(2000)
+    queries = rng.integers(-9, 10, (200, 16))
+    entries = []
+    lists = SortedLists(ids, vectors)
+    real = lists.order
+    lists.order = type("Order", (), {"__getitem__": lambda s, at: entries.append(real[at].size) or real[at]})()
+    got = {i: (places.tolist(), scores.tolist()) for i, places, scores in lists.tops(queries, 5, ids[:200])}
+    assert sum(entries) <= 2 * vectors.size
+    assert got == {i: best_of(vectors, ids, q, i, 5) for i, q in enumerate(queries)}
+
+
+def test_a_batch_ends_early_where_it_can():
+    rng = np.random.default_rng(10)
+    vectors, ids = rng.integers(0, 10, (5000, 2)), np.arange(5000)
+    vectors[:30] += 1000
+    queries = rng.integers(1, 9, (50, 2))
+    lists = SortedLists(ids, vectors)
+    touched = []
+    lists.vectors = type("Rows", (), {"__getitem__": lambda s, i: touched.append(len(i)) or vectors[i].astype(float), "dtype": np.dtype(float)})()
+    got = {i: (places.tolist(), scores.tolist()) for i, places, scores in lists.tops(queries, 20, np.full(50, -1))}
+    assert sum(touched) < 200
+    assert got == {i: best_of(vectors, ids, q, -1, 20) for i, q in enumerate(queries)}
+
+
+def test_a_batch_of_odd_queries(monkeypatch):
+    """Queries of all types of numbers, without components, alone in their direction and with ids that repeat."""
+    monkeypatch.setattr(topk, "TOGETHER", 7)
+    monkeypatch.setattr(topk, "FEW", 2)
+    rng = np.random.default_rng(11)
+    for n in (1, 15, 400):
+        vectors, ids = rng.integers(-64, 65, (n, 6)), rng.integers(0, 50, n)
+        vectors[n // 2 :] = vectors[0]
+        size = np.repeat([0, 1, 64, 640_000, 1 << 40, 1 << 62], 10)
+        queries = np.array([[int(x) for x in rng.integers(-m, m + 1, 6)] for m in size], dtype=object)
+        queries[10:15, 1:] = 0
+        own = rng.integers(0, 50, len(queries))
+        lists = SortedLists(ids, vectors)
+        for some in (slice(0, 40), slice(0, 60)):
+            asked = queries[some].astype(np.int64) if some.stop == 40 else queries
+            got = {i: (ids[places].tolist(), scores.tolist()) for i, places, scores in lists.tops(asked, 20, own)}
+            want = [best_of(vectors, ids, q, own[i], 20) for i, q in enumerate(asked)]
+            assert got == {i: (ids[places].tolist(), scores) for i, (places, scores) in enumerate(want)}
+
+
 def test_large_components_stay_exact():
     vectors = np.array([[1 << 27, 1], [1 << 27, 0], [-(1 << 27), 5]])
     places, scores = SortedLists(np.arange(3), vectors).top(np.array([1 << 27, 1]), 2, -1)
