@@ -7,8 +7,9 @@ end that its own component favours; what it meets for the first time is scored i
 full. No candidate below the depth reached can score more than the components at that
 depth make together, so the walk ends once that bound is below the kth best score.
 Queries walk in batches: each list is read once from either end, and what one of them
-meets is scored for all that still walk, in one product. At one depth that is at most
-about twice what a query meets alone, as a list has two ends.
+meets is scored for all that still walk, in one product. At one depth that is about
+twice what a query without zero components meets alone, as a list has two ends;
+queries with few components share the scores of more.
 """
 
 from __future__ import annotations
