@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyarrow import fs as arrow_fs
 from tokenizers import Tokenizer
 
-from tallybrook.llm import rans, tokenfile
+from tallybrook.llm import memory, rans, tokenfile
 from tallybrook.llm.queries import op6_tokens
 from tallybrook.llm.words import WordEncoder
 from test_shingles import twins
@@ -42,6 +42,36 @@ def test_regular_words_have_ids_of_their_own(library):
     assert found == [library.encode(t, add_special_tokens=False).ids for t in texts] and found[0] != found[1]
 
 
+def test_characters_of_short_words_are_not_hashed(library, monkeypatch):
+    hashed = []
+
+    class Counted(memory.Substrings):
+        def __init__(self, data, *base):
+            hashed.append(len(data))
+            super().__init__(data, *base)
+
+    monkeypatch.setattr(memory, "Substrings", Counted)
+    texts = ["It's a few short wordings, naïvely"] * 50 + ["extraordinarily", "abcdefgh abcdefg abcdefghi hgfedcba"]
+    found = [x.tolist() for x in WordEncoder(VOCABULARY).encode_batch(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(hashed) == len("extraordinarily") + len("abcdefghi")
+
+
+def test_short_words_are_told_apart():
+    rng = random.Random(3)
+    letters = "aab\u0249\u2c65"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    units, bounds = memory.joined_units(words)
+    one, two = memory.short_names(units, bounds[:-1], bounds[1:])
+    assert len(set(zip(words, one.tolist(), two.tolist()))) == len(set(words)) == len(set(zip(one.tolist(), two.tolist())))
+
+
+def test_small_letters_outside_the_common_ones(library):
+    texts = ["a\u023ab \u023e!", "\u023a\u023a\u0243"]
+    found = [x.tolist() for x in WordEncoder(VOCABULARY).encode_batch(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_other_vocabularies_are_left_to_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, library = WordEncoder(path), Tokenizer.from_file(path)
