@@ -49,10 +49,14 @@ def customers_enriched(
 ) -> DataFrame:
     """Customers with the metrics of their delivered orders, NULL if they have none."""
     value = items.groupBy("order_id").agg(total(F.col("price")).alias("order_value"))
-    delivered = orders.where(F.col("order_status") == "delivered")
+    return customers_by_value(customers, orders.join(value, "order_id", "left"), settings)
+
+
+def customers_by_value(customers: DataFrame, valued: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """:func:`customers_enriched` from orders that have the prices of their items as ``order_value``."""
     spent = total(F.col("order_value"))
     metrics = (
-        delivered.join(value, "order_id", "left")
+        valued.where(F.col("order_status") == "delivered")
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("total_orders"),
